@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partyfold.columns import actual_names
 
-_ROW = "__row"
+_RANK = "__rank"
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return (df.select(*columns) if columns else df).distinct()
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are all there."""
+    for key in keys:
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
 ) -> DataFrame:
@@ -24,18 +31,20 @@ def first_per_key(
     Rows compare by the `order` columns, then by the remaining columns from left to
     right, so the survivor depends on the data only and never on the order of arrival.
 
-    The minimum of a struct is combined on the map side before the shuffle. A key that
-    holds a third of the table therefore sends one row per input partition, where
-    `row_number()` would send and sort all of its rows in one task.
+    Spark keeps only the first row of each key before the shuffle and again after it
+    (a partial and a final group limit under the window). A key that holds a third of the
+    table therefore sends one row per input partition, and no task sees all of its rows.
     """
     keys = actual_names(df, keys)
-    rest = [c for c in df.columns if c not in keys]
     leading = [c for c in actual_names(df, order or []) if c not in keys]
-    payload = leading + [c for c in rest if c not in leading]
+    payload = leading + [c for c in df.columns if c not in keys and c not in leading]
     if not payload:
         return df.select(*keys).distinct()
-    smallest = df.groupBy(*keys).agg(F.min(F.struct(*payload)).alias(_ROW))
-    return smallest.select(*[c if c in keys else F.col(_ROW)[c].alias(c) for c in df.columns])
+    smallest_first = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).asc_nulls_first() for c in payload]
+    )
+    ranked = df.withColumn(_RANK, F.row_number().over(smallest_first))
+    return ranked.where(F.col(_RANK) == 1).drop(_RANK)
 
 
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:

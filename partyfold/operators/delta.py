@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from partyfold import fixed
 from partyfold.modes import check_mode
-from partyfold.operators.dedup import distinct_rows
+from partyfold.operators.dedup import distinct_rows, with_keys
 from partyfold.operators.joins import matched_rows, unmatched_rows
 
 
@@ -36,7 +36,7 @@ def delta_keys(
     """Distinct keys changed in the `days` days before `reference`; in full mode, all keys."""
     if check_mode(mode) == fixed.DELTA:
         df = in_days(df, changed_at, reference - timedelta(days=days), reference)
-    return distinct_rows(df, keys).dropna(subset=list(keys))
+    return distinct_rows(with_keys(df, keys), keys)
 
 
 def delta_restrict(table: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partyfold.columns import actual_names
-from partyfold.operators.dedup import distinct_rows
+from partyfold.operators.dedup import distinct_rows, with_keys
 
 _LEFT_HASH = "__left_hash"
 _RIGHT_HASH = "__right_hash"
@@ -74,7 +74,7 @@ def matched_rows(
 ) -> DataFrame:
     """Rows of `table` whose key occurs in `key_table` (our definition)."""
     other = actual_names(key_table, key_table_keys or keys)
-    present = distinct_rows(key_table, other).dropna(subset=other)
+    present = distinct_rows(with_keys(key_table, other), other)
     return _spread_join(table, present, keys, other, "left_semi")
 
 
@@ -90,9 +90,8 @@ def unmatched_rows(
     A null key occurs nowhere, unless `null_safe` asks for null to equal null.
     """
     other = actual_names(key_table, key_table_keys or keys)
-    present = distinct_rows(key_table, other)
-    if not null_safe:
-        present = present.dropna(subset=other)
+    rows = key_table if null_safe else with_keys(key_table, other)
+    present = distinct_rows(rows, other)
     return _spread_join(table, present, keys, other, "left_anti", null_safe)
 
 
@@ -108,7 +107,7 @@ def chain_fanout(
     counted = left.select(F.col(key), F.lit(0).alias("__side"))
     for side, (right, right_key) in enumerate(rights, start=1):
         keys = right.select(F.col(right_key).alias(key), F.lit(side).alias("__side"))
-        counted = counted.unionAll(keys.dropna(subset=[key]))
+        counted = counted.unionAll(with_keys(keys, [key]))
     sides = range(len(rights) + 1)
     per_key = counted.groupBy(key).agg(
         *[F.count_if(F.col("__side") == side).alias(f"__rows_{side}") for side in sides]

@@ -16,5 +16,8 @@ def union_all(tables: Mapping[str, DataFrame], tag: str = "source") -> DataFrame
     """
     if not tables:
         raise ValueError("nothing to unite")
+    taken = [name for name, df in tables.items() if tag.lower() in map(str.lower, df.columns)]
+    if taken:
+        raise ValueError(f"column {tag!r} exists already in {taken}")
     tagged = [df.withColumn(tag, F.lit(name)) for name, df in tables.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)

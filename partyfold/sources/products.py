@@ -22,7 +22,8 @@ def write_by_product(df: DataFrame, path: str, product: str, fmt: str = PARQUET)
     """One directory per product.
 
     The rebalance step gathers a small product into few files and splits a hot product
-    over many tasks, where a repartition by product would put it all into one.
+    over many tasks, where a repartition by product would put it all into one. A directory
+    cannot tell an empty product from a missing one: both come back as null.
     """
     overwrite_dataset(df.hint("rebalance", product), path, fmt, partition_by=[product])
 
