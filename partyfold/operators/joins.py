@@ -1,18 +1,33 @@
 """Joins of a large table with a table that holds at most one row per key.
 
-Left, semi and anti joins on skewed keys all go through `_spread_join`. Its inputs are
-matched on the key and on a hash of the key. The hash adds nothing to the result. It makes
-Spark shuffle the right side for the join even if an aggregate has already placed it by
-key, and adaptive execution splits a hot partition of the left side only when both inputs
-of the join come straight out of a shuffle. The extra shuffle moves one row per key; in
-return a key that holds a third of the left side is spread over many tasks. No side is
-marked for broadcast: adaptive execution does that by itself once it has measured a side
-and found it small.
+Left, semi and anti joins all go through `_spread_join`, which keeps a key that holds a
+third of the left side from ending up in one task:
+
+1. The left keys are hashed into a fixed number of buckets and the buckets are counted.
+   The count is combined on the map side, so its shuffle is small however many keys there
+   are, and its result has at most `BUCKETS` rows. That bound is why it may be broadcast.
+2. A bucket with far more than its share of rows gets a number of salts in proportion to
+   its rows; any other bucket gets one.
+3. Left rows take one of the salts of their bucket, right rows are repeated once for each,
+   and the join is on the key and the salt.
+
+The salts add up to at most half the number of buckets beyond one each, so right rows grow
+by a half at worst, and usually not at all. Since the salt is part of the join key, both
+inputs come straight out of a shuffle, also where an aggregation had placed the right side
+by key already. That is the form in which adaptive execution can split partitions further.
+
+Adaptive execution alone would not do: it looks at compressed bytes, and the rows of a hot
+key, being so alike, compress to much less than their number suggests.
+
+Nothing but the bucket counts is marked for broadcast. Adaptive execution may broadcast a
+right side that it has measured and found small.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +35,51 @@ from pyspark.sql import functions as F
 from partyfold.columns import actual_names
 from partyfold.operators.dedup import distinct_rows, with_keys
 
-_LEFT_HASH = "__left_hash"
-_RIGHT_HASH = "__right_hash"
+BUCKETS = 16384
+SHARES_PER_SALT = 4
+ROWS_PER_SALT = 200_000
+
+_BUCKET = "__bucket"
+_SALTS = "__salts"
+_SALT = "__salt"
+_RIGHT_SALT = "__right_salt"
 _RIGHT_KEY = "__right_key_"
 
 
+def _bucket(keys: Sequence[str]):
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _salts_per_bucket(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Buckets that need more than one salt, at most `BUCKETS` rows."""
+    counted = df.groupBy(_bucket(keys).alias(_BUCKET)).agg(F.count(F.lit(1)).alias("n"))
+    shares = counted.agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct(_BUCKET, "n")).alias("buckets")
+    ).select("total", F.inline("buckets"))
+    share = F.col("total") * F.lit(SHARES_PER_SALT / BUCKETS)
+    salts = F.ceil(F.col("n") / F.greatest(share, F.lit(float(ROWS_PER_SALT))))
+    return shares.select(_BUCKET, salts.cast("int").alias(_SALTS)).where(F.col(_SALTS) > 1)
+
+
+def _with_salt_count(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    found = df.withColumn(_BUCKET, _bucket(keys)).join(F.broadcast(salts), _BUCKET, "left")
+    return found.select(*df.columns, F.coalesce(F.col(_SALTS), F.lit(1)).alias(_SALTS))
+
+
+def _take_one_salt(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row with one of the salts of its bucket, the same one if a task is run again."""
+    # The partition number sets copies of one row apart.
+    row_hash = F.xxhash64(*df.columns, F.spark_partition_id())
+    salt = F.pmod(row_hash, F.col(_SALTS)).cast("int")
+    return _with_salt_count(df, salts, keys).select(*df.columns, salt.alias(_SALT))
+
+
+def _repeat_for_salts(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row once for every salt of its bucket."""
+    all_salts = F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))
+    return _with_salt_count(df, salts, keys).select(*df.columns, all_salts.alias(_RIGHT_SALT))
+
+
 def _spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -32,38 +87,48 @@ def _spread_join(
     right_keys: Sequence[str],
     how: str,
     null_safe: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
+    """Join with a right side of one row per key. `counted` has the left keys to count."""
     if len(left_keys) != len(right_keys) or not left_keys:
         raise ValueError("give the same number of keys, at least one, for both sides")
     left_keys, right_keys = actual_names(left, left_keys), actual_names(right, right_keys)
-    aliases = [f"{_RIGHT_KEY}{i}" for i in range(len(right_keys))]
     payload = [c for c in right.columns if c not in right_keys]
     clash = {c.lower() for c in payload} & {c.lower() for c in left.columns}
     if how == "left" and clash:
         raise ValueError(f"columns on both sides of the join: {sorted(clash)}")
+    for a, b in zip(left_keys, right_keys):
+        if left.schema[a].dataType != right.schema[b].dataType:
+            raise ValueError(f"keys {a} and {b} differ in type, cast one of them")
 
-    hashed_left = left.withColumn(_LEFT_HASH, F.xxhash64(*left_keys))
-    hashed_right = right.select(
-        F.xxhash64(*right_keys).alias(_RIGHT_HASH),
-        *[F.col(k).alias(a) for k, a in zip(right_keys, aliases)],
-        *payload,
+    salts = _salts_per_bucket(left if counted is None else counted, left_keys)
+    salted_left = _take_one_salt(left, salts, left_keys)
+    aliases = [f"{_RIGHT_KEY}{i}" for i in range(len(right_keys))]
+    renamed = right.select(
+        *[F.col(k).alias(a) for k, a in zip(right_keys, aliases)], *payload
     )
-    matches = F.col(_LEFT_HASH) == F.col(_RIGHT_HASH)
-    for key, alias in zip(left_keys, aliases):
-        same = F.col(key).eqNullSafe(F.col(alias)) if null_safe else F.col(key) == F.col(alias)
-        matches = matches & same
-    return hashed_left.join(hashed_right, matches, how).drop(_LEFT_HASH, _RIGHT_HASH, *aliases)
+    salted_right = _repeat_for_salts(renamed, salts, aliases)
+    # Keys before the salt, which is nearly always zero and would make a slow first sort column.
+    pairs = [(F.col(key), F.col(alias)) for key, alias in zip(left_keys, aliases)]
+    same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
+    matches = reduce(and_, [*same, F.col(_SALT) == F.col(_RIGHT_SALT)])
+    return salted_left.join(salted_right, matches, how).drop(_SALT, _RIGHT_SALT, *aliases)
 
 
 def left_join_one(
-    left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str]
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer join with a table that has one row per key; keeps every left row once.
 
     Keys are compared as they are: `'K '` does not match `'K'`, null matches nothing.
-    Reduce the right side with `first_per_key` first.
+    Reduce the right side with `first_per_key` first. Where the left side is costly to
+    compute, `counted` names a cheaper table with about the same keys to look for hot ones.
     """
-    return _spread_join(left, right, left_keys, right_keys, "left")
+    return _spread_join(left, right, left_keys, right_keys, "left", counted=counted)
 
 
 def matched_rows(

@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partyfold import fixed
-from partyfold.functions import clean_text, full_name, person_type, role, usable_key
+from partyfold.functions import (
+    clean_text,
+    full_name,
+    person_type,
+    role,
+    text_or_empty,
+    usable_key,
+)
 from partyfold.operators import first_per_key, left_join_one
 from partyfold.sources import overwrite_dataset, read_dataset, read_table, table_path
 
@@ -28,7 +35,7 @@ def policies_with_party(policies: DataFrame) -> DataFrame:
     return policies.select(*fixed.POLICY_COLUMNS).where(usable_key(F.col("cve_filiacion")))
 
 
-def party_profiles(master: DataFrame, contacts: DataFrame) -> DataFrame:
+def smallest_party_rows(master: DataFrame, contacts: DataFrame) -> DataFrame:
     """One row per party key: its smallest master row and its smallest contact row.
 
     Both tables have the same key, so one aggregation over their union reduces them
@@ -58,36 +65,54 @@ def party_profiles(master: DataFrame, contacts: DataFrame) -> DataFrame:
     )
 
 
+def party_profiles(master: DataFrame, contacts: DataFrame) -> DataFrame:
+    """All output columns of a party, one row per party key.
+
+    Names are cleaned here, once per party, and not once per policy version.
+    """
+    party, contact = F.col(_MASTER), F.col(_CONTACT)
+    code = F.col("tipo_participante")
+    return (
+        smallest_party_rows(master, contacts)
+        .select(
+            _PARTY,
+            party["cdrfc"].cast(T.StringType()).alias("rfc"),
+            party["tcpefiju"].alias("tipo_participante"),
+            clean_text(party["dnnomrzm"]).alias("nombre"),
+            clean_text(party["dnap1rzm"]).alias("primer_apellido"),
+            clean_text(party["dnap2rzm"]).alias("segundo_apellido"),
+            *[contact[c].alias(c) for c in fixed.CONTACT_COLUMNS],
+            party["tscdc"].alias("tscdc"),
+        )
+        .withColumns(
+            {
+                "desc_tipo_persona": person_type(code),
+                "nombre_completo": full_name(
+                    code, F.col("nombre"), F.col("primer_apellido"), F.col("segundo_apellido")
+                ),
+            }
+        )
+    )
+
+
 def insured_flat(policies: DataFrame, master: DataFrame, contacts: DataFrame) -> DataFrame:
     """The 34 columns of the insured table, one row per policy and version.
 
     Policies of parties that the master does not know are kept: their master columns are
     null, the label is the one of a legal person and the full name is empty.
     """
-    versions = first_per_key(policies_with_party(policies), ["num_poliza", "num_version"])
-    joined = left_join_one(
-        versions, party_profiles(master, contacts), ["cve_filiacion"], [_PARTY]
-    )
-    party, contact = F.col(_MASTER), F.col(_CONTACT)
-    cleaned = joined.select(
-        "num_poliza",
-        "num_version",
-        F.col("cve_filiacion").alias("cve_asegurado"),
-        party["cdrfc"].cast(T.StringType()).alias("rfc"),
-        party["tcpefiju"].alias("tipo_participante"),
-        clean_text(party["dnnomrzm"]).alias("nombre"),
-        clean_text(party["dnap1rzm"]).alias("primer_apellido"),
-        clean_text(party["dnap2rzm"]).alias("segundo_apellido"),
-        role().alias("ind_rol"),
-        *[contact[c].alias(c) for c in fixed.CONTACT_COLUMNS],
-        party["tscdc"].alias("tscdc"),
-    )
-    code = F.col("tipo_participante")
-    name = full_name(
-        code, F.col("nombre"), F.col("primer_apellido"), F.col("segundo_apellido")
-    )
-    return cleaned.withColumns(
-        {"desc_tipo_persona": person_type(code), "nombre_completo": name}
+    usable = policies_with_party(policies)
+    versions = first_per_key(usable, ["num_poliza", "num_version"])
+    profiles = party_profiles(master, contacts)
+    joined = left_join_one(versions, profiles, ["cve_filiacion"], [_PARTY], counted=usable)
+    unknown_label = F.lit(fixed.LEGAL_PERSON_LABEL)
+    return joined.withColumns(
+        {
+            "cve_asegurado": F.col("cve_filiacion"),
+            "desc_tipo_persona": F.coalesce(F.col("desc_tipo_persona"), unknown_label),
+            "nombre_completo": text_or_empty(F.col("nombre_completo")),
+            "ind_rol": role(),
+        }
     ).select(*fixed.INSURED_COLUMNS)
 
 

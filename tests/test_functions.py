@@ -92,6 +92,13 @@ def test_date_pieces(frame):
     assert [tuple(r) for r in df.collect()] == [("20240307", "07", True), (None, None, None)]
 
 
+def test_dates_do_not_move_with_the_zone(frame, settings):
+    # Clocks in this zone went from 00:00 to 01:00 on that day.
+    settings({"spark.sql.session.timeZone": "America/Sao_Paulo"})
+    df = frame([(datetime(2018, 11, 4),)], "day timestamp_ntz")
+    assert df.select(fn.date_stamp(F.col("day"))).first()[0] == "20181104"
+
+
 def test_day_setting_is_compared_as_text(frame):
     df = frame([(datetime(2024, 3, 7),)], "day timestamp_ntz")
     assert df.select(fn.is_day_of_month(F.col("day"), "7")).first()[0] is False

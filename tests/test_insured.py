@@ -7,7 +7,10 @@ import pytest
 from rows import bag
 
 from partyfold import fixed, plans
-from partyfold.plans.insured import party_profiles
+from partyfold import sources as io
+from partyfold.__main__ import main
+from partyfold.plans.insured import smallest_party_rows
+from partyfold.session import session
 
 POLICIES = "num_poliza string, num_version int, cve_filiacion string, other int"
 MASTER = (
@@ -112,7 +115,7 @@ def test_versions_of_a_policy_with_two_parties(build):
 def test_profiles_have_one_row_per_usable_key(frame):
     master = [(k, "r", "F", n, None, None, "T", 0) for k in ("A", "B", None, " ") for n in "xy"]
     contacts = [contact(k, calle=c) for k in ("B", "C", None, "") for c in "pq"]
-    profiles = party_profiles(frame(master, MASTER), frame(contacts, CONTACTS))
+    profiles = smallest_party_rows(frame(master, MASTER), frame(contacts, CONTACTS))
     found = {r[0]: (r[1] and r[1].dnnomrzm, r[2] and r[2].calle) for r in profiles.collect()}
     assert found == {"A": ("x", None), "B": ("x", "p"), "C": (None, "p")}
     assert profiles.count() == 3
@@ -174,18 +177,43 @@ def test_same_rows_as_joining_first_and_choosing_afterwards(build, seed):
     assert bag(build(policies, master, contacts)) == bag(result)
 
 
+@pytest.fixture
+def stored(frame, tmp_path):
+    """The three tables of the job in a format, as their two layers."""
+
+    def write(fmt):
+        raw, modelled = str(tmp_path / "raw"), str(tmp_path / "modelled")
+        policies = frame([("P", 1, "K", 0), ("Q", 1, " ", 0)], POLICIES)
+        io.overwrite_dataset(policies, io.table_path(modelled, "policy_object"), fmt)
+        master = frame([("K", "R", "F", "Ana", "Paz", "Gil", "T", 0)], MASTER)
+        io.overwrite_dataset(master, io.table_path(raw, "party_master"), fmt)
+        contacts = frame([contact("K", calle="c")], CONTACTS)
+        io.overwrite_dataset(contacts, io.table_path(modelled, "contact_data"), fmt)
+        return raw, modelled
+
+    return write
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc"])
-def test_job_replaces_the_table(spark, frame, tmp_path, fmt):
-    from partyfold import sources as io
-
-    raw, modelled = str(tmp_path / "raw"), str(tmp_path / "modelled")
-    policies = frame([("P", 1, "K", 0), ("Q", 1, " ", 0)], POLICIES)
-    io.overwrite_dataset(policies, io.table_path(modelled, "policy_object"), fmt)
-    master = frame([("K", "R", "F", "Ana", "Paz", "Gil", "T", 0)], MASTER)
-    io.overwrite_dataset(master, io.table_path(raw, "party_master"), fmt)
-    contacts = frame([contact("K", calle="c")], CONTACTS)
-    io.overwrite_dataset(contacts, io.table_path(modelled, "contact_data"), fmt)
+def test_job_replaces_the_table(spark, stored, fmt):
+    raw, modelled = stored(fmt)
     for _ in range(2):
-        stored = plans.run_insured(spark, raw, modelled, fmt=fmt)
-        assert only(stored).nombre_completo == "Ana Paz Gil"
-    assert stored.columns == fixed.INSURED_COLUMNS
+        result = plans.run_insured(spark, raw, modelled, fmt=fmt)
+        assert only(result).nombre_completo == "Ana Paz Gil"
+    assert result.columns == fixed.INSURED_COLUMNS
+
+
+def test_command_line(spark, stored, monkeypatch):
+    raw, modelled = stored("orc")
+    options = ["--raw-root", raw, "--modelled-root", modelled, "--format", "orc"]
+    monkeypatch.setattr("sys.argv", ["partyfold", *options, "--insured-table", "insured"])
+    main()
+    assert only(io.read_table(spark, modelled, "insured", "orc")).num_poliza == "P"
+
+
+def test_session_leaves_given_settings_alone(spark, settings):
+    key = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    settings({key: "7MB"})
+    assert session("any").conf.get(key) == "7MB"
+    spark.conf.unset(key)
+    assert session("any").conf.get(key) == "128MB"

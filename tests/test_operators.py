@@ -9,7 +9,6 @@ from rows import bag
 from partyfold import operators as op
 
 
-# The only test of the original job: two rows count as two.
 def test_row_count_of_rows_with_a_stated_schema(spark):
     schema = T.StructType(
         [

@@ -1,7 +1,9 @@
 """Laws that hold for any input, on generated rows."""
 
 from collections import Counter
+from importlib import import_module
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -10,13 +12,22 @@ from rows import bag
 from partyfold import functions as fn
 from partyfold import operators as op
 
+joins = import_module("partyfold.operators.joins")
+
+
+@pytest.fixture(autouse=True, params=[joins.ROWS_PER_SALT, 1], ids=["unsalted", "salted"])
+def rows_per_salt(monkeypatch, request):
+    """Every law holds as well where each row is a salt of its own."""
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", request.param)
+
+
 SCHEMA = "k string, v string, n int"
 KEYS = st.sampled_from(["a", "a ", "b", "", None])
 ROWS = st.lists(
     st.tuples(KEYS, st.sampled_from(["x", "y", None]), st.sampled_from([1, 2, None])), max_size=12
 )
 few = settings(
-    max_examples=8,
+    max_examples=5,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
 )
