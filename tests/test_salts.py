@@ -76,6 +76,11 @@ def test_results_are_those_of_plain_joins(skewed, right, settings, threshold):
     assert bag(op.unmatched_rows(skewed, keys, ["k"])) == bag(skewed.join(keys, "k", "left_anti"))
 
 
+def test_tables_with_columns_that_cannot_be_hashed(frame):
+    table = frame([(1, {"a": 1}), (2, {})], "k int, m map<string,int>")
+    assert op.matched_rows(table, frame([(1,)], "k int"), ["k"]).first()["m"] == {"a": 1}
+
+
 def test_hot_null_key(spark, monkeypatch):
     monkeypatch.setattr(joins, "ROWS_PER_SALT", 100)
     key = F.when(F.col("id") % 3 > 0, F.col("id"))
