@@ -11,8 +11,8 @@ third of the left side from ending up in one task:
 3. Left rows take one of the salts of their bucket, right rows are repeated once for each,
    and the join is on the key and the salt.
 
-The salts add up to at most half the number of buckets beyond one each, so right rows grow
-by a half at worst, and usually not at all. Since the salt is part of the join key, both
+Beyond one for each bucket, the salts add up to at most a quarter of the number of buckets,
+so right rows grow by a quarter at worst, and usually not at all. Since the salt is part of the join key, both
 inputs come straight out of a shuffle, also where an aggregation had placed the right side
 by key already. That is the form in which adaptive execution can split partitions further.
 

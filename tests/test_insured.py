@@ -217,3 +217,13 @@ def test_session_leaves_given_settings_alone(spark, settings):
     assert session("any").conf.get(key) == "7MB"
     spark.conf.unset(key)
     assert session("any").conf.get(key) == "128MB"
+
+
+def test_names_of_input_columns_may_be_upper_case(frame):
+    policies = frame([("P", 1, "K", 0)], POLICIES.replace("num", "NUM").replace("cve", "CVE"))
+    master = frame([("K", "R", "F", "Ana", "Paz", "Gil", "T", 0)], MASTER.upper())
+    contacts = frame([contact("K", calle="c")], CONTACTS.upper())
+    result = plans.insured_flat(policies, master, contacts)
+    assert result.columns == fixed.INSURED_COLUMNS
+    row = only(result)
+    assert (row.rfc, row.calle, row.nombre_completo) == ("R", "c", "Ana Paz Gil")

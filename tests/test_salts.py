@@ -66,9 +66,15 @@ def test_right_rows_are_repeated_for_hot_buckets_only(skewed, right):
     assert repeated.count() < right.count() + 100
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_results_are_those_of_plain_joins(skewed, right, settings, threshold):
-    settings({"spark.sql.autoBroadcastJoinThreshold": threshold})
+def test_results_are_those_of_plain_joins(skewed, right, settings, threshold, adaptive):
+    settings(
+        {
+            "spark.sql.autoBroadcastJoinThreshold": threshold,
+            "spark.sql.adaptive.enabled": adaptive,
+        }
+    )
     keys = right.select(F.col("key").alias("k"))
     left = bag(op.left_join_one(skewed, right, ["k"], ["key"]))
     assert left == bag(skewed.join(right, F.col("k") == F.col("key"), "left").drop("key"))
