@@ -5,7 +5,7 @@ third of the left side from ending up in one task:
 
 1. The left keys are hashed into a fixed number of buckets and the buckets are counted.
    The count is combined on the map side, so its shuffle is small however many keys there
-   are, and its result has at most `BUCKETS` rows. That bound is why it may be broadcast.
+   are, and its result is one row of `BUCKETS` numbers, used as a scalar subquery.
 2. A bucket with far more than its share of rows gets a number of salts in proportion to
    its rows; any other bucket gets one.
 3. Left rows take one of the salts of their bucket, right rows are repeated once for each,
@@ -19,8 +19,8 @@ by key already. That is the form in which adaptive execution can split partition
 Adaptive execution alone would not do: it looks at compressed bytes, and the rows of a hot
 key, being so alike, compress to much less than their number suggests.
 
-Nothing but the bucket counts is marked for broadcast. Adaptive execution may broadcast a
-right side that it has measured and found small.
+No side is marked for broadcast. Spark broadcasts a right side that it knows or has
+measured to be small.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partyfold.columns import actual_names
@@ -46,24 +46,27 @@ _RIGHT_SALT = "__right_salt"
 _RIGHT_KEY = "__right_key_"
 
 
-def _bucket(keys: Sequence[str]):
+def _bucket(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
 def _salts_per_bucket(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Buckets that need more than one salt, at most `BUCKETS` rows."""
-    counted = df.groupBy(_bucket(keys).alias(_BUCKET)).agg(F.count(F.lit(1)).alias("n"))
-    shares = counted.agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct(_BUCKET, "n")).alias("buckets")
-    ).select("total", F.inline("buckets"))
+    """One row with the number of salts of every bucket, as an array of `BUCKETS` numbers."""
+    present = df.select(_bucket(keys).alias(_BUCKET), F.lit(1).alias("n"))
+    every = df.sparkSession.range(BUCKETS).select(F.col("id").cast("int"), F.lit(0))
+    counted = present.unionAll(every).groupBy(_BUCKET).agg(F.sum("n").alias("n"))
+    counts = counted.agg(
+        F.sum("n").alias("total"),
+        F.array_sort(F.collect_list(F.struct(_BUCKET, "n"))).alias("buckets"),
+    )
     share = F.col("total") * F.lit(SHARES_PER_SALT / BUCKETS)
-    salts = F.ceil(F.col("n") / F.greatest(share, F.lit(float(ROWS_PER_SALT))))
-    return shares.select(_BUCKET, salts.cast("int").alias(_SALTS)).where(F.col(_SALTS) > 1)
+    rows = F.greatest(share, F.lit(float(ROWS_PER_SALT)))
+    salts = F.transform("buckets", lambda b: F.greatest(F.ceil(b["n"] / rows), F.lit(1)))
+    return counts.select(salts.cast("array<int>").alias(_SALTS))
 
 
-def _with_salt_count(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    found = df.withColumn(_BUCKET, _bucket(keys)).join(F.broadcast(salts), _BUCKET, "left")
-    return found.select(*df.columns, F.coalesce(F.col(_SALTS), F.lit(1)).alias(_SALTS))
+def _salt_count(salts: DataFrame, keys: Sequence[str]) -> Column:
+    return F.get(salts.scalar(), _bucket(keys))
 
 
 def _take_one_salt(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,14 +75,14 @@ def _take_one_salt(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> Data
     hashable = [c for c, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
     # The partition number sets copies of one row apart.
     row_hash = F.xxhash64(*hashable, F.spark_partition_id())
-    salt = F.pmod(row_hash, F.col(_SALTS)).cast("int")
-    return _with_salt_count(df, salts, keys).select(*df.columns, salt.alias(_SALT))
+    salt = F.pmod(row_hash, _salt_count(salts, keys)).cast("int")
+    return df.select(*df.columns, salt.alias(_SALT))
 
 
 def _repeat_for_salts(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each row once for every salt of its bucket."""
-    all_salts = F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))
-    return _with_salt_count(df, salts, keys).select(*df.columns, all_salts.alias(_RIGHT_SALT))
+    all_salts = F.explode(F.sequence(F.lit(0), _salt_count(salts, keys) - 1))
+    return df.select(*df.columns, all_salts.alias(_RIGHT_SALT))
 
 
 def _spread_join(

@@ -16,16 +16,14 @@ NO_BROADCAST = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
 }
-FORBIDDEN = re.compile(r"Python|Pandas|Arrow|Cartesian|NestedLoop")
-BROADCAST = re.compile(r"BroadcastExchange.*\n(?:.*\n)?.*__bucket")
+FORBIDDEN = re.compile(r"Python|Pandas|Arrow|Cartesian|NestedLoop|BroadcastExchange")
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_no_python_no_pairs_and_only_bucket_counts_broadcast(spark, settings, name):
+def test_no_python_no_pairs_no_forced_broadcast(spark, settings, name):
     settings(NO_BROADCAST)
     plan = planned(QUERIES[name](spark, SMALL))
     assert not FORBIDDEN.search(plan), plan
-    assert plan.count("BroadcastExchange") == len(BROADCAST.findall(plan)), plan
 
 
 @pytest.mark.parametrize("name", ["dedup_policy_version", "insured_flat", "join_left_master"])
@@ -49,8 +47,7 @@ def test_insured_table_joins_once_and_shuffles_four_times(spark, settings):
     plan = planned(QUERIES["insured_flat"](spark, SMALL))
     assert plan.count("SortMergeJoin") == 1
     shuffled_by = re.findall(r" Exchange hashpartitioning\((\w+)", plan)
-    of_bucket_counts = "_groupingexpression"
-    assert [k for k in shuffled_by if k != of_bucket_counts] == [
+    assert [k for k in shuffled_by if k != "__bucket"] == [
         "cve_filiacion", "num_poliza", "__right_key_0", "__party",
     ]
 
