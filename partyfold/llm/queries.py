@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from partyfold.llm import ngram_join
+from partyfold.llm import licenses, ngram_join, sentencepieces, tiling, toxicity
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,8 +24,51 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_summary(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxic_spans(docs, model).select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every text, decodes the ids, and compares with what went in."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("given"))
+    back = sentencepieces.decoded(
+        sentencepieces.encoded(docs, PIECES)
+        .withColumns({"n_tokens": F.size("ids"), "ids_crc32": sentencepieces.checksum("ids")}),
+        PIECES,
+    )
+    return back.select(
+        "doc_id",
+        F.col("n_tokens").cast("bigint").alias("n_tokens"),
+        "ids_crc32",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.col("text").eqNullSafe(F.replace("given", F.lit("\u2581"), F.lit(" "))).alias("round_trip"),
+    )
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_license_scan": op3_license_scan,
+    "op5_toxicity": op5_toxicity,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
