@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyfold.llm import licenses, ngram_join, sentencepieces, tiling, toxicity
+from partyfold.llm import id_files, licenses, ngram_join, sentencepieces, tiling, topk, toxicity
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_summary(table(spark, sf_dir, "documents"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whose id is divisible by 50 against all others."""
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", topk.quantised(F.col("embedding")).alias("vector")
+    )
+    queries = vectors.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return topk.top_k(queries, vectors, k=5)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -63,12 +73,36 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_license_scan": op3_license_scan,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_toxicity": op5_toxicity,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_token_id_files": op10_token_id_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+                   CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), ranked AS (
+            SELECT query_id, vec_id, score,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
