@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyfold.llm import id_files, licenses, ngram_join, sentencepieces, tiling, topk, toxicity
+from partyfold.llm import id_files, licenses, ngram_join, sentencepieces, tiling, topk, toxicity, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -50,6 +50,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record, the archives read back."""
+    return warc.archived_pages(warc.archive(table(spark, sf_dir, "pages")))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and compares with what went in."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("given"))
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_toxicity": op5_toxicity,
+    "op6_warc": op6_warc,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_token_id_files": op10_token_id_files,
@@ -105,4 +111,19 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p
+        ), r AS (
+            SELECT *, payload_bytes >= 100 AND page_id <> first_id AS again FROM f
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first_id END AS refers_to
+        FROM r
+    """,
 }
