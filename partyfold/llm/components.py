@@ -8,37 +8,42 @@ from pyspark.sql import functions as F
 from partyfold.llm.storage import written
 
 
+def _ordered(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """`node, label` for every node of `a, b` edges; the label is the component's smallest node.
+    """`node, label` for every node of the `a, b` edges; the label is a node of the component.
 
-    Each round every node takes the smallest label around it and then the label of that
-    label, so that labels travel over several edges in a round. Groups are combined before the shuffle,
-    joins are equi-joins that adaptive execution can split, and every round is written to
-    the shared folder. An empty table gives an empty one.
+    In each round every node moves to the smallest node around it, and edges are drawn
+    anew between the nodes moved to. Edges within a component vanish and the rest get fewer,
+    a star at once, so that all rounds together handle little more than the first. With
+    node numbers that are hashes the rounds grow with the logarithm of the longest path.
+    Groups are combined before the shuffle, joins are equi-joins that adaptive execution can split,
+    and every round is written to the shared folder. An empty table gives an empty one.
     """
-    both = written(
-        edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .where("a <> b").distinct(),
-        "edges",
-    )
-    labels = written(
-        both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")),
-        "labels",
-    )
+    left = written(edges.select(*_ordered("a", "b")).where("a <> b").distinct(), "edges")
+    labels = None
     while True:
-        around = (
-            both.join(labels, F.col("b") == F.col("node"))
-            .groupBy("a").agg(F.min("label").alias("near"))
-        )
-        best = labels.join(around, F.col("node") == F.col("a")).select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
+        both = left.select("a", "b").unionAll(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        moved = written(
+            both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+            .select("node", F.least("node", "near").alias("label")),
+            "moved",
         )
-        parent = labels.select(F.col("node").alias("p"), F.col("label").alias("up"))
-        step = written(
-            best.join(parent, F.col("label") == F.col("p"))
-            .select("node", "old", F.least("label", "up").alias("label")),
-            "labels",
+        if labels is None:
+            labels = moved
+        else:
+            onward = moved.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            labels = labels.join(onward, "label", "left").select(
+                "node", F.coalesce("next", "label").alias("label")
+            )
+        of_a = moved.select(F.col("node").alias("a"), F.col("label").alias("to_a"))
+        of_b = moved.select(F.col("node").alias("b"), F.col("label").alias("to_b"))
+        left = written(
+            left.join(of_a, "a").join(of_b, "b").where("to_a <> to_b")
+            .select(*_ordered("to_a", "to_b")).distinct(),
+            "edges",
         )
-        labels = step.select("node", "label")
-        if step.where("old <> label").isEmpty():
+        if left.isEmpty():
             return labels

@@ -30,7 +30,7 @@ row; it never names a component that has another id. Other columns are ignored.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
 from math import log2
@@ -178,19 +178,9 @@ def required(query: int, other: int, num: int, den: int) -> int:
     return -(-num * (query + other) // (num + den))
 
 
-def divide_skip(lists: list[list[int]], least: int, weight: float = 0.01) -> dict[int, int]:
-    """Ids that occur in at least `least` of the sorted lists, with the number of lists.
-
-    The longest lists are set aside, as many as pays; an id has to occur in
-    `least - set aside` of the others to be probed in them at all.
-    """
-    if least < 1 or len(lists) < least:
-        return {}
-    lists = sorted(lists, key=len)
-    aside = min(least - 1, int(least / (weight * log2(max(2, len(lists[-1]))) + 1)))
-    merged, probed = lists[: len(lists) - aside], lists[len(lists) - aside :]
-    bar = least - aside
-    heap = [(own[0], i, 0) for i, own in enumerate(merged) if own]
+def merge_skip(lists: list[list[int]], bar: int) -> dict[int, int]:
+    """Ids in at least `bar` of the sorted lists, and in how many, by a heap over their heads."""
+    heap = [(own[0], i, 0) for i, own in enumerate(lists) if own]
     heapify(heap)
     found: dict[int, int] = {}
     while len(heap) >= bar:
@@ -201,8 +191,8 @@ def divide_skip(lists: list[list[int]], least: int, weight: float = 0.01) -> dic
         if len(same) >= bar:
             found[top] = len(same)
             for _, i, at in same:
-                if at + 1 < len(merged[i]):
-                    heappush(heap, (merged[i][at + 1], i, at + 1))
+                if at + 1 < len(lists[i]):
+                    heappush(heap, (lists[i][at + 1], i, at + 1))
             continue
         # No id below the new top can occur in enough of the lists taken off.
         while heap and len(same) < bar - 1:
@@ -211,21 +201,38 @@ def divide_skip(lists: list[list[int]], least: int, weight: float = 0.01) -> dic
             break
         goal = heap[0][0]
         for _, i, at in same:
-            at = bisect_left(merged[i], goal, at)
-            if at < len(merged[i]):
-                heappush(heap, (merged[i][at], i, at))
-    result = {}
-    for other, times in found.items():
-        left = len(probed)
-        for own in probed:
-            if times + left < least:
-                break
-            at = bisect_left(own, other)
-            times += at < len(own) and own[at] == other
-            left -= 1
-        if times >= least:
-            result[other] = times
-    return result
+            at = bisect_left(lists[i], goal, at)
+            if at < len(lists[i]):
+                heappush(heap, (lists[i][at], i, at))
+    return found
+
+
+def divide_skip(
+    lists: list[np.ndarray], least: int, need: Callable[[np.ndarray], np.ndarray], weight: float = 0.001
+) -> dict[int, int]:
+    """Ids that occur in enough of the sorted lists, with the number of lists.
+
+    `need` tells how many lists each of some ids has to be in, never fewer than `least`. The longest lists are
+    set aside, as many as pays; an id has to occur in `least - set aside` of the others to
+    be looked up in them at all, and the search for it ends when it cannot reach its need.
+    """
+    if least < 1 or len(lists) < least:
+        return {}
+    lists = sorted(lists, key=len)
+    aside = min(least - 1, int(least / (weight * log2(max(2, len(lists[-1]))) + 1)))
+    merged, probed = lists[: len(lists) - aside], lists[len(lists) - aside :]
+    found = merge_skip([own.tolist() for own in merged], least - aside)
+    ids, times = np.array(list(found), np.int64), np.array(list(found.values()), np.int64)
+    wanted = need(ids)
+    for left, own in zip(range(len(probed), -1, -1), [*probed, None]):
+        alive = times + left >= wanted
+        if not alive.all():
+            ids, times, wanted = ids[alive], times[alive], wanted[alive]
+        if not len(ids) or own is None:
+            break
+        at = np.minimum(np.searchsorted(own, ids), len(own) - 1)
+        times = times + (own[at] == ids)
+    return dict(zip(ids.tolist(), times.tolist()))
 
 
 class _Forest:
@@ -256,8 +263,13 @@ def links_within(
     keys, ids = values[indexed][order], owner[indexed][order]
     distinct, first = np.unique(keys, return_index=True)
     last = np.append(first[1:], len(keys))
+    sizes = np.array([len(s) for s in sets])
     forest = _Forest(len(sets))
-    for q in np.flatnonzero(is_query):
+
+    def need(others: np.ndarray) -> np.ndarray:
+        return -(-num * (len(own) + sizes[others]) // (num + den))
+
+    for q in np.flatnonzero(is_query).tolist():
         own = sets[q]
         if not len(own) or not len(distinct):
             continue
@@ -265,15 +277,17 @@ def links_within(
         least = required(len(own), smallest, num, den)
         at = np.minimum(np.searchsorted(distinct, own), len(distinct) - 1)
         at = at[distinct[at] == own]
+        begin, end = first[at], last[at]
         if is_indexed[q]:
-            at = at[last[at] - first[at] > 1]  # the others are lists of this document alone
-        if len(at) < least:
+            begin, end = begin[end - begin > 1], end[end - begin > 1]
+        if len(begin) < least:
             continue
-        lists = [ids[first[k] : last[k]].tolist() for k in at]
-        for other, times in divide_skip(lists, least).items():
-            if other != q and times >= required(len(own), len(sets[other]), num, den):
-                if forest.join(int(q), other):
-                    yield int(q), other
+        lists = [ids[a:b] for a, b in zip(begin.tolist(), end.tolist())]
+        if is_indexed[q]:  # a pair is found by the later of the two
+            lists = [own[: np.searchsorted(own, q)] for own in lists if own[0] < q]
+        for other in divide_skip(lists, least, need):
+            if forest.join(q, other):
+                yield q, other
 
 
 def _searcher(size: int, num: int, den: int):
@@ -321,7 +335,7 @@ def near_duplicates(
     words: int = 5,
     num: int = 80,
     den: int = 100,
-    block_shingles: int = 400_000,
+    block_shingles: int = 150_000,
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id` for every row of `docs` (`doc_id`, `text`).
 
