@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyfold.llm import id_files, licenses, ngram_join, sentencepieces, tiling, topk, toxicity, warc
+from partyfold.llm import (
+    backoff,
+    id_files,
+    licenses,
+    ngram_join,
+    sentencepieces,
+    tiling,
+    topk,
+    toxicity,
+    warc,
+    wordpiece,
+)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -25,6 +36,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_summary(table(spark, sf_dir, "documents"))
 
@@ -78,18 +93,25 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of words, counted over all documents."""
+    return backoff.stupid_backoff(table(spark, sf_dir, "documents"), order=2)
+
+
 def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
 
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_token_counts": op2_token_counts,
     "op3_license_scan": op3_license_scan,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_toxicity": op5_toxicity,
     "op6_warc": op6_warc,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_stupid_backoff": op9_stupid_backoff,
     "op10_token_id_files": op10_token_id_files,
 }
 
