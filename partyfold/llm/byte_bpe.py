@@ -16,6 +16,7 @@ from itertools import chain
 
 import numpy as np
 
+from partyfold.llm.memo import Memo
 from partyfold.llm.words import U64, SpanHash, mix
 
 _LETTER, _NUMBER, _SPACE, _OTHER, _BORDER, _UNSURE = range(6)
@@ -67,27 +68,15 @@ class ByteBpe:
         self._library = Tokenizer.from_file(path)
         self._added = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self.size = self._library.get_vocab_size()
-        self._remember = remember
-        self._forget()
-
-    def _forget(self) -> None:
-        """Sorted hashes of pretokens; where the ids of each begin, and how many there are."""
-        self._keys, self._ids = np.zeros(0, U64), np.zeros(0, np.uint32)
-        self._first, self._size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._seen = Memo(remember, np.uint32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        """Add pretokens whose hashes are sorted and new."""
         new = self._whole(texts)
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        first = len(self._ids) + np.cumsum(sizes) - sizes
-        flat = np.fromiter(chain.from_iterable(new), np.uint32, int(sizes.sum()))
-        at = np.searchsorted(self._keys, keys)
-        self._ids = np.concatenate([self._ids, flat])
-        self._keys = np.insert(self._keys, at, keys)
-        self._first, self._size = np.insert(self._first, at, first), np.insert(self._size, at, sizes)
+        size = np.fromiter(map(len, new), np.int64, len(new))
+        self._seen.learn(keys, np.fromiter(chain.from_iterable(new), np.uint32, int(size.sum())), size)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin."""
@@ -117,16 +106,10 @@ class ByteBpe:
             starts, ends, text = starts[keep], ends[keep], text[keep]
             hashes = SpanHash(mix(codes.astype(U64) + U64(1))).of(starts, ends)
             distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            if len(self._keys) > self._remember:
-                self._forget()
-            missing = ~np.isin(distinct, self._keys, assume_unique=True)
-            at = first[missing].tolist()
-            self._learn(distinct[missing], [joined[starts[k] : ends[k]] for k in at])
-            place = np.searchsorted(self._keys, distinct)[inverse]
-            size = self._size[place]
-            before = np.concatenate([[0], np.cumsum(size)])
-            at = np.repeat(self._first[place] - before[:-1], size)
-            flat = self._ids[at + np.arange(len(at))]
+            new = self._seen.missing(distinct)
+            at = first[new].tolist()
+            self._learn(distinct[new], [joined[starts[k] : ends[k]] for k in at])
+            flat, before = self._seen.lists(distinct, inverse)
             bounds = before[np.searchsorted(text, np.arange(len(texts) + 1))]
             if not len(whole):
                 return flat, bounds
