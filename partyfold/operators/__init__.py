@@ -5,6 +5,7 @@ from partyfold.operators.dedup import distinct_rows, first_per_key, row_count
 from partyfold.operators.delta import delta_keys, delta_restrict, delta_upsert
 from partyfold.operators.gaps import gap_adjust, gap_rows
 from partyfold.operators.joins import (
+    Spread,
     chain_fanout,
     left_join_one,
     matched_rows,
@@ -15,6 +16,7 @@ from partyfold.operators.union import union_all
 
 __all__ = [
     "FigureSource",
+    "Spread",
     "chain_fanout",
     "control_figures",
     "delta_keys",

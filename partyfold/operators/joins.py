@@ -1,31 +1,33 @@
 """Joins of a large table with a table that holds at most one row per key.
 
-Left, semi and anti joins all go through `_spread_join`, which keeps a key that holds a
-third of the left side from ending up in one task:
-
-1. The left keys are hashed into a fixed number of buckets and the buckets are counted.
-   The count is combined on the map side, so its shuffle is small however many keys there
-   are, and its result is one row of `BUCKETS` numbers, used as a scalar subquery.
-2. A bucket with far more than its share of rows gets a number of salts in proportion to
-   its rows; any other bucket gets one.
+Plain equi-joins unless told otherwise: filters and column pruning pass through them, and
+Spark broadcasts a right side that it knows or has measured to be small, where no key can be hot. No
+side is marked for broadcast.
+
+For two large sides, `Spread` keeps a key that holds a third of the left side from ending
+up in one task:
+
+1. The left keys are hashed into `buckets` buckets and the buckets are counted, combined
+   on the map side. The result is one row with a number for each bucket, used as a scalar subquery.
+2. What a bucket has beyond twice the average is dealt to as many salts as it has times `rows_per_task`.
+   There is no upper limit.
 3. Left rows take one of the salts of their bucket, right rows are repeated once for each,
    and the join is on the key and the salt.
 
-Beyond one for each bucket, the salts add up to at most a quarter of the number of buckets,
-so right rows grow by a quarter at worst, and usually not at all. Since the salt is part of the join key, both
-inputs come straight out of a shuffle, also where an aggregation had placed the right side
-by key already. That is the form in which adaptive execution can split partitions further.
+The salt is a hash of the key and the columns `by` names, so it is the same whenever a task is run, it
+needs no column besides these, and filters and column pruning pass through it as well. Rows
+of one key that are alike in those columns stay together: name columns that tell them apart.
 
-Adaptive execution alone would not do: it looks at compressed bytes, and the rows of a hot
-key, being so alike, compress to much less than their number suggests.
-
-No side is marked for broadcast. Spark broadcasts a right side that it knows or has
-measured to be small.
+Right rows grow by those of the hot buckets only; more buckets leave fewer innocent keys in
+them. Adaptive execution alone would not do: it looks at compressed bytes, and the rows of
+a hot key, being so alike, compress to much less than their number suggests; and it
+does not split a join that an aggregation feeds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -35,10 +37,6 @@ from pyspark.sql import functions as F
 from partyfold.columns import actual_names
 from partyfold.operators.dedup import distinct_rows, with_keys
 
-BUCKETS = 16384
-SHARES_PER_SALT = 4
-ROWS_PER_SALT = 200_000
-
 _BUCKET = "__bucket"
 _SALTS = "__salts"
 _SALT = "__salt"
@@ -46,55 +44,77 @@ _RIGHT_SALT = "__right_salt"
 _RIGHT_KEY = "__right_key_"
 
 
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+@dataclass(frozen=True)
+class Spread:
+    """How to deal out hot keys.
+
+    `by`: left columns that tell the rows of a key apart. `counted`: a table with about the same
+    keys that is cheaper to compute than the left side. `rows_per_task`: how many rows of a
+    hot bucket one salt takes. `buckets`: numbers in the scalar subquery.
+    """
+
+    by: Sequence[str]
+    counted: DataFrame | None = None
+    rows_per_task: int = 1_000_000
+    buckets: int = 16_384
+
+    def __post_init__(self) -> None:
+        if not self.by or self.rows_per_task < 1 or self.buckets < 1:
+            raise ValueError("give columns to spread by, and at least one row and bucket")
 
 
-def _salts_per_bucket(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row with the number of salts of every bucket, as an array of `BUCKETS` numbers."""
-    present = df.select(_bucket(keys).alias(_BUCKET), F.lit(1).alias("n"))
-    every = df.sparkSession.range(BUCKETS).select(F.col("id").cast("int"), F.lit(0))
+def _bucket(keys: Sequence[str], spread: Spread) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(spread.buckets)).cast("int")
+
+
+def _salts_per_bucket(df: DataFrame, keys: Sequence[str], spread: Spread) -> DataFrame:
+    """One row with the number of salts of every bucket, as an array."""
+    present = df.select(_bucket(keys, spread).alias(_BUCKET), F.lit(1).alias("n"))
+    every = df.sparkSession.range(spread.buckets).select(F.col("id").cast("int"), F.lit(0))
     counted = present.unionAll(every).groupBy(_BUCKET).agg(F.sum("n").alias("n"))
     counts = counted.agg(
-        F.sum("n").alias("total"),
+        F.avg("n").alias("average"),
         F.array_sort(F.collect_list(F.struct(_BUCKET, "n"))).alias("buckets"),
     )
-    share = F.col("total") * F.lit(SHARES_PER_SALT / BUCKETS)
-    rows = F.greatest(share, F.lit(float(ROWS_PER_SALT)))
-    salts = F.transform("buckets", lambda b: F.greatest(F.ceil(b["n"] / rows), F.lit(1)))
+    rows, ordinary = F.lit(spread.rows_per_task), F.col("average") * 2
+    salts = F.transform(
+        "buckets",
+        lambda b: F.when(b["n"] <= F.greatest(ordinary, rows), 1).otherwise(F.ceil(b["n"] / rows)),
+    )
     return counts.select(salts.cast("array<int>").alias(_SALTS))
 
 
-def _salt_count(salts: DataFrame, keys: Sequence[str]) -> Column:
-    return F.get(salts.scalar(), _bucket(keys))
+def _salt_count(salts: DataFrame, keys: Sequence[str], spread: Spread) -> Column:
+    return F.get(salts.scalar(), _bucket(keys, spread))
 
 
-def _take_one_salt(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each row with one of the salts of its bucket, the same one if a task is run again."""
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    hashable = [c for c, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
-    # The partition number sets copies of one row apart.
-    row_hash = F.xxhash64(*hashable, F.spark_partition_id())
-    salt = F.pmod(row_hash, _salt_count(salts, keys)).cast("int")
+def _take_one_salt(
+    df: DataFrame, salts: DataFrame, keys: Sequence[str], spread: Spread
+) -> DataFrame:
+    """Each row with one of the salts of its bucket."""
+    row_hash = F.xxhash64(*keys, *actual_names(df, spread.by))
+    salt = F.pmod(row_hash, _salt_count(salts, keys, spread)).cast("int")
     return df.select(*df.columns, salt.alias(_SALT))
 
 
-def _repeat_for_salts(df: DataFrame, salts: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _repeat_for_salts(
+    df: DataFrame, salts: DataFrame, keys: Sequence[str], spread: Spread
+) -> DataFrame:
     """Each row once for every salt of its bucket."""
-    all_salts = F.explode(F.sequence(F.lit(0), _salt_count(salts, keys) - 1))
+    all_salts = F.explode(F.sequence(F.lit(0), _salt_count(salts, keys, spread) - 1))
     return df.select(*df.columns, all_salts.alias(_RIGHT_SALT))
 
 
-def _spread_join(
+def _join_one(
     left: DataFrame,
     right: DataFrame,
     left_keys: Sequence[str],
     right_keys: Sequence[str],
     how: str,
     null_safe: bool = False,
-    counted: DataFrame | None = None,
+    spread: Spread | None = None,
 ) -> DataFrame:
-    """Join with a right side of one row per key. `counted` has the left keys to count."""
+    """Join with a right side of one row per key."""
     if len(left_keys) != len(right_keys) or not left_keys:
         raise ValueError("give the same number of keys, at least one, for both sides")
     left_keys, right_keys = actual_names(left, left_keys), actual_names(right, right_keys)
@@ -106,18 +126,18 @@ def _spread_join(
         if left.schema[a].dataType != right.schema[b].dataType:
             raise ValueError(f"keys {a} and {b} differ in type, cast one of them")
 
-    salts = _salts_per_bucket(left if counted is None else counted, left_keys)
-    salted_left = _take_one_salt(left, salts, left_keys)
     aliases = [f"{_RIGHT_KEY}{i}" for i in range(len(right_keys))]
-    renamed = right.select(
-        *[F.col(k).alias(a) for k, a in zip(right_keys, aliases)], *payload
-    )
-    salted_right = _repeat_for_salts(renamed, salts, aliases)
-    # Keys before the salt, which is nearly always zero and would make a slow first sort column.
+    right = right.select(*[F.col(k).alias(a) for k, a in zip(right_keys, aliases)], *payload)
     pairs = [(F.col(key), F.col(alias)) for key, alias in zip(left_keys, aliases)]
     same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    matches = reduce(and_, [*same, F.col(_SALT) == F.col(_RIGHT_SALT)])
-    return salted_left.join(salted_right, matches, how).drop(_SALT, _RIGHT_SALT, *aliases)
+    if spread is not None:
+        counted = left if spread.counted is None else spread.counted
+        salts = _salts_per_bucket(counted, left_keys, spread)
+        left = _take_one_salt(left, salts, left_keys, spread)
+        right = _repeat_for_salts(right, salts, aliases, spread)
+        # Keys first: the salt is nearly always zero and would make a slow first sort column.
+        same.append(F.col(_SALT) == F.col(_RIGHT_SALT))
+    return left.join(right, reduce(and_, same), how).drop(_SALT, _RIGHT_SALT, *aliases)
 
 
 def left_join_one(
@@ -125,15 +145,14 @@ def left_join_one(
     right: DataFrame,
     left_keys: Sequence[str],
     right_keys: Sequence[str],
-    counted: DataFrame | None = None,
+    spread: Spread | None = None,
 ) -> DataFrame:
     """Left outer join with a table that has one row per key; keeps every left row once.
 
     Keys are compared as they are: `'K '` does not match `'K'`, null matches nothing.
-    Reduce the right side with `first_per_key` first. Where the left side is costly to
-    compute, `counted` names a cheaper table with about the same keys to look for hot ones.
+    Reduce the right side with `first_per_key` first.
     """
-    return _spread_join(left, right, left_keys, right_keys, "left", counted=counted)
+    return _join_one(left, right, left_keys, right_keys, "left", spread=spread)
 
 
 def matched_rows(
@@ -141,11 +160,12 @@ def matched_rows(
     key_table: DataFrame,
     keys: Sequence[str],
     key_table_keys: Sequence[str] | None = None,
+    spread: Spread | None = None,
 ) -> DataFrame:
     """Rows of `table` whose key occurs in `key_table` (our definition)."""
     other = actual_names(key_table, key_table_keys or keys)
     present = distinct_rows(with_keys(key_table, other), other)
-    return _spread_join(table, present, keys, other, "left_semi")
+    return _join_one(table, present, keys, other, "left_semi", spread=spread)
 
 
 def unmatched_rows(
@@ -154,6 +174,7 @@ def unmatched_rows(
     keys: Sequence[str],
     key_table_keys: Sequence[str] | None = None,
     null_safe: bool = False,
+    spread: Spread | None = None,
 ) -> DataFrame:
     """Rows of `table` whose key does not occur in `key_table` (our definition).
 
@@ -162,7 +183,7 @@ def unmatched_rows(
     other = actual_names(key_table, key_table_keys or keys)
     rows = key_table if null_safe else with_keys(key_table, other)
     present = distinct_rows(rows, other)
-    return _spread_join(table, present, keys, other, "left_anti", null_safe)
+    return _join_one(table, present, keys, other, "left_anti", null_safe, spread)
 
 
 def chain_fanout(
@@ -172,6 +193,7 @@ def chain_fanout(
 
     Counts per key are combined on the map side and multiplied; a right side that lacks
     the key counts as one row. A chain is worth reducing first where the numbers are high.
+    Products are decimals of 38 digits; one that is longer still is an error.
     """
     [key] = actual_names(left, [left_key])
     counted = left.select(F.col(key), F.lit(0).alias("__side"))
@@ -182,7 +204,13 @@ def chain_fanout(
     per_key = counted.groupBy(key).agg(
         *[F.count_if(F.col("__side") == side).alias(f"__rows_{side}") for side in sides]
     )
-    product = F.col("__rows_0")
+
+    def wide(rows: Column) -> Column:
+        return rows.cast("decimal(19,0)")
+
+    product = wide(F.col("__rows_0")).cast("decimal(38,0)")
     for side in sides[1:]:
-        product = product * F.greatest(F.col(f"__rows_{side}"), F.lit(1))
+        times = F.greatest(F.col(f"__rows_{side}"), F.lit(1))
+        exact = (product * wide(times)).cast("decimal(38,0)")
+        product = F.coalesce(exact, F.raise_error("more than 38 digits of joined rows").cast("decimal(38,0)"))
     return per_key.where(F.col("__rows_0") > 0).select(key, product.alias("joined_rows"))

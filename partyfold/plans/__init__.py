@@ -1,13 +1,12 @@
 """Whole jobs made of operators."""
 
 from partyfold.plans.insured import insured_flat, register_views, run_insured
-from partyfold.plans.loads import loaded_table, runs_control_figures, runs_movement_history
+from partyfold.plans.loads import loaded_table, runs_whole_history
 
 __all__ = [
     "insured_flat",
     "loaded_table",
     "register_views",
     "run_insured",
-    "runs_control_figures",
-    "runs_movement_history",
+    "runs_whole_history",
 ]

@@ -23,8 +23,14 @@ from partyfold.functions import (
     text_or_empty,
     usable_key,
 )
-from partyfold.operators import first_per_key, left_join_one
-from partyfold.sources import overwrite_dataset, read_dataset, read_table, table_path
+from partyfold.operators import Spread, first_per_key, left_join_one
+from partyfold.sources import (
+    overwrite_dataset,
+    read_dataset,
+    read_table,
+    require_types,
+    table_path,
+)
 
 _MASTER, _CONTACT = "__master", "__contact"
 _PARTY = "__party"
@@ -95,16 +101,22 @@ def party_profiles(master: DataFrame, contacts: DataFrame) -> DataFrame:
     )
 
 
-def insured_flat(policies: DataFrame, master: DataFrame, contacts: DataFrame) -> DataFrame:
+def insured_flat(
+    policies: DataFrame, master: DataFrame, contacts: DataFrame, spread: bool = True
+) -> DataFrame:
     """The 34 columns of the insured table, one row per policy and version.
 
+    `spread` deals out the policies of a party that holds many of them, at the price of
+    counting the parties first; turn it off where the parties are few enough to be broadcast.
+
     Policies of parties that the master does not know are kept: their master columns are
     null, the label is the one of a legal person and the full name is empty.
     """
     usable = policies_with_party(policies)
     versions = first_per_key(usable, ["num_poliza", "num_version"])
     profiles = party_profiles(master, contacts)
-    joined = left_join_one(versions, profiles, ["cve_filiacion"], [_PARTY], counted=usable)
+    how = Spread(by=["num_poliza", "num_version"], counted=usable) if spread else None
+    joined = left_join_one(versions, profiles, ["cve_filiacion"], [_PARTY], how)
     unknown_label = F.lit(fixed.LEGAL_PERSON_LABEL)
     return joined.withColumns(
         {
@@ -131,13 +143,26 @@ def run_insured(
     contact_table: str = "contact_data",
     insured_table: str = "insured_flat",
     fmt: str = "parquet",
+    spread: bool = True,
 ) -> DataFrame:
-    """The whole job: read the three tables, build the insured table, replace it."""
-    result = insured_flat(
+    """The whole job: read the three tables, check them, build the insured table, replace it.
+
+    A column that is missing, or is not text where text is expected, is an error before anything runs.
+    """
+    text = T.StringType()
+    policies = require_types(
         read_table(spark, modelled_root, policy_table, fmt),
+        {c: text if c == "cve_filiacion" else None for c in fixed.POLICY_COLUMNS},
+    )
+    master = require_types(
         read_table(spark, raw_root, master_table, fmt),
+        dict.fromkeys([fixed.MASTER_KEY, *fixed.MASTER_COLUMNS], text),
+    )
+    contacts = require_types(
         read_table(spark, modelled_root, contact_table, fmt),
+        dict.fromkeys([fixed.CONTACT_KEY, *fixed.CONTACT_COLUMNS], text),
     )
+    result = insured_flat(policies, master, contacts, spread)
     target = table_path(modelled_root, insured_table)
     overwrite_dataset(result, target, fmt)
     return read_dataset(spark, target, fmt)

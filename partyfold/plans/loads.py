@@ -9,16 +9,11 @@ from pyspark.sql import DataFrame
 
 from partyfold import fixed
 from partyfold.modes import check_mode
-from partyfold.operators import delta_keys, delta_restrict, delta_upsert
+from partyfold.operators import Spread, delta_keys, delta_restrict, delta_upsert
 
 
-def runs_control_figures(mode: str) -> bool:
-    """Control figures are left out of delta runs."""
-    return check_mode(mode) != fixed.DELTA
-
-
-def runs_movement_history(mode: str) -> bool:
-    """So is the branch that works through the history of manual movements."""
+def runs_whole_history(mode: str) -> bool:
+    """Control figures and the branch of manual movements look at all days; delta runs leave them out."""
     return check_mode(mode) != fixed.DELTA
 
 
@@ -30,6 +25,8 @@ def loaded_table(
     changed_at: str,
     reference: date,
     days: int,
+    date_format: str | None = None,
+    spread: Spread | None = None,
 ) -> DataFrame:
     """The table after a load. A full load is the source as it is.
 
@@ -38,5 +35,5 @@ def loaded_table(
     """
     if check_mode(mode) == fixed.FULL:
         return source
-    changed = delta_keys(source, keys, changed_at, reference, days)
-    return delta_upsert(base, delta_restrict(source, changed, keys), keys)
+    changed = delta_keys(source, keys, changed_at, reference, days, date_format=date_format)
+    return delta_upsert(base, delta_restrict(source, changed, keys), keys, spread)

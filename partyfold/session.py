@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Skewed joins depend on the first two, which are Spark's defaults. The threshold is half
+# Adaptive execution merges partitions but never makes more than there were at first, so a
+# large shuffle has to begin with many. Skewed joins depend on the two after it, which are Spark's defaults. The threshold is half
 # of Spark's: one row of a hot party grows by 28 columns in the join, so its partition is
 # worth splitting earlier.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
 }

@@ -1,7 +1,12 @@
 """Datasets on shared storage: scans, replacement, copies, snapshots, backups, manifest."""
 
-from partyfold.sources.files import scratch_dir
-from partyfold.sources.manifest import append_manifest, decode_messages, load_events
+from partyfold.sources.files import Files, scratch, scratch_dir
+from partyfold.sources.manifest import (
+    append_manifest,
+    decode_messages,
+    load_events,
+    read_manifest,
+)
 from partyfold.sources.products import (
     read_by_product,
     read_product_list,
@@ -11,33 +16,42 @@ from partyfold.sources.tables import (
     adjust_after_snapshot,
     backup_layer,
     copy_dataset,
+    layer_datasets,
     overwrite_dataset,
+    partition_columns,
     read_dataset,
     read_table,
     replace_load,
+    read_whole,
     require_columns,
+    require_types,
     snapshot,
-    swap_dataset,
     table_path,
 )
 
 __all__ = [
+    "Files",
     "adjust_after_snapshot",
     "append_manifest",
     "backup_layer",
     "copy_dataset",
     "decode_messages",
+    "layer_datasets",
     "load_events",
     "overwrite_dataset",
+    "partition_columns",
     "read_by_product",
     "read_dataset",
+    "read_manifest",
     "read_product_list",
     "read_table",
+    "read_whole",
     "replace_load",
     "require_columns",
+    "require_types",
+    "scratch",
     "scratch_dir",
     "snapshot",
-    "swap_dataset",
     "table_path",
     "write_by_product",
 ]

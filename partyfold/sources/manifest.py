@@ -5,13 +5,13 @@ The records go to a manifest table instead of a message broker.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partyfold import fixed
 from partyfold.operators.joins import unmatched_rows
 from partyfold.sources.files import Files
-from partyfold.sources.tables import PARQUET, read_dataset
+from partyfold.sources.tables import PARQUET
 
 
 def load_events(finished: DataFrame, table: Column, mode: Column, stamp: Column) -> DataFrame:
@@ -33,10 +33,22 @@ def decode_messages(events: DataFrame) -> DataFrame:
     return events.select(F.from_json(body, schema).alias("event")).select("event.*")
 
 
+def read_manifest(spark: SparkSession, path: str, fmt: str = PARQUET) -> DataFrame:
+    """All events of a manifest. The days stay text, although they are names of folders."""
+    schema = ", ".join(f"`{c}` string" for c in (*fixed.LOAD_EVENT_FIELDS, "message"))
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
 def append_manifest(events: DataFrame, path: str, fmt: str = PARQUET) -> None:
-    """Append the events that the manifest does not hold yet, so a repeated run adds none."""
+    """Append the events that the manifest does not hold yet, so a repeated run adds none.
+
+    The manifest has one folder per day, and only the days of the new events are read. One
+    run at a time may append.
+    """
     spark = events.sparkSession
+    *_, day = fixed.LOAD_EVENT_FIELDS
     if Files(spark).exists(path):
-        known = read_dataset(spark, path, fmt)
+        days = [r[0] for r in events.select(day).distinct().collect()]  # a few: the days of a run
+        known = read_manifest(spark, path, fmt).where(F.col(day).isin(days))
         events = unmatched_rows(events, known, fixed.LOAD_EVENT_FIELDS, null_safe=True)
-    events.write.mode("append").format(fmt).save(path)
+    events.write.mode("append").format(fmt).partitionBy(day).save(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partyfold.sources.tables import PARQUET, overwrite_dataset
+from partyfold.sources.tables import PARQUET, current_path, overwrite_dataset
 
 
 def read_product_list(spark: SparkSession, path: str, name: str = "product") -> DataFrame:
@@ -23,9 +23,12 @@ def write_by_product(df: DataFrame, path: str, product: str, fmt: str = PARQUET)
 
     The rebalance step gathers a small product into few files and splits a hot product
     over many tasks, where a repartition by product would put it all into one. A directory
-    cannot tell an empty product from a missing one: both come back as null.
+    cannot tell an empty product from a missing one, so an empty one is an error; a missing one comes back as null.
     """
-    overwrite_dataset(df.hint("rebalance", product), path, fmt, partition_by=[product])
+    code = F.col(product)
+    refused = F.raise_error("an empty product has no directory").cast(df.schema[product].dataType)
+    checked = df.withColumn(product, F.when(code == "", refused).otherwise(code))
+    overwrite_dataset(checked.hint("rebalance", product), path, fmt, partition_by=[product])
 
 
 def read_by_product(
@@ -35,4 +38,5 @@ def read_by_product(
 
     The schema is stated, so that codes such as `0123` are not taken for numbers.
     """
-    return spark.read.schema(like.schema).format(fmt).load(path).select(*like.columns)
+    where = current_path(spark, path)
+    return spark.read.schema(like.schema).format(fmt).load(where).select(*like.columns)

@@ -1,8 +1,16 @@
 """Reading, replacing, copying and backing up table datasets.
 
 A table lives at `<root>/<table>/data`. The format is a parameter: Parquet unless told
-otherwise; `avro` works wherever the Avro source is deployed. Writes go through Spark's
-file commit, so a lost executor costs a retried task and never a half-written table.
+otherwise; `avro` works wherever the Avro source is deployed.
+
+A dataset is replaced by writing a new version into a folder of its own beside the old one
+and then pointing to it: the file `_current` in the dataset's folder names the version. The
+pointer changes in one step, so readers find the old version or the new one, a
+failed job leaves the old one as it was, and the result may be computed from the dataset
+that it replaces. The version before stays for readers that are at work; older ones go.
+A folder without a pointer is a plain dataset and is read as it is.
+
+One job at a time may replace a dataset.
 """
 
 from __future__ import annotations
@@ -16,10 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from partyfold import fixed
+from partyfold.columns import actual_names
 from partyfold.modes import check_mode
 from partyfold.sources.files import Files
 
 PARQUET = "parquet"
+POINTER = "_current"
+_VERSION = "version-"
+_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 def table_path(root: str, table: str, part: str = fixed.DATA_DIR) -> str:
@@ -31,20 +43,34 @@ def require_columns(df: DataFrame, expected: T.StructType) -> DataFrame:
 
     Names are compared without case and come out as expected; nullability is not compared.
     """
+    return require_types(df, {f.name: f.dataType for f in expected.fields})
+
+
+def require_types(df: DataFrame, expected: Mapping[str, T.DataType | None]) -> DataFrame:
+    """The same for columns given by name; None stands for any type."""
     found = {f.name.lower(): f for f in df.schema.fields}
     problems = []
-    for field in expected.fields:
-        actual = found.get(field.name.lower())
+    for name, kind in expected.items():
+        actual = found.get(name.lower())
         if actual is None:
-            problems.append(f"{field.name} is missing")
-        elif actual.dataType != field.dataType:
+            problems.append(f"{name} is missing")
+        elif kind is not None and actual.dataType != kind:
             problems.append(
-                f"{field.name} is {actual.dataType.simpleString()}, "
-                f"expected {field.dataType.simpleString()}"
+                f"{name} is {actual.dataType.simpleString()}, expected {kind.simpleString()}"
             )
     if problems:
         raise ValueError("unexpected schema: " + "; ".join(problems))
-    return df.select(*[df[found[f.name.lower()].name].alias(f.name) for f in expected.fields])
+    return df.select(*[df[found[name.lower()].name].alias(name) for name in expected])
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """The folder that holds the dataset's files now."""
+    base = path.rstrip("/")
+    if any(c in base for c in "*?[{"):
+        return path
+    files = Files(spark)
+    pointer = f"{base}/{POINTER}"
+    return f"{base}/{files.read_text(pointer)}" if files.exists(pointer) else path
 
 
 def read_dataset(
@@ -55,10 +81,21 @@ def read_dataset(
     A path without data files is an error and never an empty table: the schema always
     comes from the files and is only then compared with the expected one.
     """
-    df = spark.read.format(fmt).load(path)
+    df = spark.read.format(fmt).load(current_path(spark, path))
     return df if expected is None else require_columns(df, expected)
 
 
+def read_whole(spark: SparkSession, path: str, fmt: str = PARQUET) -> DataFrame:
+    """A scan with every column of every file; partition columns stay the text they are in paths."""
+    before = spark.conf.get(_INFERENCE)
+    spark.conf.set(_INFERENCE, "false")
+    try:
+        where = current_path(spark, path)
+        return spark.read.format(fmt).option("mergeSchema", "true").load(where)
+    finally:
+        spark.conf.set(_INFERENCE, before)
+
+
 def read_table(
     spark: SparkSession,
     root: str,
@@ -77,35 +114,27 @@ def overwrite_dataset(
     compression: str = "snappy",
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Replace the whole dataset. `df` must not read from `path`; see `swap_dataset`."""
-    writer = df.write.mode("overwrite").format(fmt).option("compression", compression)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-
-
-def swap_dataset(df: DataFrame, path: str, fmt: str = PARQUET) -> None:
-    """Replace a dataset by a result that may read from it.
-
-    The result is written in full next to the target, then the two change places by
-    renaming. Until then readers see the old data, and a failed job leaves it untouched.
-    """
+    """Replace the whole dataset by `df`, which may read from it."""
     files = Files(df.sparkSession)
     base = path.rstrip("/")
-    run = uuid.uuid4().hex
-    staging, old = f"{base}_staging_{run}", f"{base}_old_{run}"
-    overwrite_dataset(df, staging, fmt)
-    had_data = files.exists(base)
-    if had_data:
-        files.rename(base, old)
+    before = files.read_text(f"{base}/{POINTER}") if files.exists(f"{base}/{POINTER}") else None
+    plain = [] if before is not None else files.list(base)
+    version = f"{_VERSION}{uuid.uuid4().hex}"
+    writer = df.write.format(fmt).option("compression", compression)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     try:
-        files.rename(staging, base)
-    except Exception:
-        if had_data:
-            files.rename(old, base)
+        writer.save(f"{base}/{version}")
+        files.replace_text(f"{base}/{POINTER}", version)
+    except BaseException:
+        files.remove(f"{base}/{version}")
+        if before is None and not plain:
+            files.remove(base)
         raise
-    if had_data:
-        files.remove(old)
+    keep = {POINTER, version, before, *(name for name, _ in plain)}
+    for name, _ in files.list(base):
+        if name not in keep:
+            files.remove(f"{base}/{name}")
 
 
 def replace_load(
@@ -133,12 +162,32 @@ def replace_load(
     return stored
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns that a dataset keeps in the names of its folders, outermost first."""
+    files, where, found = Files(spark), current_path(spark, path), []
+    while True:
+        folders = [n for n, is_dir in files.list(where) if is_dir and n[0] not in "._" and "=" in n]
+        if not folders:
+            return found
+        found.append(folders[0].partition("=")[0])
+        where = f"{where}/{folders[0]}"
+
+
 def copy_dataset(
     spark: SparkSession, source: str, target: str, fmt: str = PARQUET
 ) -> DataFrame:
-    """Refresh a working copy: the old copy goes, the dataset takes its place."""
-    overwrite_dataset(read_dataset(spark, source, fmt), target, fmt)
-    return read_dataset(spark, target, fmt)
+    """Refresh a working copy: the dataset takes the place of the old copy.
+
+    Columns that only some files have, and codes in folder names, come along; the copy is
+    laid out in the same folders. A copy whose columns differ from the source's is an error.
+    """
+    folders = partition_columns(spark, source)
+    df = read_whole(spark, source, fmt)
+    overwrite_dataset(df, target, fmt, partition_by=actual_names(df, folders))
+    copy = read_whole(spark, target, fmt)
+    if [(f.name, f.dataType) for f in copy.schema] != [(f.name, f.dataType) for f in df.schema]:
+        raise TypeError(f"the copy differs: {copy.schema.simpleString()}, not {df.schema.simpleString()}")
+    return copy
 
 
 def snapshot(spark: SparkSession, root: str, table: str, fmt: str = PARQUET) -> DataFrame:
@@ -157,36 +206,65 @@ def adjust_after_snapshot(
 ) -> DataFrame:
     """Take a snapshot, then replace the table by its adjusted self.
 
-    The adjustment reads the snapshot, so no job overwrites a path that it reads, and the
-    snapshot still holds everything if the adjustment fails.
+    If the adjustment fails, the table is as it was.
     """
-    before = snapshot(spark, root, table, fmt)
     path = table_path(root, table)
-    overwrite_dataset(adjust(before), path, fmt)
-    return read_dataset(spark, path, fmt)
+    folders = partition_columns(spark, path)
+    adjusted = adjust(snapshot(spark, root, table, fmt))
+    overwrite_dataset(adjusted, path, fmt, partition_by=actual_names(adjusted, folders))
+    return read_whole(spark, path, fmt)
+
+
+def layer_datasets(spark: SparkSession, layer: str) -> list[str]:
+    """Paths of all datasets under a layer, at any depth, relative to it.
+
+    A folder is a dataset if it has a pointer, files, or folders named after partitions.
+    """
+    files, base, found = Files(spark), layer.rstrip("/"), []
+
+    def walk(relative: str) -> None:
+        inside = files.list(f"{base}/{relative}" if relative else base)
+        shown = [(n, is_dir) for n, is_dir in inside if n[0] not in "._"]
+        if any(n == POINTER for n, _ in inside) or any(not d or "=" in n for n, d in shown):
+            found.append(relative)
+            return
+        for name, _ in shown:
+            walk(f"{relative}/{name}" if relative else name)
+
+    walk("")
+    return [relative for relative in found if relative]
 
 
 def backup_layer(
-    spark: SparkSession,
-    layer: str,
-    tables: Sequence[str],
-    mode: str,
-    day: date,
-    fmt: str = PARQUET,
-    jobs: int = 4,
+    spark: SparkSession, layer: str, mode: str, day: date, fmt: str = PARQUET, jobs: int = 4
 ) -> Mapping[str, DataFrame]:
-    """Copy a layer's tables to a folder named after the layer, the load mode and the day.
+    """Copy all datasets of a layer to a folder named after the layer, the load mode and the day.
 
-    A few tables are copied at a time, so that the last tasks of one table do not leave
+    The layer itself says what it holds: snapshots and nested folders come along. The copies are
+    made under another name, and the folder gets its own when all are there; if one fails,
+    nothing is left. A few datasets are copied at a time, so that the last tasks of one do not leave
     the cluster idle.
     """
     name = layer.rstrip("/")
     target = fixed.BACKUP_NAME.format(
         layer=name, mode=check_mode(mode), date=day.strftime("%Y%m%d")
     )
-
-    def copy(table: str) -> DataFrame:
-        return copy_dataset(spark, table_path(name, table), table_path(target, table), fmt)
-
-    with ThreadPoolExecutor(max_workers=jobs) as pool:
-        return dict(zip(tables, pool.map(copy, tables)))
+    files = Files(spark)
+    datasets = layer_datasets(spark, name)
+    if not datasets:
+        raise ValueError(f"nothing to back up under {name}")
+    staging = f"{target}-unfinished-{uuid.uuid4().hex}"
+    try:
+        with ThreadPoolExecutor(max_workers=jobs) as pool:
+            list(
+                pool.map(
+                    lambda d: copy_dataset(spark, f"{name}/{d}", f"{staging}/{d}", fmt), datasets
+                )
+            )
+        if files.exists(target):
+            files.remove(target)
+        files.rename(staging, target)
+    except BaseException:
+        files.remove(staging)
+        raise
+    return {d: read_whole(spark, f"{target}/{d}", fmt) for d in datasets}

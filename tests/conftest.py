@@ -10,7 +10,7 @@ DATA = Path("/root/testdata")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -18,6 +18,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

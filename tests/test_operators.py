@@ -99,6 +99,22 @@ def test_chain_fanout_counts_what_the_joins_would_make(frame):
     assert bag(op.chain_fanout(left, "k", [(one, "x"), (two, "y")])) == expected
 
 
+def test_chain_fanout_of_more_rows_than_a_bigint_counts(spark):
+    side = spark.range(0, 3_000_000, 1, 8).select(F.lit("a").alias("k"))
+    [row] = op.chain_fanout(side, "k", [(side, "k"), (side, "k")]).collect()
+    assert row["joined_rows"] == 27 * 10**18
+
+
+def test_first_per_key_of_rows_with_maps(frame):
+    rows = [("a", 2, {"x": 1}), ("a", 1, {"y": 2}), ("a", 1, {"z": 1}), ("b", 1, None)]
+    table = frame(rows, "k string, n int, m map<string,int>")
+    kept = {r["k"]: (r["n"], r["m"]) for r in op.first_per_key(table, ["k"]).collect()}
+    assert kept["a"][0] == 1 and kept["b"] == (1, None)
+    assert kept == {
+        r["k"]: (r["n"], r["m"]) for r in op.first_per_key(table.repartition(3), ["k"]).collect()
+    }
+
+
 def test_union_all_by_name_with_missing_columns(frame):
     a = frame([(1, "x"), (1, "x")], "k int, v string")
     b = frame([("y", 2)], "v string, k int")
@@ -126,11 +142,28 @@ CHANGES = [
 ]
 
 
-@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date", "string"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
 def test_delta_keys_take_the_days_before_the_reference(frame, kind):
     df = frame(CHANGES, "k int, at timestamp_ntz").withColumn("at", F.col("at").cast(kind))
-    keys = op.delta_keys(df, ["k"], "at", date(2024, 1, 10), days=2)
+    keys = op.delta_keys(df, ["k"], "AT", date(2024, 1, 10), days=2)
+    assert bag(keys) == {(2,): 1, (3,): 1}
+
+
+@pytest.mark.parametrize("date_format", ["yyyyMMdd", "yyyy-MM-dd", "yyyy/MM/dd"])
+def test_delta_keys_of_text_dates(frame, date_format):
+    df = frame(CHANGES, "k int, at timestamp_ntz").withColumn("at", F.date_format("at", date_format))
+    keys = op.delta_keys(df, ["k"], "at", date(2024, 1, 10), days=2, date_format=date_format)
     assert bag(keys) == {(2,): 1, (3,): 1}
+    with pytest.raises(ValueError, match="state its date_format"):
+        op.delta_keys(df, ["k"], "at", date(2024, 1, 10), days=2)
+    with pytest.raises(ValueError, match="state its date_format"):
+        op.delta_keys(df, ["k"], "at", date(2024, 1, 10), days=2, date_format="ddMMyyyy")
+
+
+def test_delta_keys_refuse_numbers(frame):
+    df = frame([(1, 20240109)], "k int, at int")
+    with pytest.raises(ValueError, match="not a date"):
+        op.delta_keys(df, ["k"], "at", date(2024, 1, 10), days=2)
 
 
 def test_delta_keys_in_full_mode_are_all_keys(frame):
@@ -186,6 +219,7 @@ def test_control_figures_side_by_side(frame):
         op.FigureSource(right, "day", F.col("paid"), {"group": F.col("name")}),
         first,
         last,
+        T.DecimalType(18, 2),
     )
     money = Decimal
     assert bag(figures) == {
@@ -196,6 +230,41 @@ def test_control_figures_side_by_side(frame):
     }
 
 
+def figures_of(left, right, kind=None):
+    day = date(2020, 1, 1)
+    sides = [op.FigureSource(df, "day", F.col("amount"), {"g": F.col("g")}) for df in (left, right)]
+    return op.control_figures(*sides, day, day, kind)
+
+
+def amounts(frame, kind, *values):
+    return frame([("a", date(2020, 1, 1), v) for v in values], f"g string, day date, amount {kind}")
+
+
+def test_control_figures_keep_all_digits(frame):
+    left = amounts(frame, "decimal(20,3)", Decimal("0.004"), Decimal("12345678901234567.001"))
+    right = amounts(frame, "decimal(5,1)", Decimal("0.5"))
+    [row] = figures_of(left, right).collect()
+    assert row["left_amount"] == Decimal("12345678901234567.005")
+    assert row["amount_difference"] == Decimal("12345678901234566.505")
+    [row] = figures_of(amounts(frame, "bigint", 2**62, 2**62), amounts(frame, "int", 1)).collect()
+    assert row["left_amount"] == 2**63
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_control_figures_never_lose_an_amount(frame, settings, ansi):
+    settings({"spark.sql.ansi.enabled": ansi})
+    small = amounts(frame, "double", 1.0)
+    with pytest.raises(Exception, match="an amount does not fit"):
+        figures_of(amounts(frame, "double", 1e17), small, T.DecimalType(18, 2)).collect()
+    nines = amounts(frame, "decimal(38,0)", *[Decimal("9" * 38)] * 2)
+    with pytest.raises(Exception, match="does not fit|OVERFLOW|overflow"):
+        figures_of(nines, amounts(frame, "int", 1)).collect()
+    with pytest.raises(ValueError, match="state the amount_type"):
+        figures_of(small, small)
+    with pytest.raises(ValueError, match="no decimal holds"):
+        figures_of(amounts(frame, "decimal(38,0)"), amounts(frame, "decimal(38,38)"))
+
+
 def test_control_figures_need_the_same_groups(frame):
     df = frame([("a", date(2020, 1, 1), 1.0)], "g string, day date, amount double")
     side = op.FigureSource(df, "day", F.col("amount"), {"g": F.col("g")})

@@ -5,6 +5,8 @@ from compare import connect, differences
 from conftest import DATA
 
 import __spark_entry__ as driver
+from workload.oracle import ORACLES
+from workload.queries import QUERIES
 
 SF_DIR = str(DATA / "sf0.001")
 
@@ -16,13 +18,13 @@ def duck():
 
 
 def test_every_query_has_a_counterpart():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
-    df = driver.queries()[name](spark, SF_DIR)
-    assert differences(df, duck, driver.oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) == []
 
 
 def test_entry(spark):

@@ -10,6 +10,7 @@ from rows import executed_plan, planned
 from partyfold import operators as op
 from partyfold import plans
 from workload.queries import QUERIES
+from workload.views import view
 
 SMALL = str(DATA / "sf0.001")
 NO_BROADCAST = {
@@ -60,7 +61,7 @@ def test_insured_table_joins_once_and_shuffles_four_times(spark, settings):
         ("control_figures", "GreaterThanOrEqual(o_orderdate,1996-01-01T00:00)",
          "o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz"),
         ("distinct_rows", "", "user_id:bigint,event_type:string"),
-        ("matched_rows", "GreaterThanOrEqual(l_quantity,49.0)", "l_partkey:bigint,l_quantity:double"),
+        ("matched_rows", "", "l_orderkey:bigint"),
         ("row_count", "", ""),
         ("insured_flat", "", "c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double,"
          "c_mktsegment:string"),
@@ -74,6 +75,46 @@ def test_filters_and_columns_reach_the_scan(spark, settings, name, pushed, colum
     assert f"struct<{columns}>" in plan
 
 
+ORDER_FILTER = "o_orderstatus = 'F'"
+
+
+@pytest.mark.parametrize("spread", [None, op.Spread(by=["o_custkey"])], ids=["plain", "spread"])
+def test_joins_let_filters_and_pruning_through(spark, spread):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    more = {"o_custkey:bigint,"} if spread else {""}
+    kept = op.matched_rows(orders, lines, ["o_orderkey"], ["l_orderkey"], spread)
+    plan = planned(kept.where(ORDER_FILTER).select("o_orderkey"))
+    assert "EqualTo(o_orderstatus,F)" in plan
+    assert f"struct<o_orderkey:bigint,{more.pop()}o_orderstatus:string>" in plan
+
+    customers = spark.read.parquet(f"{SMALL}/customer.parquet")
+    joined = op.left_join_one(
+        orders, customers, ["o_custkey"], ["c_custkey"],
+        spread and op.Spread(by=["o_orderkey"]),
+    )
+    since = F.lit("2001-01-01").cast("timestamp_ntz")
+    plan = planned(joined.where(F.col("o_orderdate") >= since).select("o_orderkey", "c_name"))
+    assert "GreaterThanOrEqual(o_orderdate,2001-01-01T00:00)" in plan
+    assert "struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
+    assert "struct<c_custkey:bigint,c_name:string>" in plan
+
+
+@pytest.mark.parametrize("spread", [True, False])
+def test_filters_on_the_insured_table_reach_its_scans(spark, spread):
+    views = [view(spark, SMALL, n) for n in ("policy_object", "party_master", "contact_data")]
+    plan = planned(plans.insured_flat(*views, spread=spread).where("num_poliza = 7"))
+    assert "EqualTo(l_orderkey,7)" in plan
+
+
+def test_gap_rows_read_only_the_keys_of_the_target(spark):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    target = orders.withColumnRenamed("o_orderstatus", "other")
+    plan = planned(op.gap_rows(orders, target, ["o_orderkey"]))
+    assert plan.count("ReadSchema: struct<o_orderkey:bigint>") + plan.count("struct<o_orderkey:bigint>") >= 1
+    assert plan.count("Exchange hashpartitioning") <= 3
+
+
 @pytest.fixture
 def skewed(spark, settings):
     """A left side with one key on a third of its rows, and settings small enough to notice."""
@@ -95,11 +136,14 @@ def test_a_hot_key_is_split_over_tasks(spark, skewed, how):
     # The right side comes out of an aggregation, which is what usually prevents the split.
     other = spark.range(0, 8000, 1, 4).select((F.col("id") % 4000).cast("string").alias("key"))
     right = op.first_per_key(other.withColumn("w", F.lit("x")), ["key"])
+    by = op.Spread(by=["id"], rows_per_task=200_000)
     joined = {
-        "left": lambda: op.left_join_one(skewed, right, ["k"], ["key"]),
-        "semi": lambda: op.matched_rows(skewed, other, ["k"], ["key"]),
-        "anti": lambda: op.unmatched_rows(skewed, other.where("key <> '7'"), ["k"], ["key"]),
-        "upsert": lambda: op.delta_upsert(skewed, skewed.where("id = 1"), ["k"]),
+        "left": lambda: op.left_join_one(skewed, right, ["k"], ["key"], by),
+        "semi": lambda: op.matched_rows(skewed, other, ["k"], ["key"], by),
+        "anti": lambda: op.unmatched_rows(
+            skewed, other.where("key <> '7'"), ["k"], ["key"], spread=by
+        ),
+        "upsert": lambda: op.delta_upsert(skewed, skewed.where("id = 1"), ["k"], by),
     }[how]()
     plan = executed_plan(joined)
     assert "SortMergeJoin(skew=true)" in plan, plan
@@ -132,5 +176,5 @@ def test_a_hot_product_is_split_when_written(spark, skewed, tmp_path):
     hot = skewed.withColumn("k", F.when(F.col("k") == "7", "hot").otherwise("cold"))
     path = tmp_path / "by_product"
     io.write_by_product(hot, str(path), "k")
-    assert len(list((path / "k=hot").glob("*.parquet"))) > 1
+    assert len(list(path.glob("version-*/k=hot/*.parquet"))) > 1
     assert io.read_by_product(spark, str(path), hot).count() == 120_000

@@ -1,7 +1,6 @@
 """Laws that hold for any input, on generated rows."""
 
 from collections import Counter
-from importlib import import_module
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -12,13 +11,12 @@ from rows import bag
 from partyfold import functions as fn
 from partyfold import operators as op
 
-joins = import_module("partyfold.operators.joins")
 
 
-@pytest.fixture(autouse=True, params=[joins.ROWS_PER_SALT, 1], ids=["unsalted", "salted"])
-def rows_per_salt(monkeypatch, request):
+@pytest.fixture(autouse=True, params=[False, True], ids=["plain", "spread"])
+def spread(request):
     """Every law holds as well where each row is a salt of its own."""
-    monkeypatch.setattr(joins, "ROWS_PER_SALT", request.param)
+    return op.Spread(by=["v", "n"], rows_per_task=1) if request.param else None
 
 
 SCHEMA = "k string, v string, n int"
@@ -51,30 +49,30 @@ def test_first_per_key_is_the_smallest_row_of_each_key(frame, rows):
 
 @few
 @given(rows=ROWS, keys=ROWS)
-def test_matched_and_unmatched_make_the_whole(frame, rows, keys):
+def test_matched_and_unmatched_make_the_whole(frame, spread, rows, keys):
     table, other = frame(rows, SCHEMA), frame(keys, SCHEMA)
-    matched = bag(op.matched_rows(table, other, ["k"]))
+    matched = bag(op.matched_rows(table, other, ["k"], spread=spread))
     known = {row[0] for row in keys} - {None}
     assert matched == Counter(row for row in rows if row[0] in known)
-    assert matched + bag(op.unmatched_rows(table, other, ["k"])) == Counter(rows)
+    assert matched + bag(op.unmatched_rows(table, other, ["k"], spread=spread)) == Counter(rows)
 
 
 @few
 @given(base=ROWS, delta=ROWS)
-def test_upsert_twice_is_upsert_once(frame, base, delta):
+def test_upsert_twice_is_upsert_once(frame, spread, base, delta):
     changed = {row[0] for row in delta}
     expected = Counter(row for row in base if row[0] not in changed) + Counter(delta)
-    once = op.delta_upsert(frame(base, SCHEMA), frame(delta, SCHEMA), ["k"])
+    once = op.delta_upsert(frame(base, SCHEMA), frame(delta, SCHEMA), ["k"], spread)
     assert bag(once) == expected
-    assert bag(op.delta_upsert(once, frame(delta, SCHEMA), ["k"])) == expected
+    assert bag(op.delta_upsert(once, frame(delta, SCHEMA), ["k"], spread)) == expected
 
 
 @few
 @given(source=ROWS, target=ROWS)
-def test_adjusted_target_has_no_gaps(frame, source, target):
+def test_adjusted_target_has_no_gaps(frame, spread, source, target):
     source_df, target_df = frame(source, SCHEMA), frame(target, SCHEMA)
-    adjusted = op.gap_adjust(target_df, source_df, ["k"])
-    assert op.gap_rows(source_df, adjusted, ["k"]).count() == 0
+    adjusted = op.gap_adjust(target_df, source_df, ["k"], spread)
+    assert op.gap_rows(source_df, adjusted, ["k"], spread).count() == 0
     assert bag(adjusted) >= Counter(target)
 
 

@@ -11,23 +11,22 @@ from partyfold import operators as op
 joins = import_module("partyfold.operators.joins")
 
 ROWS = 60_000
+SPREAD = op.Spread(by=["v"], rows_per_task=500)
 
 
-def salts_of(df, keys):
+def salts_of(df, keys, spread=SPREAD):
     """The salts of buckets that have more than one."""
-    [row] = joins._salts_per_bucket(df, keys).collect()
-    assert len(row[0]) == joins.BUCKETS
+    [row] = joins._salts_per_bucket(df, keys, spread).collect()
+    assert len(row[0]) == spread.buckets
     return [n for n in row[0] if n > 1]
 
 
 @pytest.fixture
-def skewed(spark, monkeypatch):
-    """A third of the rows have one key, and these rows are copies of one another."""
-    monkeypatch.setattr(joins, "ROWS_PER_SALT", 500)
+def skewed(spark):
+    """A third of the rows have one key."""
     hot = F.col("id") % 3 == 0
     key = F.when(hot, 7).otherwise(F.col("id") % 5000).cast("string")
-    value = F.when(hot, 0).otherwise(F.col("id"))
-    return spark.range(0, ROWS, 1, 8).select(key.alias("k"), value.alias("v"))
+    return spark.range(0, ROWS, 1, 8).select(key.alias("k"), F.col("id").alias("v"))
 
 
 @pytest.fixture
@@ -39,63 +38,65 @@ def right(spark):
 def test_no_salts_without_hot_keys(spark):
     assert salts_of(spark.range(100_000), ["id"]) == []
     assert salts_of(spark.range(0), ["id"]) == []
+    few = op.Spread(by=["id"], rows_per_task=10, buckets=8)
+    assert salts_of(spark.range(100_000), ["id"], few) == []  # all buckets alike
 
 
 def test_salts_follow_the_number_of_rows(skewed):
     assert 40 <= max(salts_of(skewed, ["k"])) <= 42
 
 
-@pytest.mark.parametrize("rows", [1, 100, 50_000])
-def test_salts_are_bounded_however_the_rows_fall(spark, monkeypatch, rows):
-    monkeypatch.setattr(joins, "ROWS_PER_SALT", 1)
-    for df in (spark.range(rows), spark.range(rows).select(F.lit(1).alias("id"))):
-        salts = salts_of(df, ["id"])
-        assert sum(salts) - len(salts) <= joins.BUCKETS / joins.SHARES_PER_SALT
+def test_there_is_no_largest_number_of_salts(spark):
+    one_key = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    spread = op.Spread(by=["v"], rows_per_task=2)
+    assert salts_of(one_key, ["k"], spread) == [10_000]
+    keys = spark.createDataFrame([(1,)], "k int")
+    assert op.matched_rows(one_key, keys, ["k"], spread=spread).count() == 20_000
 
 
-def test_copies_of_a_hot_row_get_many_salts(skewed):
-    salts = joins._salts_per_bucket(skewed, ["k"])
-    salted = joins._take_one_salt(skewed, salts, ["k"])
+def test_a_hot_key_gets_many_salts_and_the_same_ones_again(skewed):
+    salts = joins._salts_per_bucket(skewed, ["k"], SPREAD)
+    salted = joins._take_one_salt(skewed, salts, ["k"], SPREAD)
+    hot = salted.where("k = '7'")
     assert salted.count() == ROWS
-    copies = salted.where("k = '7' and v = 0")
-    assert copies.select("__salt").distinct().count() >= 6  # one for each of eight partitions
-    assert bag(copies) == bag(copies)
+    assert hot.select("__salt").distinct().count() >= 40
+    again = joins._take_one_salt(skewed.repartition(3), salts, ["k"], SPREAD).where("k = '7'")
+    assert bag(hot) == bag(again)
 
 
 def test_right_rows_are_repeated_for_hot_buckets_only(skewed, right):
-    salts = joins._salts_per_bucket(skewed, ["k"])
-    repeated = joins._repeat_for_salts(right, salts, ["key"])
+    salts = joins._salts_per_bucket(skewed, ["k"], SPREAD)
+    repeated = joins._repeat_for_salts(right, salts, ["key"], SPREAD)
     assert repeated.where("key = '7'").count() >= 40
     assert repeated.count() < right.count() + 100
 
 
-@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("spread", [None, SPREAD], ids=["plain", "spread"])
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_results_are_those_of_plain_joins(skewed, right, settings, threshold, adaptive):
-    settings(
-        {
-            "spark.sql.autoBroadcastJoinThreshold": threshold,
-            "spark.sql.adaptive.enabled": adaptive,
-        }
-    )
+def test_results_are_those_of_plain_joins(skewed, right, settings, threshold, spread):
+    settings({"spark.sql.autoBroadcastJoinThreshold": threshold})
     keys = right.select(F.col("key").alias("k"))
-    left = bag(op.left_join_one(skewed, right, ["k"], ["key"]))
+    left = bag(op.left_join_one(skewed, right, ["k"], ["key"], spread))
     assert left == bag(skewed.join(right, F.col("k") == F.col("key"), "left").drop("key"))
-    assert bag(op.matched_rows(skewed, keys, ["k"])) == bag(skewed.join(keys, "k", "left_semi"))
-    assert bag(op.unmatched_rows(skewed, keys, ["k"])) == bag(skewed.join(keys, "k", "left_anti"))
+    semi = bag(op.matched_rows(skewed, keys, ["k"], spread=spread))
+    assert semi == bag(skewed.join(keys, "k", "left_semi"))
+    anti = bag(op.unmatched_rows(skewed, keys, ["k"], spread=spread))
+    assert anti == bag(skewed.join(keys, "k", "left_anti"))
 
 
 def test_tables_with_columns_that_cannot_be_hashed(frame):
     table = frame([(1, {"a": 1}), (2, {})], "k int, m map<string,int>")
-    assert op.matched_rows(table, frame([(1,)], "k int"), ["k"]).first()["m"] == {"a": 1}
+    spread = op.Spread(by=["k"], rows_per_task=1)
+    kept = op.matched_rows(table, frame([(1,)], "k int"), ["k"], spread=spread)
+    assert kept.first()["m"] == {"a": 1}
 
 
-def test_hot_null_key(spark, monkeypatch):
-    monkeypatch.setattr(joins, "ROWS_PER_SALT", 100)
+def test_hot_null_key(spark):
     key = F.when(F.col("id") % 3 > 0, F.col("id"))
     base = spark.range(0, 3000, 1, 4).select(key.alias("k"), F.lit("base").alias("v"))
     delta = spark.createDataFrame([(None, "delta"), (1, "delta")], "k bigint, v string")
-    result = op.delta_upsert(base, delta, ["k"])
+    spread = op.Spread(by=["v"], rows_per_task=100)
+    result = op.delta_upsert(base, delta, ["k"], spread)
     assert bag(result.groupBy("v").count()) == {("base", 1999): 1, ("delta", 2): 1}
 
 
@@ -104,10 +105,17 @@ def test_a_join_that_counts_another_table_is_still_whole(spark, skewed, right):
     hot = skewed.select("k").where("k = '7'")
     plain = bag(op.left_join_one(skewed, right, ["k"], ["key"]))
     for counted in (cold, hot):
-        assert bag(op.left_join_one(skewed, right, ["k"], ["key"], counted)) == plain
+        spread = op.Spread(by=["v"], counted=counted, rows_per_task=500)
+        assert bag(op.left_join_one(skewed, right, ["k"], ["key"], spread)) == plain
 
 
 def test_keys_of_different_types_are_refused(frame):
     left, right = frame([(1,)], "k int"), frame([(1,)], "k bigint")
     with pytest.raises(ValueError, match="differ in type"):
         op.matched_rows(left, right, ["k"])
+
+
+def test_a_spread_needs_columns_and_rows():
+    for wrong in ({"by": []}, {"by": ["a"], "rows_per_task": 0}, {"by": ["a"], "buckets": 0}):
+        with pytest.raises(ValueError, match="spread by"):
+            op.Spread(**wrong)

@@ -75,22 +75,39 @@ def _join_one(view: str, key: str, carried: list[str], columns: list[str]) -> st
         WHERE {_USABLE}"""
 
 
+def _reduced_chain() -> str:
+    def reduced(view: str, key: str, columns: list[str]) -> str:
+        return (
+            f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY "
+            f"{_smallest(columns)}) AS rank FROM {view}) WHERE rank = 1)"
+        )
+
+    master = reduced("party_master", "cdfiliac", fixed.MASTER_COLUMNS)
+    contact = reduced("contact_data", "cve_filiacion", fixed.CONTACT_COLUMNS)
+    columns = [f"m.{c}" for c in fixed.MASTER_COLUMNS] + [f"c.{c}" for c in fixed.CONTACT_COLUMNS]
+    return f"""{_WITH}
+        SELECT p.num_poliza, p.num_version, p.cve_filiacion, {", ".join(columns)}
+        FROM policy_object p
+        LEFT JOIN {master} m ON p.cve_filiacion = m.cdfiliac
+        LEFT JOIN {contact} c ON p.cve_filiacion = c.cve_filiacion
+        WHERE {_USABLE}"""
+
+
 _WITH_LINES = "EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"
-_BULK = "EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey AND l.l_quantity >= 49)"
 _DAY = "ts >= TIMESTAMP '2024-01-14' AND ts < TIMESTAMP '2024-01-15'"
 
 _CHANGES = """changes AS (
     SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN -1 - o_orderkey ELSE o_orderkey END
                AS o_orderkey,
            o_custkey, 'X' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-    FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-01')"""
+    FROM orders)"""
 
 _LISTED = """p_brand IN (
     SELECT p_brand FROM part GROUP BY p_brand HAVING avg(p_size) >= 25.5)"""
 
 _FIGURES = """{name} AS (
     SELECT CAST(year({date}) AS INTEGER) AS year, {status} AS status, count(*) AS n,
-           sum(CAST({amount} AS DECIMAL(18,2))) AS s
+           sum(CAST({amount} AS DECIMAL(38,4))) AS s
     FROM {table}
     WHERE {date} >= TIMESTAMP '1996-01-01' AND {date} < TIMESTAMP '2001-01-01'
     GROUP BY ALL)"""
@@ -116,16 +133,17 @@ ORACLES: dict[str, str] = {
     "role_literal": "SELECT s_suppkey, 'ASEGURADO' AS ind_rol FROM supplier",
     "filter_nonblank_key": f"{_WITH} SELECT p.* FROM policy_object p WHERE {_USABLE}",
     "join_left_master": _join_one(
-        "party_master", "cdfiliac", ["cdrfc", "tcpefiju", "tscdc"], fixed.MASTER_COLUMNS
+        "party_master", "cdfiliac", fixed.MASTER_COLUMNS, fixed.MASTER_COLUMNS
     ),
     "join_left_contact": _join_one(
         "contact_data",
         "cve_filiacion",
-        ["calle", "numero", "correo_electronico"],
+        fixed.CONTACT_COLUMNS,
         fixed.CONTACT_COLUMNS,
     ),
+    "reduced_chain": _reduced_chain(),
     "join_chain_fanout": f"""{_WITH}
-        SELECT p.cve_filiacion, count(*) AS joined_rows
+        SELECT p.cve_filiacion, CAST(count(*) AS DECIMAL(38,0)) AS joined_rows
         FROM policy_object p
         LEFT JOIN party_master m ON p.cve_filiacion = m.cdfiliac
         LEFT JOIN contact_data c ON p.cve_filiacion = c.cve_filiacion
@@ -166,13 +184,13 @@ ORACLES: dict[str, str] = {
     "snapshot_before_adjust": f"""
         SELECT o.*, 'data_bk' AS folder FROM orders o WHERE {_WITH_LINES}
         UNION ALL SELECT o.*, 'data' AS folder FROM orders o""",
+    "product_copy": "SELECT * FROM part",
     "dated_backup": """
-        SELECT s_suppkey AS row_key, s_name AS row_name,
-               'modelled-respaldo-full-20240131' AS backup, 'supplier' AS table_name
-        FROM supplier
-        UNION ALL SELECT p_partkey, p_name, 'modelled-respaldo-full-20240131', 'part' FROM part
-        UNION ALL SELECT c_custkey, c_name, 'modelled-respaldo-full-20240131', 'customer'
-        FROM customer""",
+        WITH copies AS (
+            SELECT *, 'supplier/data' AS dataset FROM supplier
+            UNION ALL BY NAME SELECT *, 'party/part/data' AS dataset FROM part
+            UNION ALL BY NAME SELECT *, 'party/customer/data' AS dataset FROM customer)
+        SELECT *, 'modelled-respaldo-full-20240131' AS backup FROM copies""",
     "load_manifest": """
         SELECT DISTINCT event_type AS "table", 'full' AS tipo_carga,
                strftime(ts, '%Y%m%d') AS "date",
@@ -202,14 +220,19 @@ ORACLES: dict[str, str] = {
         UNION ALL BY NAME
         SELECT s_name AS name, s_suppkey AS party_key, s_acctbal AS balance,
                'supplier' AS source FROM supplier""",
-    "matched_rows": f"SELECT p.* FROM part p WHERE {_BULK}",
-    "unmatched_rows": f"SELECT p.* FROM part p WHERE NOT {_BULK}",
+    "matched_rows": f"SELECT o.* FROM orders o WHERE {_WITH_LINES}",
+    "unmatched_rows": f"SELECT o.* FROM orders o WHERE NOT {_WITH_LINES}",
+    "spread_matched_rows": """
+        SELECT l.* FROM lineitem l WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""",
     "delta_keys": f"SELECT DISTINCT user_id FROM events WHERE {_DAY}",
+    "delta_keys_full": "SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL",
+    "delta_keys_text": f"SELECT DISTINCT user_id FROM events WHERE {_DAY}",
     "delta_restrict": f"""
         SELECT * FROM events WHERE user_id IN (SELECT user_id FROM events WHERE {_DAY})""",
-    "delta_upsert": f"""WITH {_CHANGES}
-        SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM changes)
-        UNION ALL SELECT * FROM changes""",
+    "delta_upsert": f"""WITH {_CHANGES}, recent AS (
+            SELECT * FROM changes WHERE o_orderdate >= TIMESTAMP '2001-07-01')
+        SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM recent)
+        UNION ALL SELECT * FROM recent""",
     "control_figures": f"""WITH {_LEFT_FIGURES}, {_RIGHT_FIGURES}
         SELECT coalesce(a.year, b.year) AS year, coalesce(a.status, b.status) AS status,
                coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows,

@@ -14,6 +14,7 @@ from partyfold import functions as fn
 from partyfold import operators as op
 from partyfold import plans
 from partyfold import sources as io
+from workload.scratch import scratch_dir
 from workload.views import table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,7 +49,7 @@ def insured_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def insured_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from stored tables to a stored table."""
-    root = io.scratch_dir(spark)
+    root = scratch_dir(spark)
     raw, modelled = f"{root}/raw", f"{root}/modelled"
     for layer, name in [
         (modelled, "policy_object"),
@@ -67,7 +68,7 @@ def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = io.table_path(io.scratch_dir(spark), "supplier")
+    path = io.table_path(scratch_dir(spark), "supplier")
     suppliers = table(spark, sf_dir, "supplier")
     io.overwrite_dataset(suppliers, path)
     io.overwrite_dataset(suppliers, path)
@@ -120,7 +121,7 @@ def join_left_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     master = op.first_per_key(view(spark, sf_dir, "party_master"), [fixed.MASTER_KEY])
     policies = _usable_policies(spark, sf_dir)
     return op.left_join_one(policies, master, ["cve_filiacion"], [fixed.MASTER_KEY]).select(
-        *fixed.POLICY_COLUMNS, "cdrfc", "tcpefiju", "tscdc"
+        *fixed.POLICY_COLUMNS, *fixed.MASTER_COLUMNS
     )
 
 
@@ -131,7 +132,7 @@ def join_left_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
     contacts = op.first_per_key(contacts, ["contact_key"])
     policies = _usable_policies(spark, sf_dir)
     return op.left_join_one(policies, contacts, ["cve_filiacion"], ["contact_key"]).select(
-        *fixed.POLICY_COLUMNS, "calle", "numero", "correo_electronico"
+        *fixed.POLICY_COLUMNS, *fixed.CONTACT_COLUMNS
     )
 
 
@@ -146,6 +147,16 @@ def join_chain_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reduced_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usable policies with the reduced master and the reduced contacts, one row each."""
+    policies = join_left_master(spark, sf_dir)
+    contacts = view(spark, sf_dir, "contact_data").withColumnRenamed(
+        fixed.CONTACT_KEY, "contact_key"
+    )
+    contacts = op.first_per_key(contacts, ["contact_key"])
+    return op.left_join_one(policies, contacts, ["cve_filiacion"], ["contact_key"])
+
+
 # Aggregations
 
 
@@ -219,13 +230,13 @@ def replace_load_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~is_error, F.col("ts").cast("date")).alias("day"),
         F.when(~is_error, F.col("ts")).alias("seen"),
     )
-    path = io.table_path(io.scratch_dir(spark), "typed_events")
+    path = io.table_path(scratch_dir(spark), "typed_events")
     io.replace_load(typed, path)
     return io.replace_load(typed, path)
 
 
 def dataset_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copy = io.table_path(io.scratch_dir(spark), "supplier_copy")
+    copy = io.table_path(scratch_dir(spark), "supplier_copy")
     io.copy_dataset(spark, f"{sf_dir}/nation.parquet", copy)
     return io.copy_dataset(spark, f"{sf_dir}/supplier.parquet", copy)
 
@@ -241,7 +252,7 @@ def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_before_adjust(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot and adjusted table, told apart by the folder they are in."""
-    root, name = io.scratch_dir(spark), "orders"
+    root, name = scratch_dir(spark), "orders"
     orders = table(spark, sf_dir, "orders")
     io.overwrite_dataset(_orders_with_lines(spark, sf_dir), io.table_path(root, name))
     adjusted = io.adjust_after_snapshot(
@@ -251,23 +262,27 @@ def snapshot_before_adjust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.union_all({fixed.SNAPSHOT_DIR: before, fixed.DATA_DIR: adjusted}, tag="folder")
 
 
+def product_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts in one directory per brand, copied as they are."""
+    path = io.table_path(scratch_dir(spark), "parts_by_brand")
+    io.write_by_product(table(spark, sf_dir, "part"), path, "p_brand")
+    return io.copy_dataset(spark, path, f"{path}_copy")
+
+
 def dated_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layer = f"{io.scratch_dir(spark)}/modelled"
-    tables = ["supplier", "part", "customer"]
-    for name in tables:
-        io.overwrite_dataset(table(spark, sf_dir, name), io.table_path(layer, name))
-    copies = io.backup_layer(spark, layer, tables, fixed.FULL, BACKUP_DAY)
-    listed = {
-        name: df.select(
-            F.col(df.columns[0]).alias("row_key"),
-            F.col(df.columns[1]).alias("row_name"),
-            F.regexp_extract(F.input_file_name(), "(modelled-respaldo-[^/]*)/", 1).alias(
-                "backup"
-            ),
+    """Every column of every table of a layer that has nested folders, from its backup."""
+    layer = f"{scratch_dir(spark)}/modelled"
+    for name in ("supplier", "party/part", "party/customer"):
+        source = table(spark, sf_dir, name.rpartition("/")[2])
+        io.overwrite_dataset(source, io.table_path(layer, name))
+    copies = io.backup_layer(spark, layer, fixed.FULL, BACKUP_DAY)
+    named = {
+        name: df.withColumn(
+            "backup", F.regexp_extract(F.input_file_name(), "(modelled-respaldo-[^/]*)/", 1)
         )
         for name, df in copies.items()
     }
-    return op.union_all(listed, tag="table_name")
+    return op.union_all(named, tag="dataset")
 
 
 def load_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,25 +293,28 @@ def load_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         mode=F.lit(fixed.FULL),
         stamp=fn.date_stamp(F.col("ts")),
     )
-    path = io.table_path(io.scratch_dir(spark), "load_manifest")
+    path = io.table_path(scratch_dir(spark), "load_manifest")
     io.append_manifest(events, path)
     io.append_manifest(events, path)
-    return io.read_dataset(spark, path)
+    return io.read_manifest(spark, path)
 
 
 def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders since July 2001 with a new status; the urgent ones come as new orders."""
+    """All orders with a new status; the urgent ones come as new orders."""
     orders = table(spark, sf_dir, "orders")
     is_new = F.col("o_orderpriority") == "1-URGENT"
     key = F.when(is_new, -1 - F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+    return orders.withColumns({"o_orderkey": key, "o_orderstatus": F.lit("X")})
+
+
+def _recent_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of a delta: those of the orders since July 2001."""
     since = F.lit("2001-07-01").cast("timestamp_ntz")
-    return orders.where(F.col("o_orderdate") >= since).withColumns(
-        {"o_orderkey": key, "o_orderstatus": F.lit("X")}
-    )
+    return _order_changes(spark, sf_dir).where(F.col("o_orderdate") >= since)
 
 
 def _load_orders(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    path = io.table_path(io.scratch_dir(spark), "orders")
+    path = io.table_path(scratch_dir(spark), "orders")
     io.overwrite_dataset(table(spark, sf_dir, "orders"), path)
     loaded = plans.loaded_table(
         mode,
@@ -307,7 +325,7 @@ def _load_orders(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
         reference=ORDERS_REFERENCE,
         days=14,
     )
-    io.swap_dataset(loaded, path)
+    io.overwrite_dataset(loaded, path)
     return io.read_dataset(spark, path)
 
 
@@ -321,7 +339,7 @@ def load_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _listed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands of large parts, through a text file with dotted codes."""
-    path = f"{io.scratch_dir(spark)}/products.txt"
+    path = f"{scratch_dir(spark)}/products.txt"
     brands = (
         table(spark, sf_dir, "part")
         .groupBy("p_brand")
@@ -346,7 +364,7 @@ def product_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed products written to one directory each and merged again."""
     parts = table(spark, sf_dir, "part")
     kept = op.keep_products(parts, _listed_products(spark, sf_dir), "p_brand")
-    path = io.table_path(io.scratch_dir(spark), "parts_by_brand")
+    path = io.table_path(scratch_dir(spark), "parts_by_brand")
     io.write_by_product(kept, path, "p_brand")
     return io.read_by_product(spark, path, kept)
 
@@ -379,19 +397,27 @@ def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.union_all({"customer": customers, "supplier": suppliers})
 
 
-def _bulk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 49)
-
-
 def matched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.matched_rows(
-        table(spark, sf_dir, "part"), _bulk_lines(spark, sf_dir), ["p_partkey"], ["l_partkey"]
-    )
+    return _orders_with_lines(spark, sf_dir)
 
 
 def unmatched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.unmatched_rows(
-        table(spark, sf_dir, "part"), _bulk_lines(spark, sf_dir), ["p_partkey"], ["l_partkey"]
+        table(spark, sf_dir, "orders"),
+        table(spark, sf_dir, "lineitem"),
+        ["o_orderkey"],
+        ["l_orderkey"],
+    )
+
+
+def spread_matched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the orders that are there, large orders dealt out by line."""
+    return op.matched_rows(
+        table(spark, sf_dir, "lineitem"),
+        table(spark, sf_dir, "orders"),
+        ["l_orderkey"],
+        ["o_orderkey"],
+        op.Spread(by=["l_linenumber", "l_partkey", "l_suppkey"]),
     )
 
 
@@ -401,6 +427,20 @@ def delta_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delta_keys_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.delta_keys(
+        table(spark, sf_dir, "events"), ["user_id"], "ts", EVENTS_REFERENCE, 1, fixed.FULL
+    )
+
+
+def delta_keys_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same keys as of a delta, from a day stamp in text."""
+    events = table(spark, sf_dir, "events").withColumn("stamp", fn.date_stamp(F.col("ts")))
+    return op.delta_keys(
+        events, ["user_id"], "Stamp", EVENTS_REFERENCE, days=1, date_format="yyyyMMdd"
+    )
+
+
 def delta_restrict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.delta_restrict(
         table(spark, sf_dir, "events"), delta_keys(spark, sf_dir), ["user_id"]
@@ -409,7 +449,7 @@ def delta_restrict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.delta_upsert(
-        table(spark, sf_dir, "orders"), _order_changes(spark, sf_dir), ["o_orderkey"]
+        table(spark, sf_dir, "orders"), _recent_changes(spark, sf_dir), ["o_orderkey"]
     )
 
 
@@ -426,7 +466,7 @@ def control_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice"),
         {"year": F.year("l_shipdate"), "status": F.col("l_linestatus")},
     )
-    figures = op.control_figures(orders, lines, FIRST_DAY, LAST_DAY)
+    figures = op.control_figures(orders, lines, FIRST_DAY, LAST_DAY, T.DecimalType(38, 4))
     amounts = ("left_amount", "right_amount", "amount_difference")
     return figures.withColumns({c: F.col(c).cast("double") for c in amounts})
 
@@ -457,6 +497,7 @@ QUERIES: dict[str, Query] = {
         join_left_master,
         join_left_contact,
         join_chain_fanout,
+        reduced_chain,
         distinct_rows,
         dedup_policy_version,
         row_count,
@@ -468,6 +509,7 @@ QUERIES: dict[str, Query] = {
         replace_load_types,
         dataset_copy,
         snapshot_before_adjust,
+        product_copy,
         dated_backup,
         load_manifest,
         load_full,
@@ -478,7 +520,10 @@ QUERIES: dict[str, Query] = {
         union_all,
         matched_rows,
         unmatched_rows,
+        spread_matched_rows,
         delta_keys,
+        delta_keys_full,
+        delta_keys_text,
         delta_restrict,
         delta_upsert,
         control_figures,
