@@ -72,18 +72,16 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and compares with what went in."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("given"))
-    back = sentencepieces.decoded(
-        sentencepieces.encoded(docs, PIECES)
-        .withColumns({"n_tokens": F.size("ids"), "ids_crc32": sentencepieces.checksum("ids")}),
-        PIECES,
-    )
-    return back.select(
+    as_decoded = F.replace("text", F.lit("\u2581"), F.lit(" "))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(as_decoded).alias("given"))
+    ids = sentencepieces.encoded(docs, PIECES, checksum="ids_crc32")
+    counted = ids.withColumn("n_tokens", F.size("ids").cast("bigint"))
+    return sentencepieces.decoded(counted, PIECES).select(
         "doc_id",
-        F.col("n_tokens").cast("bigint").alias("n_tokens"),
+        "n_tokens",
         "ids_crc32",
         F.length("text").cast("bigint").alias("n_chars"),
-        F.col("text").eqNullSafe(F.replace("given", F.lit("\u2581"), F.lit(" "))).alias("round_trip"),
+        (F.xxhash64("text") == F.col("given")).alias("round_trip"),
     )
 
 

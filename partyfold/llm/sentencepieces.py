@@ -20,7 +20,8 @@ Decoding joins pieces and bytes, turns marks into spaces and drops the first spa
 that are no UTF-8 become U+FFFD. Text comes back as it was, but for U+2581, which comes back as a space.
 
 A null text gives null ids, an empty one none. Control ids decode to nothing, ids outside the model are an
-error. Repeated rows and extra columns change nothing.
+error. Repeated rows change nothing. Other columns stay, but for those
+with the names of new ones, which are replaced. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partyfold.llm.memo import Memo, slices
 from partyfold.llm.words import SpanHash, Texts, U64, _byte_values, pieces
 
 LONG = 64
@@ -46,7 +48,7 @@ _FILTER_BITS = 22
 class Pieces:
     """The pieces of a model file, sorted by hash."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = 1_000_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -87,6 +89,7 @@ class Pieces:
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.sizes = np.array([len(b) for b in self.bytes])
         self.offsets = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.seen = Memo(remember)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place among the hashes, place among the keys) of those that are pieces."""
@@ -218,13 +221,6 @@ def segment(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, p: Pieces):
     return result, pieces_in
 
 
-def _gather(values: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """The slices of `values` named by `which`, one after another."""
-    size = offsets[which + 1] - offsets[which]
-    at = np.repeat(offsets[which] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
-    return values[at + np.arange(len(at))]
-
-
 def encode_portion(texts: Texts, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a portion, and the offsets of each text."""
     data, offsets = _prepared(texts)
@@ -233,11 +229,11 @@ def encode_portion(texts: Texts, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
     starts = _word_starts(data, offsets)
     ends = np.append(starts[1:], len(data))
     hashes = SpanHash(_byte_values()[data]).of(starts, ends)
-    _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
-    ids, size = segment(data, starts[first], ends[first], p)
-    of_word = np.concatenate([[0], np.cumsum(size)])
-    flat = _gather(ids, of_word, word)
-    before = np.concatenate([[0], np.cumsum(size[word])])
+    distinct, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+    new = p.seen.missing(distinct)
+    if new.any():
+        p.seen.learn(distinct[new], *segment(data, starts[first[new]], ends[first[new]], p))
+    flat, before = p.seen.lists(distinct, word)
     return flat, before[np.searchsorted(starts, offsets)]
 
 
@@ -245,7 +241,7 @@ def decode_ids(ids: np.ndarray, offsets: np.ndarray, p: Pieces) -> list[str]:
     """The text of each range of ids."""
     if len(ids) and (ids.min() < 0 or ids.max() >= p.size):
         raise ValueError("an id is outside the model")
-    data = _gather(p.flat, p.offsets, ids).tobytes()
+    data = slices(p.flat, p.offsets[ids], p.sizes[ids]).tobytes()
     size = np.concatenate([[0], np.cumsum(p.sizes[ids])])[offsets]
     return [
         data[a:b].removeprefix(b" ").decode("utf-8", "replace")
@@ -256,49 +252,77 @@ def decode_ids(ids: np.ndarray, offsets: np.ndarray, p: Pieces) -> list[str]:
 # Over tables
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """The rows of `docs` with the ids of the text column in place of it."""
-    columns = [c for c in docs.columns if c != text]
+def _others(docs: DataFrame, *names: str | None) -> list[str]:
+    """The columns that stay. Columns with the names of new ones are replaced."""
+    gone = {n.lower() for n in names if n}
+    return [c for c in docs.columns if c.lower() not in gone]
+
+
+def encoded(
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    ids: str = "ids",
+    checksum: str | None = None,
+    portion: int = 900_000,
+) -> DataFrame:
+    """The rows of `docs` with the ids of the text column in place of it.
+
+    `checksum` names a column for the unsigned crc32 of the ids as little-endian 32-bit numbers.
+    About `portion` bytes of text are worked on at a time.
+    """
+    columns = _others(docs, text, ids, checksum)
+    names = [*columns, ids, *([checksum] if checksum else [])]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model(path)
         for batch in batches:
-            for texts in pieces(batch[text], 8 << 20):
+            for texts in pieces(batch[text], portion):
                 flat, offsets = encode_portion(texts, p)
                 own = batch.slice(texts.first_row, texts.count)
+                missing = pc.is_null(own[text])
                 lists = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat)).cast(
                     pa.list_(pa.int32())
                 )
-                lists = pc.if_else(pc.is_null(own[text]), None, lists)
-                yield pa.RecordBatch.from_arrays([own[c] for c in columns] + [lists], [*columns, ids])
-
-    schema = docs.select(*columns).withColumn(ids, F.lit(None).cast("array<int>")).schema
+                arrays = [own[c] for c in columns] + [pc.if_else(missing, None, lists)]
+                if checksum:
+                    view = memoryview(np.ascontiguousarray(flat, "<u4")).cast("B")
+                    crc = [
+                        zlib.crc32(view[4 * a : 4 * b])
+                        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())
+                    ]
+                    arrays.append(pc.if_else(missing, None, pa.array(crc, pa.int64())))
+                yield pa.RecordBatch.from_arrays(arrays, names)
+
+    added = [F.lit(None).cast("array<int>").alias(ids)]
+    if checksum:
+        added.append(F.lit(None).cast("bigint").alias(checksum))
+    schema = docs.select(*columns, *added).schema
     return docs.withColumn(text, F.col(text).cast("string")).mapInArrow(encode, schema)
 
 
-def decoded(docs: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """The rows of `docs` with the text of the id column in place of it."""
-    columns = [c for c in docs.columns if c != ids]
+def decoded(
+    docs: DataFrame, path: str, ids: str = "ids", text: str = "text", portion: int = 1 << 20
+) -> DataFrame:
+    """The rows of `docs` with the text of the id column in place of it, `portion` ids at a time."""
+    columns = _others(docs, ids, text)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = model(path)
         for batch in batches:
-            lists = batch[ids]
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            found = decode_ids(flat, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), p)
-            texts = pc.if_else(pc.is_null(lists), None, pa.array(found, pa.string()))
-            yield pa.RecordBatch.from_arrays([batch[c] for c in columns] + [texts], [*columns, text])
+            sizes = pc.fill_null(pc.list_value_length(batch[ids]), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes)
+            lo = 0
+            while lo < len(sizes):
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + portion, side="right")))
+                own = batch.slice(lo, hi - lo)
+                flat = own[ids].flatten().to_numpy(zero_copy_only=False)
+                bounds = np.concatenate([[0], ends[lo:hi] - ends[lo] + sizes[lo]]).astype(np.int64)
+                texts = pa.array(decode_ids(flat, bounds, p), pa.string())
+                texts = pc.if_else(pc.is_null(own[ids]), None, texts)
+                yield pa.RecordBatch.from_arrays([own[c] for c in columns] + [texts], [*columns, text])
+                lo = hi
 
     schema = docs.select(*columns).withColumn(text, F.lit(None).cast("string")).schema
     return docs.mapInArrow(decode, schema)
 
-
-def checksum(ids: str = "ids"):
-    """A column with the unsigned crc32 of an id list as little-endian 32-bit numbers."""
-
-    @F.pandas_udf("bigint")
-    def crc(lists):
-        return lists.map(lambda x: None if x is None else zlib.crc32(np.asarray(x, "<u4").tobytes()))
-
-    return crc(F.col(ids))
