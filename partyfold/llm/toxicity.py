@@ -196,13 +196,17 @@ def log_likelihood(emissions: np.ndarray, states: np.ndarray, mask: np.ndarray,
 # Fitting
 
 
-def _token_labels(hashes: np.ndarray, text: np.ndarray, toxic: np.ndarray, ratio: float, least: int):
+def _token_labels(
+    hashes: np.ndarray, text: np.ndarray, toxic: np.ndarray, ratio: float, least: int, part: float
+):
     """Toxic tokens of a sample: words of toxic texts with strong evidence.
 
-    The evidence of a feature is how many toxic and clean texts hold it; a word needs
-    `least` toxic texts and `ratio` times the clean share, both smoothed.
+    The evidence of a feature is the number of toxic texts that hold it, if these are `least`
+    and `ratio` times what its share in clean ones allows, both smoothed. A word's is that of its
+    best feature, and it needs `part` of the strongest in its text: chance companions of a
+    toxic word have a few texts where that word has many.
     """
-    strong = np.zeros(hashes.shape[1], bool)
+    evidence = np.zeros(hashes.shape[1])
     share = max(toxic.sum(), 1) / max((~toxic).sum(), 1)
     for row in hashes[[0, 2, 3]]:
         _, feature = np.unique(row, return_inverse=True)
@@ -210,15 +214,23 @@ def _token_labels(hashes: np.ndarray, text: np.ndarray, toxic: np.ndarray, ratio
         own, doc = np.divmod(once, len(toxic))
         bad = np.bincount(own[toxic[doc]], minlength=feature.max() + 1)
         good = np.bincount(own[~toxic[doc]], minlength=feature.max() + 1)
-        strong |= ((bad >= least) & (bad >= ratio * share * (good + 0.5)))[feature]
-    return strong & toxic[text]
+        strong = (bad >= least) & (bad >= ratio * share * (good + 0.5))
+        evidence = np.maximum(evidence, np.where(strong, bad, 0)[feature])
+    strongest = np.zeros(len(toxic))
+    np.maximum.at(strongest, text, evidence)
+    return (evidence > 0) & (evidence >= part * strongest[text]) & toxic[text]
 
 
 def fit_sample(
     texts: list[str], toxic: list[int], rounds: int = 30, rate: float = 0.4, decay: float = 1e-4,
-    ratio: float = 8.0, least: int = 4,
+    ratio: float = 8.0, least: int = 3, part: float = 0.25, calibrating: int = 4,
 ) -> Model:
-    """A model from the texts of a sample, the same for the same sample in the same order."""
+    """A model from the texts of a sample, the same for the same sample in the same order.
+
+    Copies count once. Every `calibrating`-th text is kept from the field and fits the
+    scores of texts to the probabilities of words.
+    """
+    texts, toxic = zip(*sorted(dict(zip(texts, toxic)).items())) if texts else ((), ())
     label = np.array(toxic, bool)
     if not label.any() or label.all():
         return Model()
@@ -230,7 +242,16 @@ def fit_sample(
     text = np.repeat(np.arange(len(counts)), counts)
     if not len(text):
         return Model()
-    token = _token_labels(hashes, text, label, ratio, least)
+    kept_out = np.arange(len(label)) % calibrating == 0
+    if label[kept_out].all() or not label[kept_out].any() or label[~kept_out].all() or not label[~kept_out].any():
+        kept_out[:] = False  # too few for two parts
+    fitted = label & ~kept_out
+    known = ~kept_out[text]
+    token = np.zeros(len(text), bool)
+    number = np.cumsum(~kept_out) - 1
+    token[known] = _token_labels(
+        hashes[:, known], number[text[known]], fitted[~kept_out], ratio, least, part
+    )
     model = Model()
 
     # Windows of equal length: all that hold a toxic token, and as many others.
@@ -238,7 +259,7 @@ def fit_sample(
     end = np.minimum(start + _WINDOW, of_text[text[start] + 1])
     seen = np.concatenate([[0], np.cumsum(token)])
     holds = seen[end] > seen[start]
-    others = np.flatnonzero(~holds)
+    others = np.flatnonzero(~holds & ~kept_out[text[start]])
     step = max(1, len(others) // max(int(holds.sum()), 2000))
     chosen = np.sort(np.concatenate([np.flatnonzero(holds), others[::step]]))
     at = start[chosen][:, None] + np.arange(_WINDOW)
@@ -273,7 +294,10 @@ def fit_sample(
         s, m = summaries(own, marginals(model.emissions(own), own.of_text, pair))
         strongest.append(s)
         mass.append(m)
-    model.calibration = _logistic(np.concatenate(strongest), np.concatenate(mass), label)
+    judging = kept_out if kept_out.any() else ~kept_out
+    model.calibration = _logistic(
+        np.concatenate(strongest)[judging], np.concatenate(mass)[judging], label[judging]
+    )
     return model
 
 
@@ -332,7 +356,8 @@ def fit(
         model = fit_sample([k[2] for k, _ in ordered], [v for _, v in ordered])
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    return pickle.loads(sample.coalesce(1).mapInArrow(train, "model binary").first()["model"])
+    row = sample.coalesce(1).mapInArrow(train, "model binary").first()
+    return pickle.loads(row["model"]) if row else Model()
 
 
 # Scoring
