@@ -194,7 +194,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, file
 
     ordered = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).orderBy(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    )
+    # Ranges are drawn by doc_id alone: the sample for them goes to the driver, and texts must not.
+    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     manifest = written(ordered.mapInArrow(write, _MANIFEST), "manifest")
     # One row per file, so this window sees a few rows for a great many documents.
     before = Window.orderBy("task", "place").rowsBetween(Window.unboundedPreceding, -1)
