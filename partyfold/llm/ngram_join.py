@@ -5,12 +5,14 @@ has one shingle, all of them; one without words has an empty set and links with
 Two documents link when the intersection is at least `num / den` of the union.
 
 **Candidates.** Sets whose similarity reaches the threshold and whose sizes lie in one size
-range differ in at most H shingles. Each set is dealt by hash into H + 1 parts, so at least
-one part is the same in both; a hash of a part's contents is a signature. Sizes of
+range differ in at most H shingles. Each set is dealt by hash into somewhat more than H parts, so
+some parts are the same in both; a hash of a part's contents is a signature. Sizes of
 neighbouring ranges meet because the larger sets of a range also sign for the next one. A part
-that is empty in both would be a poor signature, so sets with an empty part sign once more
-with another seed. No link can be missed. A document has signatures for about a sixth of
-its shingles, and documents without a near copy share none of them.
+that is empty would be a poor signature and is none; sets with so many empty parts that
+all equal ones could be empty sign once more with another seed. No link can be missed, and documents without a near copy share no
+signature. Signatures travel in packed form, once for each set of a portion; the task of a hash
+bucket ties every set to the first one that came with a signature, so a signature that
+many sets have makes as many ties as there are sets.
 
 **Search.** Documents that share signatures, directly or through others, form a candidate
 component, which is gathered once, in blocks of a bounded number of shingles. Within a block,
@@ -33,15 +35,17 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
-from math import log2
+from math import ceil, exp, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partyfold.llm.buckets import Buckets
 from partyfold.llm.components import components
-from partyfold.llm.storage import written
+from partyfold.llm.prefilter import with_ids
+from partyfold.llm.storage import Workspace, written
 from partyfold.llm.words import U64, WHITE, grams, mix, pieces, signed, words
 
 _SEEDS = 4
@@ -50,9 +54,11 @@ _SEEDS = 4
 # Sets
 
 
-def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def shingle_sets(
+    column: pa.Array, size: int, portion: int = 4 << 20
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Portions of (first row, sorted distinct shingle hashes, offsets of the documents)."""
-    for texts in pieces(column):
+    for texts in pieces(column, portion):
         found = words(texts, WHITE)
         hashes = found.hashes()
         of_runs, text = grams(hashes, found.of_text, size)
@@ -101,22 +107,53 @@ def _ranges(num: int, den: int) -> list[int]:
     return ends
 
 
-def _parts(end: int, num: int, den: int) -> int:
-    """One more than the largest difference of two linked sets of at most `end` shingles."""
-    return 2 * end * (den - num) // (den + num) + 1
+def _difference(end: int, num: int, den: int) -> int:
+    """The largest difference of two linked sets of at most `end` shingles."""
+    return 2 * end * (den - num) // (den + num)
+
+
+@cache
+def _parts(place: int, num: int, den: int) -> int:
+    """Parts for the sets of a size range, and for those of the range before that reach it.
+
+    More than the difference, by as many as may be empty even in the smallest of these sets,
+    so that few sets have to sign with a second seed; small sets cannot have that with
+    certainty and get the fewest parts with which it is likely.
+    """
+    ends = _ranges(num, den)
+    most = _difference(ends[place], num, den)
+    if not most:
+        return 1
+    smallest = max(1, (ends[place - 1] if place else 1) * num // den)
+    for deviations in (3, 1, 0):
+        parts = most + 1
+        while parts < 2 * most + 2:
+            empty = parts * exp(-smallest / parts)
+            if parts - most >= 1 + empty + deviations * sqrt(empty):
+                return parts
+            parts += 1 + parts // 100
+    return most + 1
 
 
 def signatures(
-    hashes: np.ndarray, offsets: np.ndarray, num: int, den: int
+    hashes: np.ndarray, offsets: np.ndarray, num: int, den: int, chosen: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) of all documents of a portion."""
+    """(document, signature) of the documents of a portion, or of the `chosen` ones."""
     sizes = np.diff(offsets)
+    if chosen is not None:
+        asked = np.zeros(len(sizes), bool)
+        asked[chosen] = True
+        signing = asked & (sizes > 0)
+    else:
+        signing = sizes > 0
     ends = np.array(_ranges(num, den))
     own = np.searchsorted(ends, sizes)
     meets_next = sizes * den > ends[own] * num
-    docs = np.concatenate([np.flatnonzero(sizes > 0), np.flatnonzero((sizes > 0) & meets_next)])
-    ranges = np.concatenate([own[sizes > 0], own[(sizes > 0) & meets_next] + 1])
-    parts = np.array([_parts(int(e), num, den) for e in ends[: ranges.max(initial=0) + 1]])
+    docs = np.concatenate([np.flatnonzero(signing), np.flatnonzero(signing & meets_next)])
+    ranges = np.concatenate([own[signing], own[signing & meets_next] + 1])
+    known = range(int(ranges.max(initial=0)) + 1)
+    parts = np.array([_parts(k, num, den) for k in known])
+    sure = parts - np.array([_difference(int(ends[k]), num, den) for k in known])
     docs, ranges = docs[parts[ranges] > 1], ranges[parts[ranges] > 1]
     all_docs, all_signatures = [], []
     for seed in range(_SEEDS):
@@ -139,37 +176,99 @@ def signatures(
         keep = filled if seed < _SEEDS - 1 else np.ones(base[-1], bool)
         all_docs.append(docs[entry[keep]])
         all_signatures.append(value[keep])
-        short = np.unique(entry[~filled])
-        docs, ranges = docs[short], ranges[short]
+        # Two linked sets agree in `sure` parts; if all of these are empty, both sign again.
+        empty = np.bincount(entry[~filled], minlength=len(docs))
+        again = empty >= sure[ranges]
+        docs, ranges = docs[again], ranges[again]
     if not all_docs:
         return np.zeros(0, np.int64), np.zeros(0, U64)
     return np.concatenate(all_docs), np.concatenate(all_signatures)
 
 
-def _signer(size: int, num: int, den: int):
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _noder(size: int):
+    """Set size and node of every row."""
+
+    def node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, hashes, offsets in shingle_sets(batch["text"], size):
-                sizes, node = np.diff(offsets), node_hash(hashes, offsets)
-                docs, values = signatures(hashes, offsets, num, den)
-                order = np.argsort(docs, kind="stable")
-                ends = np.searchsorted(docs[order], np.arange(len(sizes) + 1))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(ends.astype(np.int32)), pa.array(signed(values[order]))
-                )
+                sizes = np.diff(offsets)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(row, len(sizes)),
+                        batch["row_key"].slice(row, len(sizes)),
                         pa.array(sizes.astype(np.int64)),
-                        pa.array(signed(node)),
-                        lists,
+                        pa.array(signed(node_hash(hashes, offsets))),
+                    ],
+                    ["doc_id", "row_key", "n_shingles", "node"],
+                )
+
+    return node
+
+
+def _signer(size: int, num: int, den: int, buckets: Buckets):
+    """Signatures of all rows in packed form: for each bucket nodes, signatures of each node, signatures."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, hashes, offsets in shingle_sets(batch["text"], size):
+                nodes = node_hash(hashes, offsets)
+                _, first = np.unique(nodes, return_index=True)
+                docs, values = signatures(hashes, offsets, num, den, np.sort(first))
+                place = buckets.of(values)
+                order = np.lexsort((docs, place))
+                docs, values, place = docs[order], buckets.keys(values[order]), place[order]
+                rows = []
+                for own in np.split(np.arange(len(docs)), np.flatnonzero(np.diff(place)) + 1):
+                    if len(own):
+                        begin = np.flatnonzero(np.diff(docs[own], prepend=-1))
+                        counts = np.diff(np.append(begin, len(own)))
+                        rows.append((
+                            int(place[own[0]]), nodes[docs[own[begin]]].tobytes(),
+                            counts.astype("<u4").tobytes(), buckets.pack(values[own]),
+                        ))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([r[0] for r in rows], pa.int64()),
+                        *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)),
                     ],
-                    ["doc_id", "n_shingles", "node", "signatures"],
+                    ["bucket", "nodes", "counts", "signatures"],
                 )
 
     return sign
 
 
+def _tier(buckets: Buckets):
+    """Nodes that share a signature, each tied to the first node that came with it."""
+
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, centers = None, np.zeros(0, U64), np.zeros(0, U64)
+        for batch in batches:
+            columns = [batch[c].to_pylist() for c in ("bucket", "nodes", "counts", "signatures")]
+            for bucket, raw_nodes, raw_counts, raw in zip(*columns):
+                if bucket != now:
+                    now, keys, centers = bucket, np.zeros(0, U64), np.zeros(0, U64)
+                node = np.repeat(np.frombuffer(raw_nodes, U64), np.frombuffer(raw_counts, "<u4"))
+                value = buckets.unpack(raw, bucket)
+                distinct, first, inverse = np.unique(value, return_index=True, return_inverse=True)
+                at = np.searchsorted(keys, distinct)
+                known = np.zeros(len(distinct), bool)
+                if len(keys):
+                    inside = np.minimum(at, len(keys) - 1)
+                    known = keys[inside] == distinct
+                center = node[first]
+                center[known] = centers[at[known]]
+                keys = np.insert(keys, at[~known], distinct[~known])
+                centers = np.insert(centers, at[~known], center[~known])
+                tied = center[inverse]
+                apart = tied != node
+                pair = np.unique(np.stack([tied[apart], node[apart]], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(np.ascontiguousarray(pair[:, k]))) for k in (0, 1)], ["a", "b"]
+                )
+
+    return tie
+
+
 # Search
 
 
@@ -310,7 +409,7 @@ def _searcher(size: int, num: int, den: int):
                 for i in range(len(offsets) - 1):
                     at = row + i
                     if own[i] != node[at]:
-                        continue  # another row with the same doc_id
+                        continue  # another row with the same key
                     if keys[at] != key:
                         if len(sets) > 1:
                             yield flush(nodes, sides, sets)
@@ -336,80 +435,85 @@ def near_duplicates(
     num: int = 80,
     den: int = 100,
     block_shingles: int = 150_000,
+    bucket_shingles: int = 2_000_000,
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id` for every row of `docs` (`doc_id`, `text`).
 
     `component_id` is the smallest doc_id that links lead to. `block_shingles` bounds what a
     search task holds; a candidate component with more is searched block by block.
+    There is one bucket of signatures for each `bucket_shingles`.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signs = written(
-        texts.mapInArrow(
-            _signer(words, num, den),
-            "doc_id bigint, n_shingles bigint, node bigint, signatures array<bigint>",
-        ),
-        "signs",
-    )
-    nodes = written(
-        signs.where("n_shingles > 0").groupBy("node").agg(
-            F.min("doc_id").alias("first"), F.first("n_shingles").alias("size")
-        ),
-        "nodes",
-    )
-    candidates = components(_candidate_edges(signs))
-    links = _searched(texts, nodes, candidates, words, num, den, block_shingles)
-    linked = components(links)
-    named = nodes.join(linked, "node", "left").select(
-        "node", "first", F.coalesce("label", "node").alias("label")
-    )
-    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    classes = named.join(smallest, "label").select("node", "component_id")
-    return signs.join(classes, "node", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
-
-
-def _candidate_edges(signs: DataFrame) -> DataFrame:
-    """Each node that shares a signature with others, tied to the smallest of them."""
-    rows = signs.select(F.explode("signatures").alias("signature"), "node")
-    shared = (
-        rows.groupBy("signature")
-        .agg(F.min("node").alias("a"), F.max("node").alias("z"))
-        .where("a < z").select("signature", "a")
-    )
-    return (
-        rows.join(shared, "signature").where("node <> a")
-        .select("a", F.col("node").alias("b")).distinct()
-    )
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
+    ).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    with Workspace(docs.sparkSession) as space:
+        rows = space.written(
+            texts.mapInArrow(
+                _noder(words), "doc_id bigint, row_key bigint, n_shingles bigint, node bigint"
+            ),
+            "rows",
+        )
+        nodes = space.written(
+            rows.where("n_shingles > 0").groupBy("node").agg(
+                F.min("doc_id").alias("first"),
+                F.min("row_key").alias("key"),
+                F.first("n_shingles").alias("size"),
+            ),
+            "nodes",
+        )
+        shingles = nodes.agg(F.sum("size")).first()[0] or 0
+        buckets = Buckets(max(1, ceil(shingles / bucket_shingles)))
+        packed = texts.mapInArrow(
+            _signer(words, num, den, buckets),
+            "bucket bigint, nodes binary, counts binary, signatures binary",
+        )
+        ties = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _tier(buckets), "a bigint, b bigint"
+        )
+        candidates = components(ties, space)
+        links = _searched(texts, nodes, candidates, words, num, den, block_shingles, space)
+        linked = components(links, space)
+        named = nodes.join(linked, "node", "left").select(
+            "node", "first", F.coalesce("label", "node").alias("label")
+        )
+        smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
+        classes = named.join(smallest, "label").select("node", "component_id")
+        own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+        return written(
+            rows.join(classes, "node", "left").select(
+                "doc_id", "n_shingles", own.alias("component_id")
+            ),
+            "groups",
+        )
 
 
 def _searched(
-    texts: DataFrame, nodes: DataFrame, candidates: DataFrame, size: int, num: int, den: int, block: int
+    texts: DataFrame, nodes: DataFrame, candidates: DataFrame, size: int, num: int, den: int,
+    block: int, space: Workspace,
 ) -> DataFrame:
     members = nodes.join(candidates, "node")
     weight = members.groupBy("label").agg(
         F.ceil(F.sum("size") / F.lit(block)).cast("int").alias("blocks")
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = members.join(weight, "label").select(
-        F.col("first").alias("doc_id"), "node", "label", "blocks", own.alias("block")
+    placed = space.written(
+        members.join(weight, "label").select(
+            "key", "node", "label", "blocks", own.alias("block")
+        ),
+        "placed",
     )
     # A document stands in one row per block that its own block is searched against.
-    dealt = (
-        texts.join(placed, texts.doc_id.eqNullSafe(placed.doc_id))
-        .select("node", "label", "block", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select(
-            "label",
-            F.least("block", "other").alias("x"),
-            F.greatest("block", "other").alias("y"),
-            F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"),
-            "node",
-            "text",
-        )
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    found = with_ids(texts, "row_key", placed, "key", "inner")
+    dealt = found.select("node", "label", "block", "text", every).select(
+        "label",
+        F.least("block", "other").alias("x"),
+        F.greatest("block", "other").alias("y"),
+        F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"),
+        "node",
+        "text",
     )
-    return written(
+    return space.written(
         dealt.repartition("label", "x", "y").sortWithinPartitions("label", "x", "y")
         .mapInArrow(_searcher(size, num, den), "a bigint, b bigint"),
         "links",

@@ -31,6 +31,25 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+class Workspace:
+    """Intermediate tables of one computation. They go when it is done; its result is written elsewhere."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._path, self._count = spark, shared_dir(spark), 0
+
+    def written(self, df: DataFrame, name: str = "table") -> DataFrame:
+        self._count += 1
+        path = f"{self._path}/{self._count}-{name}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        _remove(self._spark, self._path)
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """The rows written to the shared folder and read again; cuts the lineage."""
     spark = df.sparkSession

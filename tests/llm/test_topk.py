@@ -1,0 +1,69 @@
+import math
+import random
+
+import pytest
+from conftest import DATA
+from compare import connect, differences
+from pyspark.sql import functions as F
+
+from partyfold.llm import queries, topk
+
+VECTORS = "vec_id bigint, embedding array<float>, score bigint"
+
+
+def plain(rows, k, every):
+    kept = []
+    for i, v, _ in rows:
+        if v is not None and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((i, [math.floor(256 * x) for x in v]))
+    found = set()
+    for qi, q in kept:
+        if qi is None or qi % every:
+            continue
+        scored = [
+            (-sum(a * b for a, b in zip(q, v)), i) for i, v in kept if i != qi and len(v) == len(q)
+        ]
+        for rank, (s, i) in enumerate(sorted(scored, key=lambda p: (p[0], p[1] is None, p[1] or 0))[:k], 1):
+            found.add((qi, rank, i, max(-(2**63), min(2**63 - 1, -s))))
+    return found
+
+
+def search(spark, rows, k, every, **options):
+    table = spark.createDataFrame(rows, VECTORS).select("vec_id", topk.quantised(F.col("embedding")).alias("vector"))
+    asked = table.where(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id")
+    found = topk.top_k(asked, table, k, **options).collect()
+    assert len({(r["query_id"], r["rank"]) for r in found}) == len(found)
+    return {tuple(r) for r in found}
+
+
+@pytest.mark.parametrize("options", [{}, {"query_block": 3, "block": 7}])
+@pytest.mark.parametrize("dims", [1, 5, 40])
+def test_results_are_those_of_all_scores(spark, dims, options):
+    rng = random.Random(dims)
+    rows = [(i, [rng.choice([0.0, 0.5, rng.gauss(0, 1)]) for _ in range(dims)], 0) for i in range(60)]
+    assert search(spark, rows, 5, 6, **options) == plain(rows, 5, 6)
+
+
+def test_odd_vectors(spark):
+    rows = [
+        (0, [1.0, 2.0], 0), (2, [1.0, 2.0], 0), (1, [1.0, 2.0], 0), (1, [1.0, 2.0], 0), (3, None, 0),
+        (4, [None, 1.0], 0), (6, [float("nan"), 1.0], 0), (8, [float("inf"), 1.0], 0), (10, [], 0), (12, [], 0),
+        (14, [1.0], 0), (0, [1.0, 2.0], 0), (None, [5.0, 5.0], 0), (16, [1e30, -1e30], 0), (18, [3e9, 3e9], 0),
+    ]
+    found = search(spark, rows, 3, 2)
+    ordinary = {f for f in found if f[0] not in (16, 18) and f[2] not in (16, 18)}
+    assert {(q, r, v) for q, r, v, _ in ordinary if q == 10} == {(10, 1, 12)}
+    assert not {q for q, *_ in found} & {4, 6, 8}
+    assert (2, 1) in {(q, r) for q, r, *_ in found}
+    assert all(-(2**63) <= s < 2**63 for *_, s in found)
+
+
+def test_empty_table(spark):
+    assert search(spark, [], 5, 2) == set()
+
+
+def test_the_query_agrees_with_sql(spark):
+    sf_dir = str(DATA / "sf0.001")
+    with connect(sf_dir) as duck:
+        df = queries.QUERIES["op4_exact_top_k"](spark, sf_dir)
+        assert differences(df, duck, queries.ORACLES["op4_exact_top_k"]) == []
