@@ -9,7 +9,8 @@ range differ in at most H shingles. Each set is dealt by hash into somewhat more
 some parts are the same in both; a hash of a part's contents is a signature. Sizes of
 neighbouring ranges meet because the larger sets of a range also sign for the next one. A part
 that is empty would be a poor signature and is none; sets with so many empty parts that
-all equal ones could be empty sign once more with another seed. No link can be missed, and documents without a near copy share no
+all equal ones could be empty sign once more with another seed. Shingles that are common in a
+sample of the texts count only with the last seed, or texts with a line in common would be candidates. No link can be missed, and documents without a near copy share no
 signature. Signatures travel in packed form, once for each set of a portion; the task of a hash
 bucket ties every set to the first one that came with a signature, so a signature that
 many sets have makes as many ties as there are sets.
@@ -48,7 +49,7 @@ from partyfold.llm.prefilter import with_ids
 from partyfold.llm.storage import Workspace, written
 from partyfold.llm.words import U64, WHITE, grams, mix, pieces, signed, words
 
-_SEEDS = 4
+_SEEDS = 3
 
 
 # Sets
@@ -136,10 +137,17 @@ def _parts(place: int, num: int, den: int) -> int:
 
 
 def signatures(
-    hashes: np.ndarray, offsets: np.ndarray, num: int, den: int, chosen: np.ndarray | None = None
+    hashes: np.ndarray, offsets: np.ndarray, num: int, den: int,
+    chosen: np.ndarray | None = None, common: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) of the documents of a portion, or of the `chosen` ones."""
+    """(document, signature) of the documents of a portion, or of the `chosen` ones.
+
+    `common` has sorted shingles that count only with the last seed.
+    """
     sizes = np.diff(offsets)
+    rare = np.ones(len(hashes), bool)
+    if common is not None and len(common) and len(hashes):
+        rare = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] != hashes
     if chosen is not None:
         asked = np.zeros(len(sizes), bool)
         asked[chosen] = True
@@ -162,9 +170,12 @@ def signatures(
         base = np.concatenate([[0], np.cumsum(parts[ranges])])
         lengths = sizes[docs]
         at = np.repeat(offsets[docs] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
-        values = mix(hashes[at + np.arange(lengths.sum())] + U64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
-        count = np.repeat(parts[ranges], lengths).astype(U64)
-        slot = np.repeat(base[:-1], lengths) + (values % count).astype(np.int64)
+        at = at + np.arange(lengths.sum())
+        entry = np.repeat(np.arange(len(docs)), lengths)
+        if seed < _SEEDS - 1:
+            at, entry = at[rare[at]], entry[rare[at]]
+        values = mix(hashes[at] + U64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
+        slot = base[entry] + (values % parts[ranges][entry].astype(U64)).astype(np.int64)
         total = np.zeros(base[-1], U64)
         np.add.at(total, slot, mix(values))
         filled = np.zeros(base[-1], bool)
@@ -205,7 +216,31 @@ def _noder(size: int):
     return node
 
 
-def _signer(size: int, num: int, den: int, buckets: Buckets):
+def _common_shingles(
+    texts: DataFrame, rows: DataFrame, size: int, sample: int, least: int = 4, most: int = 500_000
+) -> np.ndarray:
+    """Shingles that several texts of a sample hold, sorted; of at most `sample` texts, at most `most`.
+
+    Parts made of such shingles alone would tie texts that share a line. Which shingles these are
+    is no matter for the result: any set of them gives the same links.
+    """
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, hashes, _ in shingle_sets(batch["text"], size):
+                yield pa.RecordBatch.from_arrays([pa.array(signed(hashes))], ["shingle"])
+
+    keys = (
+        rows.groupBy("node").agg(F.min("row_key").alias("chosen"))
+        .orderBy(F.xxhash64("chosen")).limit(sample).select("chosen")
+    )
+    chosen = texts.join(F.broadcast(keys), F.col("row_key") == F.col("chosen")).select("text")
+    held = chosen.mapInArrow(shingles, "shingle bigint").groupBy("shingle").count()
+    found = held.where(F.col("count") >= least).orderBy(F.desc("count"), "shingle").limit(most)
+    return np.sort(np.array([r["shingle"] for r in found.collect()], np.int64).view(U64))
+
+
+def _signer(size: int, num: int, den: int, buckets: Buckets, common: np.ndarray):
     """Signatures of all rows in packed form: for each bucket nodes, signatures of each node, signatures."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +248,7 @@ def _signer(size: int, num: int, den: int, buckets: Buckets):
             for _, hashes, offsets in shingle_sets(batch["text"], size):
                 nodes = node_hash(hashes, offsets)
                 _, first = np.unique(nodes, return_index=True)
-                docs, values = signatures(hashes, offsets, num, den, np.sort(first))
+                docs, values = signatures(hashes, offsets, num, den, np.sort(first), common)
                 place = buckets.of(values)
                 order = np.lexsort((docs, place))
                 docs, values, place = docs[order], buckets.keys(values[order]), place[order]
@@ -436,12 +471,14 @@ def near_duplicates(
     den: int = 100,
     block_shingles: int = 150_000,
     bucket_shingles: int = 2_000_000,
+    sample: int = 4000,
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id` for every row of `docs` (`doc_id`, `text`).
 
     `component_id` is the smallest doc_id that links lead to. `block_shingles` bounds what a
     search task holds; a candidate component with more is searched block by block.
-    There is one bucket of signatures for each `bucket_shingles`.
+    There is one bucket of signatures for each `bucket_shingles`. A `sample` of texts tells which
+    shingles are common; it changes the number of candidates, not the result.
     """
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -463,8 +500,9 @@ def near_duplicates(
         )
         shingles = nodes.agg(F.sum("size")).first()[0] or 0
         buckets = Buckets(max(1, ceil(shingles / bucket_shingles)))
+        common = _common_shingles(texts, rows, words, sample)
         packed = texts.mapInArrow(
-            _signer(words, num, den, buckets),
+            _signer(words, num, den, buckets, common),
             "bucket bigint, nodes binary, counts binary, signatures binary",
         )
         ties = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(

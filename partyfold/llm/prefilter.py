@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_ID = "__id"
 _BITS = 1 << 23  # 256 bitmaps of the size that bitmap_construct_agg makes
 
 
@@ -39,12 +40,14 @@ def _split(rows: DataFrame, key: str, ids: DataFrame, id_column: str) -> tuple[D
 
 
 def with_ids(rows: DataFrame, key: str, ids: DataFrame, id_column: str, how: str = "left_semi") -> DataFrame:
-    """Rows whose key is an id of the set; with `how` inner, the columns of `ids` too."""
-    maybe, _ = _split(rows, key, ids, id_column)
-    return maybe.join(ids, F.col(key) == F.col(id_column), how)
+    """Rows whose key is an id of the set; with `how` inner, the other columns of `ids` too."""
+    ids = ids.withColumnRenamed(id_column, _ID)
+    maybe, _ = _split(rows, key, ids, _ID)
+    return maybe.join(ids, F.col(key) == F.col(_ID), how).drop(_ID)
 
 
 def without_ids(rows: DataFrame, key: str, ids: DataFrame, id_column: str) -> DataFrame:
     """Rows whose key is no id of the set, null keys among them."""
-    maybe, never = _split(rows, key, ids, id_column)
-    return never.unionAll(maybe.join(ids, F.col(key) == F.col(id_column), "left_anti"))
+    ids = ids.withColumnRenamed(id_column, _ID)
+    maybe, never = _split(rows, key, ids, _ID)
+    return never.unionAll(maybe.join(ids, F.col(key) == F.col(_ID), "left_anti"))

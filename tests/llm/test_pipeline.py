@@ -8,11 +8,11 @@ import corpus_pipeline
 from partyfold.llm import queries, sentencepieces, toxicity
 
 SMALL = str(DATA / "sf0.001")
-DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, component_id int"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, component_id int, id int"
 
 
 def table(spark, rows):
-    return spark.createDataFrame([(i, t, "en", "s", 1, 0) for i, t in rows], DOCS)
+    return spark.createDataFrame([(i, t, "en", "s", 1, 0, 0) for i, t in rows], DOCS)
 
 
 def ids(df):

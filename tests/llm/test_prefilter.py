@@ -1,0 +1,16 @@
+from pyspark.sql import functions as F
+
+from partyfold.llm.prefilter import with_ids, without_ids
+
+
+def test_rows_are_those_of_plain_joins(spark):
+    key = F.when(F.col("id") % 97 != 0, F.col("id"))
+    rows = spark.range(20_000).select(key.alias("k"), F.lit("x").alias("i"))
+    ids = spark.range(0, 20_000, 7).select(F.col("id").alias("i"))
+    assert with_ids(rows, "k", ids, "i").count() == rows.where("k % 7 = 0").count()
+    assert without_ids(rows, "k", ids, "i").count() == rows.where("k IS NULL OR k % 7 <> 0").count()
+    both = with_ids(rows, "k", ids.withColumn("more", F.lit(1)), "i", "inner")
+    assert both.columns == ["k", "i", "more"]
+    none = ids.where("i < 0")
+    assert with_ids(rows, "k", none, "i").count() == 0
+    assert without_ids(rows, "k", none, "i").count() == 20_000
