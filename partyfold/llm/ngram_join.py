@@ -10,10 +10,14 @@ some parts are the same in both; a hash of a part's contents is a signature. Siz
 neighbouring ranges meet because the larger sets of a range also sign for the next one. A part
 that is empty would be a poor signature and is none; sets with so many empty parts that
 all equal ones could be empty sign once more with another seed. Shingles that are common in a
-sample of the texts count only with the last seed, or texts with a line in common would be candidates. No link can be missed, and documents without a near copy share no
-signature. Signatures travel in packed form, once for each set of a portion; the task of a hash
-bucket ties every set to the first one that came with a signature, so a signature that
-many sets have makes as many ties as there are sets.
+sample of the texts count only with the last seed, or texts with a line in common would be candidates. No link
+can be missed, and documents without a near copy share no signature.
+
+The same count tells how many signatures two linked sets share at least, often dozens. Signatures
+travel in packed form, once for each set of a portion, to the task of a hash bucket. Of a
+signature with few sets it makes the pairs, and pairs that share fewer signatures than linked sets do are
+no candidates; of one with many sets it ties every set to the first, so that it never makes more
+ties than there are sets.
 
 **Search.** Documents that share signatures, directly or through others, form a candidate
 component, which is gathered once, in blocks of a bounded number of shingles. Within a block,
@@ -139,10 +143,12 @@ def _parts(place: int, num: int, den: int) -> int:
 def signatures(
     hashes: np.ndarray, offsets: np.ndarray, num: int, den: int,
     chosen: np.ndarray | None = None, common: np.ndarray | None = None,
-) -> tuple[np.ndarray, np.ndarray]:
-    """(document, signature) of the documents of a portion, or of the `chosen` ones.
+) -> tuple[np.ndarray, ...]:
+    """Signatures of the documents of a portion, or of the `chosen` ones.
 
-    `common` has sorted shingles that count only with the last seed.
+    For each signature its document, its value, a label of size range and seed, and how many
+    signatures of that label a linked document shares at least; of two documents the larger
+    number holds. `common` has sorted shingles that count only with the last seed.
     """
     sizes = np.diff(offsets)
     rare = np.ones(len(hashes), bool)
@@ -163,37 +169,37 @@ def signatures(
     parts = np.array([_parts(k, num, den) for k in known])
     sure = parts - np.array([_difference(int(ends[k]), num, den) for k in known])
     docs, ranges = docs[parts[ranges] > 1], ranges[parts[ranges] > 1]
-    all_docs, all_signatures = [], []
+    found: list[tuple[np.ndarray, ...]] = []
     for seed in range(_SEEDS):
         if not len(docs):
             break
+        last = seed == _SEEDS - 1
         base = np.concatenate([[0], np.cumsum(parts[ranges])])
         lengths = sizes[docs]
         at = np.repeat(offsets[docs] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
         at = at + np.arange(lengths.sum())
         entry = np.repeat(np.arange(len(docs)), lengths)
-        if seed < _SEEDS - 1:
+        if not last:
             at, entry = at[rare[at]], entry[rare[at]]
         values = mix(hashes[at] + U64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
         slot = base[entry] + (values % parts[ranges][entry].astype(U64)).astype(np.int64)
         total = np.zeros(base[-1], U64)
         np.add.at(total, slot, mix(values))
-        filled = np.zeros(base[-1], bool)
+        filled = np.full(base[-1], last)
         filled[slot] = True
         entry = np.repeat(np.arange(len(docs)), parts[ranges])
         part = np.arange(base[-1]) - base[entry]
-        label = (ranges[entry] * _SEEDS + seed) * (1 << 40) + part
-        value = mix(total + mix(label.astype(U64)))
-        keep = filled if seed < _SEEDS - 1 else np.ones(base[-1], bool)
-        all_docs.append(docs[entry[keep]])
-        all_signatures.append(value[keep])
-        # Two linked sets agree in `sure` parts; if all of these are empty, both sign again.
+        label = ranges * _SEEDS + seed
+        value = mix(total + mix((label[entry] * (1 << 40) + part).astype(U64)))
+        # Two linked sets agree in `sure` parts, of which only those can be empty that are so in both.
         empty = np.bincount(entry[~filled], minlength=len(docs))
-        again = empty >= sure[ranges]
-        docs, ranges = docs[again], ranges[again]
-    if not all_docs:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    return np.concatenate(all_docs), np.concatenate(all_signatures)
+        need = sure[ranges] - empty
+        kept = entry[filled]
+        found.append((docs[kept], value[filled], label[kept], need[kept]))
+        docs, ranges = docs[need < 1], ranges[need < 1]
+    if not found:
+        return (np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return tuple(np.concatenate(column) for column in zip(*found))
 
 
 def _noder(size: int):
@@ -248,58 +254,128 @@ def _signer(size: int, num: int, den: int, buckets: Buckets, common: np.ndarray)
             for _, hashes, offsets in shingle_sets(batch["text"], size):
                 nodes = node_hash(hashes, offsets)
                 _, first = np.unique(nodes, return_index=True)
-                docs, values = signatures(hashes, offsets, num, den, np.sort(first), common)
+                docs, values, label, need = signatures(hashes, offsets, num, den, np.sort(first), common)
                 place = buckets.of(values)
-                order = np.lexsort((docs, place))
-                docs, values, place = docs[order], buckets.keys(values[order]), place[order]
+                order = np.lexsort((label, docs, place))
+                docs, label, need, place = docs[order], label[order], need[order], place[order]
+                values = buckets.keys(values[order])
                 rows = []
                 for own in np.split(np.arange(len(docs)), np.flatnonzero(np.diff(place)) + 1):
                     if len(own):
-                        begin = np.flatnonzero(np.diff(docs[own], prepend=-1))
-                        counts = np.diff(np.append(begin, len(own)))
-                        rows.append((
-                            int(place[own[0]]), nodes[docs[own[begin]]].tobytes(),
-                            counts.astype("<u4").tobytes(), buckets.pack(values[own]),
-                        ))
+                        fresh = (np.diff(docs[own], prepend=-1) != 0) | (np.diff(label[own], prepend=-1) != 0)
+                        begin = np.flatnonzero(fresh)
+                        head = np.empty(len(begin), _ENTRY)
+                        head["node"] = nodes[docs[own[begin]]]
+                        head["label"], head["need"] = label[own[begin]], np.maximum(need[own[begin]], 0)
+                        head["count"] = np.diff(np.append(begin, len(own)))
+                        rows.append((int(place[own[0]]), head.tobytes(), buckets.pack(values[own])))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int64()),
-                        *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)),
+                        *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)),
                     ],
-                    ["bucket", "nodes", "counts", "signatures"],
+                    ["bucket", "entries", "signatures"],
                 )
 
     return sign
 
 
-def _tier(buckets: Buckets):
-    """Nodes that share a signature, each tied to the first node that came with it."""
+_ENTRY = np.dtype([("node", "<u8"), ("label", "<u4"), ("need", "<u4"), ("count", "<u4")])
+_PAIRS = "a bigint, b bigint, label int, need int, shared int"
+
+
+class _Bucket:
+    """The signatures of a bucket that few nodes share, and the first node of those that many share."""
+
+    def __init__(self, small: int):
+        self.small = small
+        self.key, self.entry = np.zeros(0, U64), np.zeros(0, _ENTRY)
+        self.large, self.center = np.zeros(0, U64), np.zeros(0, U64)
+
+    def settle(self, key: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """Add signatures; returns ties of nodes to the first of many."""
+        ties = []
+        if len(self.large):
+            at = np.minimum(np.searchsorted(self.large, key), len(self.large) - 1)
+            many = self.large[at] == key
+            ties.append(np.stack([self.center[at[many]], entry["node"][many]], axis=1))
+            key, entry = key[~many], entry[~many]
+        key, entry = np.concatenate([self.key, key]), np.concatenate([self.entry, entry])
+        order = np.lexsort((entry["node"], key))
+        key, entry = key[order], entry[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (entry["node"][1:] != entry["node"][:-1])
+        key, entry = key[fresh], entry[fresh]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+        size = np.diff(np.append(first, len(key)))
+        many = np.repeat(size > self.small, size)
+        ties.append(np.stack([np.repeat(entry["node"][first], size)[many], entry["node"][many]], axis=1))
+        large = first[size > self.small]
+        at = np.searchsorted(self.large, key[large])
+        self.large, self.center = np.insert(self.large, at, key[large]), np.insert(self.center, at, entry["node"][large])
+        self.key, self.entry = key[~many], entry[~many]
+        found = np.concatenate(ties)
+        return np.unique(found[found[:, 0] != found[:, 1]], axis=0)
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Entries of the two nodes of every pair that shares a signature, once for each signature."""
+        key, entry = self.key, self.entry
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+        size = np.diff(np.append(first, len(key)))
+        for n in range(2, self.small + 1):
+            own = first[size == n]
+            for i in range(n if len(own) else 0):
+                for j in range(i):
+                    yield entry[own + j], entry[own + i]
+
+
+def _tier(buckets: Buckets, small: int, at_once: int = 2_000_000):
+    """Pairs of nodes with the signatures they share in a bucket, and ties where many nodes share one."""
+
+    def table(a, b, label, need, shared) -> pa.RecordBatch:
+        columns = [pa.array(signed(np.ascontiguousarray(x, U64))) for x in (a, b)]
+        columns += [pa.array(np.ascontiguousarray(x, np.int32)) for x in (label, need, shared)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "label", "need", "shared"])
+
+    def tied(pair: np.ndarray) -> pa.RecordBatch:
+        n = len(pair)
+        return table(pair[:, 0], pair[:, 1], np.full(n, -1), np.zeros(n), np.ones(n))
+
+    def counted(own: _Bucket) -> Iterator[pa.RecordBatch]:
+        both = list(own.pairs())
+        if not both:
+            return
+        one, two = (np.concatenate([p[k] for p in both]) for k in (0, 1))
+        need = np.maximum(one["need"], two["need"])
+        keep = need > 0  # else both have signed again with another seed
+        one, two, need = one[keep], two[keep], need[keep]
+        if not len(one):
+            return
+        order = np.lexsort((one["label"], two["node"], one["node"]))
+        one, two, need = one[order], two[order], need[order]
+        same = (one["node"][1:] == one["node"][:-1]) & (two["node"][1:] == two["node"][:-1]) & (one["label"][1:] == one["label"][:-1])
+        first = np.flatnonzero(np.concatenate([[True], ~same]))
+        shared = np.diff(np.append(first, len(one)))
+        yield table(one["node"][first], two["node"][first], one["label"][first], need[first], shared)
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, centers = None, np.zeros(0, U64), np.zeros(0, U64)
+        now, own = None, _Bucket(small)
+        keys, entries, held = [], [], 0
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("bucket", "nodes", "counts", "signatures")]
-            for bucket, raw_nodes, raw_counts, raw in zip(*columns):
+            for bucket, raw_entries, raw in zip(*(batch[c].to_pylist() for c in ("bucket", "entries", "signatures"))):
+                if (bucket != now or held > at_once) and keys:
+                    yield tied(own.settle(np.concatenate(keys), np.concatenate(entries)))
+                    keys, entries, held = [], [], 0
                 if bucket != now:
-                    now, keys, centers = bucket, np.zeros(0, U64), np.zeros(0, U64)
-                node = np.repeat(np.frombuffer(raw_nodes, U64), np.frombuffer(raw_counts, "<u4"))
-                value = buckets.unpack(raw, bucket)
-                distinct, first, inverse = np.unique(value, return_index=True, return_inverse=True)
-                at = np.searchsorted(keys, distinct)
-                known = np.zeros(len(distinct), bool)
-                if len(keys):
-                    inside = np.minimum(at, len(keys) - 1)
-                    known = keys[inside] == distinct
-                center = node[first]
-                center[known] = centers[at[known]]
-                keys = np.insert(keys, at[~known], distinct[~known])
-                centers = np.insert(centers, at[~known], center[~known])
-                tied = center[inverse]
-                apart = tied != node
-                pair = np.unique(np.stack([tied[apart], node[apart]], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.ascontiguousarray(pair[:, k]))) for k in (0, 1)], ["a", "b"]
-                )
+                    yield from counted(own)
+                    now, own = bucket, _Bucket(small)
+                head = np.frombuffer(raw_entries, _ENTRY)
+                keys.append(buckets.unpack(raw, bucket))
+                entries.append(np.repeat(head, head["count"]))
+                held += len(keys[-1])
+        if keys:
+            yield tied(own.settle(np.concatenate(keys), np.concatenate(entries)))
+        yield from counted(own)
 
     return tie
 
@@ -472,13 +548,15 @@ def near_duplicates(
     block_shingles: int = 150_000,
     bucket_shingles: int = 2_000_000,
     sample: int = 4000,
+    small: int = 24,
 ) -> DataFrame:
     """`doc_id, n_shingles, component_id` for every row of `docs` (`doc_id`, `text`).
 
     `component_id` is the smallest doc_id that links lead to. `block_shingles` bounds what a
     search task holds; a candidate component with more is searched block by block.
     There is one bucket of signatures for each `bucket_shingles`. A `sample` of texts tells which
-    shingles are common; it changes the number of candidates, not the result.
+    shingles are common, and up to `small` sets with one signature are compared by how many they
+    share; both change the number of candidates, not the result.
     """
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -503,10 +581,15 @@ def near_duplicates(
         common = _common_shingles(texts, rows, words, sample)
         packed = texts.mapInArrow(
             _signer(words, num, den, buckets, common),
-            "bucket bigint, nodes binary, counts binary, signatures binary",
+            "bucket bigint, entries binary, signatures binary",
+        )
+        shared = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _tier(buckets, small), _PAIRS
         )
-        ties = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _tier(buckets), "a bigint, b bigint"
+        ties = (
+            shared.groupBy("a", "b", "label")
+            .agg(F.max("need").alias("need"), F.sum("shared").alias("shared"))
+            .where("shared >= need").select("a", "b")
         )
         candidates = components(ties, space)
         links = _searched(texts, nodes, candidates, words, num, den, block_shingles, space)
