@@ -144,7 +144,7 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 _MANIFEST = "task int, place int, file string, n_docs bigint, n_ids bigint"
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, file_ids: int = 1 << 25) -> DataFrame:
+def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, file_ids: int = 1 << 24) -> DataFrame:
     """Write the ids of every text under `path`; returns the manifest with each file's first id.
 
     A file is closed at the document with which it has `file_ids` ids or more.
@@ -203,7 +203,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, file
     return manifest.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def _portions(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _portions(texts: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int]]:
     sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in texts])
     ends = np.cumsum(sizes)
     lo = 0

@@ -60,7 +60,7 @@ _SEEDS = 3
 
 
 def shingle_sets(
-    column: pa.Array, size: int, portion: int = 4 << 20
+    column: pa.Array, size: int, portion: int = 1_900_000
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Portions of (first row, sorted distinct shingle hashes, offsets of the documents)."""
     for texts in pieces(column, portion):
@@ -329,7 +329,7 @@ class _Bucket:
                     yield entry[own + j], entry[own + i]
 
 
-def _tier(buckets: Buckets, small: int, at_once: int = 2_000_000):
+def _tier(buckets: Buckets, small: int, at_once: int = 500_000):
     """Pairs of nodes with the signatures they share in a bucket, and ties where many nodes share one."""
 
     def table(a, b, label, need, shared) -> pa.RecordBatch:
@@ -546,7 +546,7 @@ def near_duplicates(
     num: int = 80,
     den: int = 100,
     block_shingles: int = 150_000,
-    bucket_shingles: int = 2_000_000,
+    bucket_shingles: int = 700_000,
     sample: int = 4000,
     small: int = 24,
 ) -> DataFrame:

@@ -108,7 +108,7 @@ class Texts:
         return len(self.offsets) - 1
 
 
-def pieces(column: pa.Array, max_bytes: int = 4 << 20) -> Iterator[Texts]:
+def pieces(column: pa.Array, max_bytes: int = 1_900_000) -> Iterator[Texts]:
     """The texts of a column in portions of about `max_bytes`; null counts as empty.
 
     A text is never cut: a longer one is a portion of its own.
