@@ -48,7 +48,7 @@ _FILTER_BITS = 22
 class Pieces:
     """The pieces of a model file, sorted by hash."""
 
-    def __init__(self, path: str, remember: int = 1_000_000):
+    def __init__(self, path: str, remember: int = 300_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
