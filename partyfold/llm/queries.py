@@ -94,8 +94,8 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of words, counted over all documents."""
-    return backoff.stupid_backoff(table(spark, sf_dir, "documents"), order=2)
+    """Pairs of words, counted over all documents, those that occur once too."""
+    return backoff.stupid_backoff(table(spark, sf_dir, "documents"), order=2, min_count=1)
 
 
 def op10_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
