@@ -44,7 +44,7 @@ from math import ceil, exp, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partyfold.llm.buckets import Buckets
@@ -558,9 +558,40 @@ def near_duplicates(
     shingles are common, and up to `small` sets with one signature are compared by how many they
     share; both change the number of candidates, not the result.
     """
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return _grouped(docs, columns, words, num, den, block_shingles, bucket_shingles, sample, small)
+
+
+def near_duplicate_rows(
+    docs: DataFrame,
+    words: int = 5,
+    num: int = 80,
+    den: int = 100,
+    block_shingles: int = 150_000,
+    bucket_shingles: int = 700_000,
+    sample: int = 4000,
+    small: int = 24,
+) -> DataFrame:
+    """`doc_id, n_shingles, row_key, label` for every row of `docs`; rows with one label are linked.
+
+    `row_key` is that of the row, see there; the label of a row without words is null.
+    """
+    columns = ["doc_id", "n_shingles", "row_key", "label"]
+    return _grouped(docs, columns, words, num, den, block_shingles, bucket_shingles, sample, small)
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A hash of id and text: the same for repeated rows alone, also where the id is null."""
+    return F.xxhash64(F.col(doc_id).cast("bigint"), F.col(text).cast("string"))
+
+
+def _grouped(
+    docs: DataFrame, columns: list[str], words: int, num: int, den: int,
+    block_shingles: int, bucket_shingles: int, sample: int, small: int,
+) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    ).withColumn("row_key", row_key())
     with Workspace(docs.sparkSession) as space:
         rows = space.written(
             texts.mapInArrow(
@@ -598,12 +629,10 @@ def near_duplicates(
             "node", "first", F.coalesce("label", "node").alias("label")
         )
         smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-        classes = named.join(smallest, "label").select("node", "component_id")
+        classes = named.join(smallest, "label").select("node", "label", "component_id")
         own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
         return written(
-            rows.join(classes, "node", "left").select(
-                "doc_id", "n_shingles", own.alias("component_id")
-            ),
+            rows.join(classes, "node", "left").withColumn("component_id", own).select(*columns),
             "groups",
         )
 

@@ -47,6 +47,9 @@ class Workspace:
         return self
 
     def __exit__(self, *_) -> None:
+        self.remove()
+
+    def remove(self) -> None:
         _remove(self._spark, self._path)
 
 

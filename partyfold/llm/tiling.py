@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partyfold.llm.storage import Workspace
 from partyfold.llm.words import ALNUM, grams, pieces, run_hash, words
 
 Tile = tuple[int, int, int]
@@ -151,35 +152,51 @@ class Seeds:
         yield from zip(text[starts][enough].tolist(), item[starts][enough].tolist())
 
 
+def _found(seeds: Seeds, column: pa.Array, threshold: float) -> Iterator[tuple[int, int, list[Tile], int]]:
+    """Row, number of the item found in it, tiles and covered words."""
+    for texts in pieces(column):
+        found = words(texts, ALNUM)
+        hashes = found.hashes()
+        for text, k in seeds.candidates(hashes, found.of_text, threshold):
+            doc = hashes[found.of_text[text] : found.of_text[text + 1]]
+            own = tiles(seeds.tokens[k], doc, seeds.min_match)
+            covered = sum(t[2] for t in own)
+            if covered >= threshold * int(seeds.lengths[k]):
+                yield texts.first_row + text, k, own, covered
+
+
 def _tiler(seeds: Seeds, threshold: float, schema: pa.Schema):
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for texts in pieces(batch["text"]):
-                found = words(texts, ALNUM)
-                hashes = found.hashes()
-                for text, k in seeds.candidates(hashes, found.of_text, threshold):
-                    doc = hashes[found.of_text[text] : found.of_text[text + 1]]
-                    own = tiles(seeds.tokens[k], doc, seeds.min_match)
-                    covered, total = sum(t[2] for t in own), int(seeds.lengths[k])
-                    if covered >= threshold * total:
-                        rows.append(
-                            {
-                                "doc_id": batch["doc_id"][texts.first_row + text].as_py(),
-                                "item_id": seeds.ids[k],
-                                "item_words": total,
-                                "covered_words": covered,
-                                "coverage": covered / total,
-                                "tiles": [
-                                    dict(zip(("item_start", "doc_start", "length"), t)) for t in own
-                                ],
-                            }
-                        )
+            for row, k, own, covered in _found(seeds, batch["text"], threshold):
+                total = int(seeds.lengths[k])
+                rows.append(
+                    {
+                        "doc_id": batch["doc_id"][row].as_py(),
+                        "item_id": seeds.ids[k],
+                        "item_words": total,
+                        "covered_words": covered,
+                        "coverage": covered / total,
+                        "tiles": [dict(zip(("item_start", "doc_start", "length"), t)) for t in own],
+                    }
+                )
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return tile
 
 
+def _cleaner(seeds: Seeds, threshold: float):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = np.ones(batch.num_rows, bool)
+            for row, *_ in _found(seeds, batch["text"], threshold):
+                kept[row] = False
+            yield batch.filter(pa.array(kept))
+
+    return clean
+
+
 # Over tables
 
 
@@ -194,14 +211,7 @@ def benchmark_hits(
 
     `docs` has `doc_id` and `text`, `benchmark` has `item_id` and `text`.
     """
-    if min_match < 1 or not 0 < threshold <= 1:
-        raise ValueError("min_match is at least 1, threshold above 0 and at most 1")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(
-        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
-    )
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    portions = max(1, ceil(size / portion_bytes))
     tile_type = pa.struct([(n, pa.int32()) for n in ("item_start", "doc_start", "length")])
     schema = pa.schema(
         [
@@ -209,13 +219,49 @@ def benchmark_hits(
             ("covered_words", pa.int32()), ("coverage", pa.float64()), ("tiles", pa.list_(tile_type)),
         ]
     )
-    found = []
+    found = [
+        texts.mapInArrow(_tiler(seeds, threshold, schema), _SCHEMA)
+        for seeds in _portions(benchmark, min_match, threshold, portion_bytes)
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
+def without_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    min_match: int = 4,
+    threshold: float = 0.7,
+    portion_bytes: int = 16 << 20,
+) -> DataFrame:
+    """The rows of `docs` in whose own text no item is found, whatever their doc_id; all columns kept.
+
+    What one portion of the benchmark leaves is written before the next one is looked up.
+    """
+    before, space = None, None
+    for seeds in _portions(benchmark, min_match, threshold, portion_bytes):
+        if before is not None:
+            last, space = space, Workspace(docs.sparkSession)
+            docs = space.written(before, "clean")
+            if last is not None:
+                last.remove()
+        before = docs.mapInArrow(_cleaner(seeds, threshold), docs.schema)
+    return before
+
+
+def _portions(
+    benchmark: DataFrame, min_match: int, threshold: float, portion_bytes: int
+) -> Iterator[Seeds]:
+    if min_match < 1 or not 0 < threshold <= 1:
+        raise ValueError("min_match is at least 1, threshold above 0 and at most 1")
+    items = benchmark.select(
+        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
+    )
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    portions = max(1, ceil(size / portion_bytes))
     for portion in range(portions):
         own = F.pmod(F.xxhash64("item_id", "text"), F.lit(portions)) == portion
         rows = items.where(own).collect()  # at most about portion_bytes
-        seeds = Seeds([r["item_id"] for r in rows], [r["text"] for r in rows], min_match)
-        found.append(texts.mapInArrow(_tiler(seeds, threshold, schema), _SCHEMA))
-    return reduce(DataFrame.unionAll, found)
+        yield Seeds([r["item_id"] for r in rows], [r["text"] for r in rows], min_match)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

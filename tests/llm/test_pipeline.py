@@ -5,7 +5,7 @@ from plain import shingles
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from partyfold.llm import queries, sentencepieces, toxicity
+from partyfold.llm import queries, sentencepieces, tiling, toxicity
 
 SMALL = str(DATA / "sf0.001")
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, component_id int, id int"
@@ -38,6 +38,37 @@ def test_contaminated_documents_go(spark):
     assert ids(corpus_pipeline.drop_contaminated(spark, table(spark, rows), SMALL)) == [2, 3]
 
 
+def test_contamination_is_judged_row_by_row(spark):
+    items = [r["text"] for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").limit(2).collect()]
+    rows = [(None, f"see {items[0]} there"), (1, f"and {items[1]}"), (1, "clean words only"), (None, "clean too"), (2, None)]
+    kept = corpus_pipeline.drop_contaminated(spark, table(spark, rows), SMALL)
+    assert {(r["doc_id"], r["text"]) for r in kept.collect()} == {*rows[2:]} and kept.count() == 3
+
+
+def test_contaminated_rows_go_with_every_portion_of_the_benchmark(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(8))) for i in range(12)]
+    own = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [*[(None, f"a {t} b") for _, t in items], (None, "clean"), (3, None)]
+    kept = tiling.without_contaminated(table(spark, rows), own, portion_bytes=100)
+    assert {(r["doc_id"], r["text"]) for r in kept.collect()} == {(None, "clean"), (3, None)}
+
+
+def test_near_duplicates_are_judged_row_by_row(spark):
+    one, two, three = (" ".join(f"{w}{k}" for k in range(13)) for w in "abc")
+    rows = [
+        (None, one), (None, one), (4, one), (9, one + " more"),  # one group with an id
+        (None, two), (None, two), (None, two + " more"),  # one without
+        (4, three), (2, three), (9, "another text of the same id stays here"),  # ids shared by texts of other groups
+        (None, None), (None, None), (None, ""), (5, ""), (5, ""), (5, None),  # no words
+    ]
+    kept = corpus_pipeline.one_of_each_group(spark, table(spark, rows), SMALL).collect()
+    left = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+    of_two = [x for x in left if x[0] is None and x[1]]
+    assert len(of_two) == 1 and of_two[0][1].startswith(two)
+    others = [(4, one), (2, three), rows[9], (None, None), (None, None), (None, ""), (5, ""), (5, None)]
+    assert left == sorted([*others, *of_two], key=str)
+
+
 def test_the_whole_pipeline_against_plain_accounts(spark):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     result = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SMALL).collect()}
