@@ -71,3 +71,6 @@ LOAD_EVENT_FIELDS = ["table", "tipo_carga", "date"]
 DATA_DIR = "data"
 SNAPSHOT_DIR = "data_bk"
 BACKUP_NAME = "{layer}-respaldo-{mode}-{date}"
+
+# Kinds of change between two snapshots, and their column.
+CHANGE_COLUMN, INSERT, UPDATE, DELETE = "change", "insert", "update", "delete"

@@ -12,12 +12,15 @@ from partyfold.operators.joins import (
     unmatched_rows,
 )
 from partyfold.operators.products import keep_products
+from partyfold.operators.snapshots import apply_diff, changed_keys, snapshot_diff
 from partyfold.operators.union import union_all
 
 __all__ = [
     "FigureSource",
     "Spread",
+    "apply_diff",
     "chain_fanout",
+    "changed_keys",
     "control_figures",
     "delta_keys",
     "delta_restrict",
@@ -30,6 +33,7 @@ __all__ = [
     "left_join_one",
     "matched_rows",
     "row_count",
+    "snapshot_diff",
     "union_all",
     "unmatched_rows",
 ]

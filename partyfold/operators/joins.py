@@ -105,7 +105,7 @@ def _repeat_for_salts(
     return df.select(*df.columns, all_salts.alias(_RIGHT_SALT))
 
 
-def _join_one(
+def join_one(
     left: DataFrame,
     right: DataFrame,
     left_keys: Sequence[str],
@@ -114,13 +114,13 @@ def _join_one(
     null_safe: bool = False,
     spread: Spread | None = None,
 ) -> DataFrame:
-    """Join with a right side of one row per key."""
+    """Join with a right side of one row per key; its other columns come along."""
     if len(left_keys) != len(right_keys) or not left_keys:
         raise ValueError("give the same number of keys, at least one, for both sides")
     left_keys, right_keys = actual_names(left, left_keys), actual_names(right, right_keys)
     payload = [c for c in right.columns if c not in right_keys]
     clash = {c.lower() for c in payload} & {c.lower() for c in left.columns}
-    if how == "left" and clash:
+    if how in ("left", "inner") and clash:
         raise ValueError(f"columns on both sides of the join: {sorted(clash)}")
     for a, b in zip(left_keys, right_keys):
         if left.schema[a].dataType != right.schema[b].dataType:
@@ -152,7 +152,7 @@ def left_join_one(
     Keys are compared as they are: `'K '` does not match `'K'`, null matches nothing.
     Reduce the right side with `first_per_key` first.
     """
-    return _join_one(left, right, left_keys, right_keys, "left", spread=spread)
+    return join_one(left, right, left_keys, right_keys, "left", spread=spread)
 
 
 def matched_rows(
@@ -161,11 +161,16 @@ def matched_rows(
     keys: Sequence[str],
     key_table_keys: Sequence[str] | None = None,
     spread: Spread | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
-    """Rows of `table` whose key occurs in `key_table` (our definition)."""
+    """Rows of `table` whose key occurs in `key_table` (our definition).
+
+    A null key occurs nowhere, unless `null_safe` asks for null to equal null.
+    """
     other = actual_names(key_table, key_table_keys or keys)
-    present = distinct_rows(with_keys(key_table, other), other)
-    return _join_one(table, present, keys, other, "left_semi", spread=spread)
+    rows = key_table if null_safe else with_keys(key_table, other)
+    present = distinct_rows(rows, other)
+    return join_one(table, present, keys, other, "left_semi", null_safe, spread)
 
 
 def unmatched_rows(
@@ -183,7 +188,7 @@ def unmatched_rows(
     other = actual_names(key_table, key_table_keys or keys)
     rows = key_table if null_safe else with_keys(key_table, other)
     present = distinct_rows(rows, other)
-    return _join_one(table, present, keys, other, "left_anti", null_safe, spread)
+    return join_one(table, present, keys, other, "left_anti", null_safe, spread)
 
 
 def chain_fanout(

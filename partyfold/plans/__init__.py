@@ -2,10 +2,15 @@
 
 from partyfold.plans.insured import insured_flat, register_views, run_insured
 from partyfold.plans.loads import loaded_table, runs_whole_history
+from partyfold.plans.upkeep import InsuredInputs, affected_versions, insured_upkeep, refresh_insured
 
 __all__ = [
+    "InsuredInputs",
+    "affected_versions",
     "insured_flat",
+    "insured_upkeep",
     "loaded_table",
+    "refresh_insured",
     "register_views",
     "run_insured",
     "runs_whole_history",

@@ -1,0 +1,113 @@
+"""Differences of snapshots: replaying one on the old snapshot gives the new one."""
+
+import math
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from rows import bag, planned
+
+from partyfold import functions as fn
+from partyfold import operators as op
+
+SCHEMA = "k string, v string, n int, extra array<string>"
+ROWS = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "a ", "b", "", None]), st.sampled_from(["x", "y", None]), st.sampled_from([1, 2, None]),
+        st.sampled_from([None, (), ("p",), (None, "p"), ("p", None)]),
+    ),
+    max_size=12,
+)
+few = settings(
+    max_examples=6,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
+)
+
+
+def lists(rows):
+    return [(*r[:3], None if r[3] is None else list(r[3])) for r in rows]
+
+
+def tuples(df):
+    return Counter((*r[:3], None if r[3] is None else tuple(r[3])) for r in df.collect())
+
+
+@pytest.mark.parametrize("spread", [None, op.Spread(by=["v", "n"], rows_per_task=1)], ids=["plain", "spread"])
+@few
+@given(old=ROWS, new=ROWS)
+def test_a_replayed_difference_is_the_new_snapshot(frame, spread, old, new):
+    before, after = frame(lists(old), SCHEMA), frame(lists(new), SCHEMA)
+    diff = op.snapshot_diff(before, after, ["k"], spread=spread).cache()
+    replayed = op.apply_diff(before, diff, ["k"], spread=spread)
+    assert tuples(replayed) == Counter(new)
+    assert tuples(op.apply_diff(replayed, diff, ["k"], spread=spread)) == Counter(new)
+    kinds = {r["k"]: r["change"] for r in op.changed_keys(before, after, ["k"]).collect()}
+    groups = [{}, {}]
+    for side, rows in zip(groups, (old, new)):
+        for row in rows:
+            side.setdefault(row[0], Counter())[row[1:]] += 1
+    expected = {}
+    for key in groups[0].keys() | groups[1].keys():
+        a, b = (side.get(key) for side in groups)
+        if a != b:
+            expected[key] = "insert" if a is None else "delete" if b is None else "update"
+    assert kinds == expected
+    assert {r["k"]: r["change"] for r in diff.collect()} == expected
+
+
+def test_fingerprints_tell_nulls_apart(frame):
+    schema = "a string, b string, c array<string>, d struct<x:string,y:string>, e double, m map<string,string>"
+    rows = [
+        (None, "q", None, None, 0.0, None), ("q", None, None, None, 0.0, None), ("q", "", None, None, 0.0, None),
+        (None, None, [None, "q"], None, 0.0, None), (None, None, ["q"], None, 0.0, None), (None, None, [], None, 0.0, None),
+        (None, None, None, ("q", None), 0.0, None), (None, None, None, (None, "q"), 0.0, None),
+        (None, None, None, None, None, None), (None, None, None, None, math.nan, None), (None, None, None, None, 1e-300, None),
+        (None, None, None, None, None, {"a": None}), (None, None, None, None, None, {"a": "b"}),
+    ]
+    df = frame(rows, schema)
+    prints = {tuple(r) for r in df.select(*fn.row_fingerprint(df, df.columns)).collect()}
+    assert len(prints) == len(rows)
+    [print_] = {
+        tuple(r)
+        for e in (0.0, -0.0)
+        for r in frame([("a", e)], "a string, e double").select(*fn.row_fingerprint(frame([("a", e)], "a string, e double"), ["a", "e"])).collect()
+    }
+    assert all(0 <= piece < 1 << 24 for piece in print_)
+
+
+def test_order_of_rows_and_columns_and_case_of_names_do_not_matter(frame):
+    old = frame([(1, "a", 2), (1, "b", 3)], "k int, v string, n int")
+    new = frame([("b", 3, 1), ("a", 2, 1)], "V string, N int, K int")
+    assert op.changed_keys(old, new, ["k"]).count() == 0
+    more = frame([("b", 3, 1), ("a", 2, 1), ("a", 2, 1)], "V string, N int, K int")
+    assert bag(op.changed_keys(old, more, ["k"])) == {(1, "update"): 1}
+
+
+def test_snapshots_of_other_shapes_are_refused(frame):
+    old = frame([(1, "a")], "k int, v string")
+    with pytest.raises(ValueError, match="columns or types"):
+        op.snapshot_diff(old, frame([(1, 2)], "k int, v int"), ["k"])
+    taken = frame([(1, "a")], "k int, change string")
+    with pytest.raises(ValueError, match="exists already"):
+        op.snapshot_diff(taken, taken, ["k"])
+
+
+def test_only_keys_and_prints_are_shuffled_to_find_changes(spark):
+    wide = spark.range(1000).select(
+        (F.col("id") % 10).alias("k"), *[(F.col("id") * i).alias(f"c{i}") for i in range(20)]
+    )
+    plan = planned(op.changed_keys(wide, wide.withColumn("c3", F.lit(0).cast("long")), ["k"]))
+    assert plan.count("Exchange") == 1 and plan.count("HashAggregate") == 2
+    partial = plan[plan.index("Exchange"):]
+    assert "partial_sum" in partial and "c3" not in plan[: plan.index("Exchange")]
+
+
+def test_a_hot_key_sends_a_row_for_each_partition(spark):
+    hot = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    changed = hot.where("v <> 9")
+    assert bag(op.changed_keys(hot, changed, ["k"])) == {(-1, "update"): 1}

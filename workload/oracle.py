@@ -7,13 +7,25 @@ joins with all their duplicates, `row_number()`, `EXISTS` and full outer joins.
 from __future__ import annotations
 
 from partyfold import fixed
-from workload.views import view_sql
+from workload.views import later_sql, view_sql
 
 _WITH = (
     f"WITH policy_object AS ({view_sql('policy_object')}), "
     f"party_master AS ({view_sql('party_master')}), "
     f"contact_data AS ({view_sql('contact_data')}) "
 )
+_WITH_LATER = (
+    f"WITH policy_object AS ({later_sql('policy_object')}), "
+    f"party_master AS ({later_sql('party_master')}), "
+    f"contact_data AS ({later_sql('contact_data')}) "
+)
+_CUSTOMERS_LATER = """later AS (
+        SELECT c_custkey, c_name, c_nationkey,
+               CASE WHEN c_custkey % 4 = 1 THEN c_acctbal + 1
+                    WHEN c_custkey % 4 <> 2 THEN c_acctbal END AS c_acctbal, c_mktsegment
+        FROM customer WHERE c_custkey % 5 <> 0
+        UNION ALL SELECT -c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+        FROM customer WHERE c_custkey % 6 = 1)"""
 _USABLE = "p.cve_filiacion IS NOT NULL AND trim(p.cve_filiacion) <> ''"
 
 
@@ -37,7 +49,7 @@ def _smallest(columns: list[str]) -> str:
     return ", ".join(f"{c} NULLS FIRST" for c in columns)
 
 
-def _insured() -> str:
+def _insured(inputs: str = _WITH) -> str:
     order = _smallest(
         ["p.cve_filiacion"]
         + [f"m.{c}" for c in fixed.MASTER_COLUMNS]
@@ -45,7 +57,7 @@ def _insured() -> str:
     )
     contact = ", ".join(f"c.{c}" for c in fixed.CONTACT_COLUMNS)
     name = _name("m.tcpefiju", "m.dnnomrzm", "m.dnap1rzm", "m.dnap2rzm")
-    return f"""{_WITH}, ranked AS (
+    return f"""{inputs}, ranked AS (
         SELECT p.num_poliza, p.num_version, p.cve_filiacion AS cve_asegurado,
                CAST(m.cdrfc AS CHAR(20)) AS rfc, m.tcpefiju AS tipo_participante,
                {_label('m.tcpefiju')} AS desc_tipo_persona,
@@ -121,6 +133,7 @@ _RIGHT_FIGURES = _FIGURES.format(
 ORACLES: dict[str, str] = {
     "insured_flat": _insured(),
     "insured_job": _insured(),
+    "insured_upkeep": _insured(_WITH_LATER),
     "scan_table": "SELECT * FROM orders",
     "overwrite_roundtrip": "SELECT * FROM supplier",
     "sql_on_views": """
@@ -233,6 +246,14 @@ ORACLES: dict[str, str] = {
             SELECT * FROM changes WHERE o_orderdate >= TIMESTAMP '2001-07-01')
         SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM recent)
         UNION ALL SELECT * FROM recent""",
+    "snapshot_diff": f"""WITH {_CUSTOMERS_LATER}
+        SELECT n.*, CASE WHEN o.c_custkey IS NULL THEN 'insert' ELSE 'update' END AS change
+        FROM later n LEFT JOIN customer o ON n.c_custkey = o.c_custkey
+        WHERE o.c_custkey IS NULL OR o.c_acctbal IS DISTINCT FROM n.c_acctbal
+        UNION ALL
+        SELECT c_custkey, NULL, NULL, NULL, NULL, 'delete' FROM customer o
+        WHERE NOT EXISTS (SELECT 1 FROM later n WHERE n.c_custkey = o.c_custkey)""",
+    "snapshot_replay": f"SELECT * FROM ({later_sql('policy_object')})",
     "control_figures": f"""WITH {_LEFT_FIGURES}, {_RIGHT_FIGURES}
         SELECT coalesce(a.year, b.year) AS year, coalesce(a.status, b.status) AS status,
                coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows,

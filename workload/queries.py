@@ -15,7 +15,7 @@ from partyfold import operators as op
 from partyfold import plans
 from partyfold import sources as io
 from workload.scratch import scratch_dir
-from workload.views import table, view
+from workload.views import later, table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,18 @@ def insured_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.run_insured(spark, raw, modelled)
 
 
+def _inputs(spark: SparkSession, sf_dir: str, tables: Callable = view) -> plans.InsuredInputs:
+    names = ("policy_object", "party_master", "contact_data")
+    return plans.InsuredInputs(*[tables(spark, sf_dir, name) for name in names])
+
+
+def insured_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored insured table after changes and deletions in all three inputs."""
+    path = io.table_path(scratch_dir(spark), "insured_flat")
+    io.overwrite_dataset(insured_flat(spark, sf_dir), path)
+    return plans.refresh_insured(path, _inputs(spark, sf_dir), _inputs(spark, sf_dir, later))
+
+
 # Scans and sinks
 
 
@@ -453,6 +465,29 @@ def delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _customers_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers some days later: some went, some came, some have another balance or none."""
+    customers = table(spark, sf_dir, "customer")
+    came = customers.where("c_custkey % 6 = 1").withColumn("c_custkey", -F.col("c_custkey"))
+    balance = F.when(F.col("c_custkey") % 4 == 1, F.col("c_acctbal") + 1).when(
+        F.col("c_custkey") % 4 != 2, F.col("c_acctbal")
+    )
+    return customers.where("c_custkey % 5 <> 0").withColumn("c_acctbal", balance).unionByName(came)
+
+
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.snapshot_diff(
+        table(spark, sf_dir, "customer"), _customers_later(spark, sf_dir), ["c_custkey"]
+    )
+
+
+def snapshot_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The policy rows some days later, from the rows before and the difference."""
+    before, after = view(spark, sf_dir, "policy_object"), later(spark, sf_dir, "policy_object")
+    key = ["num_poliza", "num_version"]
+    return op.apply_diff(before, op.snapshot_diff(before, after, key), key)
+
+
 def control_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = op.FigureSource(
         table(spark, sf_dir, "orders"),
@@ -488,6 +523,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         insured_flat,
         insured_job,
+        insured_upkeep,
         scan_table,
         overwrite_roundtrip,
         sql_on_views,
@@ -526,6 +562,8 @@ QUERIES: dict[str, Query] = {
         delta_keys_text,
         delta_restrict,
         delta_upsert,
+        snapshot_diff,
+        snapshot_replay,
         control_figures,
         gap_rows,
         gap_adjust,

@@ -108,6 +108,29 @@ VIEWS: dict[str, list[tuple[str, dict[str, str]]]] = {
 }
 
 
+# The inputs some days later: rows that went, changed and came. Conditions and expressions are over the views' columns.
+LATER: dict[str, tuple[str, dict[str, str], str, dict[str, str]]] = {
+    "policy_object": (
+        "NOT (num_poliza % 50 = 3 AND num_version = 2)",
+        {"cve_filiacion": "CASE WHEN num_poliza % 40 = 7 THEN '5' ELSE cve_filiacion END"},
+        "num_poliza % 60 = 11",
+        {"num_poliza": "-num_poliza"},
+    ),
+    "party_master": (
+        "cdrfc IS NULL OR NOT (cdrfc = 'DUP' OR cdfiliac LIKE '%9')",
+        {"dnnomrzm": "CASE WHEN cdfiliac LIKE '%4' THEN 'renamed' ELSE dnnomrzm END"},
+        "cdfiliac LIKE '% '",
+        {"cdfiliac": "trim(cdfiliac)"},
+    ),
+    "contact_data": (
+        "numero NOT LIKE '%5'",
+        {"calle": "CASE WHEN numero LIKE '%8' THEN NULL ELSE calle END"},
+        "cve_filiacion LIKE '% '",
+        {"cve_filiacion": "trim(cve_filiacion)"},
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -126,6 +149,27 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return first
 
 
+def _replaced(columns: dict[str, str], name: str) -> list[str]:
+    names = VIEWS[name][0][1]
+    return [f"{columns[c]} AS {c}" if c in columns else c for c in names]
+
+
+def later(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view as it is some days later."""
+    kept, changed, copied, moved = LATER[name]
+    before = view(spark, sf_dir, name)
+    stayed = before.where(kept).selectExpr(*_replaced(changed, name))
+    return stayed.unionAll(before.where(copied).selectExpr(*_replaced(moved, name)))
+
+
+def later_sql(name: str) -> str:
+    kept, changed, copied, moved = LATER[name]
+    return (
+        f"SELECT {', '.join(_replaced(changed, name))} FROM ({view_sql(name)}) WHERE {kept} "
+        f"UNION ALL SELECT {', '.join(_replaced(moved, name))} FROM ({view_sql(name)}) WHERE {copied}"
+    )
+
+
 def view_sql(name: str) -> str:
     """A view as a SELECT."""
     return " UNION ALL ".join(
