@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from partyfold import fixed
 from partyfold.modes import check_mode
-from partyfold.operators import Spread, delta_keys, delta_restrict, delta_upsert
+from partyfold.operators import Spread, delta_keys, delta_restrict, unmatched_rows
 
 
 def runs_whole_history(mode: str) -> bool:
@@ -31,9 +31,11 @@ def loaded_table(
     """The table after a load. A full load is the source as it is.
 
     A delta load takes all source rows of the keys that changed in the `days` days before
-    `reference` and lets them replace the base rows of the same keys.
+    `reference` and lets them replace the base rows of the same keys. Both sides are cut by the same
+    small set of keys; the rows of the delta are computed once.
     """
     if check_mode(mode) == fixed.FULL:
         return source
     changed = delta_keys(source, keys, changed_at, reference, days, date_format=date_format)
-    return delta_upsert(base, delta_restrict(source, changed, keys), keys, spread)
+    kept = unmatched_rows(base, changed, keys, null_safe=True, spread=spread)
+    return kept.unionByName(delta_restrict(source, changed, keys, spread))

@@ -7,19 +7,24 @@ from partyfold.sources.manifest import (
     load_events,
     read_manifest,
 )
+from partyfold.sources.partitions import apply_to_partitions, touched_folders, write_partitions
 from partyfold.sources.products import (
     read_by_product,
     read_product_list,
     write_by_product,
 )
 from partyfold.sources.tables import (
+    adjust_after_pin,
     adjust_after_snapshot,
     backup_layer,
     copy_dataset,
     layer_datasets,
     overwrite_dataset,
     partition_columns,
+    pin_version,
+    pinned_versions,
     read_dataset,
+    read_pinned,
     read_table,
     replace_load,
     read_whole,
@@ -27,12 +32,15 @@ from partyfold.sources.tables import (
     require_types,
     snapshot,
     table_path,
+    unpin_version,
 )
 
 __all__ = [
     "Files",
+    "adjust_after_pin",
     "adjust_after_snapshot",
     "append_manifest",
+    "apply_to_partitions",
     "backup_layer",
     "copy_dataset",
     "decode_messages",
@@ -40,9 +48,12 @@ __all__ = [
     "load_events",
     "overwrite_dataset",
     "partition_columns",
+    "pin_version",
+    "pinned_versions",
     "read_by_product",
     "read_dataset",
     "read_manifest",
+    "read_pinned",
     "read_product_list",
     "read_table",
     "read_whole",
@@ -53,5 +64,8 @@ __all__ = [
     "scratch_dir",
     "snapshot",
     "table_path",
+    "touched_folders",
+    "unpin_version",
     "write_by_product",
+    "write_partitions",
 ]

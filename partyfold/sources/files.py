@@ -34,6 +34,13 @@ class Files:
         found = self._of(path).listStatus(self._path(path))
         return sorted((s.getPath().getName(), s.isDirectory()) for s in found)
 
+    def find(self, base: str, pattern: str) -> list[str]:
+        """Paths under a folder that match a pattern, relative to it."""
+        fs, root = self._of(base), self._path(base)
+        start = len(fs.makeQualified(root).toString().rstrip("/")) + 1
+        found = fs.globStatus(self._path(f"{base.rstrip('/')}/{pattern}")) or []
+        return sorted(s.getPath().toString()[start:] for s in found)
+
     def rename(self, old: str, new: str) -> None:
         if not self._of(old).rename(self._path(old), self._path(new)):
             raise OSError(f"could not rename {old} to {new}")

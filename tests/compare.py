@@ -18,6 +18,7 @@ TYPES = {
     "DATE": "date",
     "TIMESTAMP": "timestamp_ntz",
     "DECIMAL(10,2)": "decimal(10,2)",
+    "DECIMAL(12,2)": "decimal(12,2)",
     "DECIMAL(38,0)": "decimal(38,0)",
 }
 

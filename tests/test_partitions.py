@@ -1,0 +1,209 @@
+"""Loads that touch some partitions, pinned versions, tables of the catalog, backups that fail."""
+
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+from rows import bag
+
+from partyfold import fixed
+from partyfold import operators as op
+from partyfold import sources as io
+
+SCHEMA = "k int, p string, q int, v string"
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "layer" / "t" / "data")
+
+
+def rows_of(rng, n, keys=12):
+    return [(rng.choice([None, *range(keys)]), rng.choice(["0123", "7", "a b/%{*", None]), rng.choice([1, None]), rng.choice("xy")) for _ in range(n)]
+
+
+def files(folder):
+    return {str(f): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def broken(df):
+    return df.withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("by", [["p"], ["p", "q"]])
+def test_equals_an_upsert_of_the_whole(spark, frame, path, seed, by):
+    rng = random.Random(seed)
+    now = frame(rows_of(rng, 20), SCHEMA)
+    assert bag(io.write_partitions(now, path, by)) == bag(now)
+    for spread in (None, op.Spread(by=["v"], rows_per_task=1)):
+        delta, gone = frame(rows_of(rng, 4), SCHEMA), frame(rows_of(rng, 2), SCHEMA)
+        expected = op.delta_upsert(op.gap_rows(now, gone, ["k"]), delta, ["k"])
+        now = frame([tuple(r) for r in expected.collect()], SCHEMA)
+        found = io.apply_to_partitions(path, delta, ["k"], deleted=gone, spread=spread)
+        assert bag(found) == bag(now)
+        assert bag(io.read_whole(spark, path)) == bag(now)
+    assert io.partition_columns(spark, path) == by
+
+
+def test_untouched_files_stay_the_same_files(spark, frame, path, tmp_path):
+    io.write_partitions(frame([(i, str(i % 5), 1, "x") for i in range(50)], SCHEMA), path, ["p"])
+    before = files(tmp_path)
+    moving = frame([(11, "3", 1, "y")], SCHEMA)  # from partition 1 to partition 3
+    assert [f.split("/")[0] for f in io.touched_folders(path, moving, ["k"])] == ["p=1", "p=3"]
+    result = io.apply_to_partitions(path, moving, ["k"])
+    assert result.where("k = 11").select("p", "v").collect() == [("3", "y")]
+    read = {str(f).removeprefix("file://").removeprefix("file:") for f in result.inputFiles()}
+    untouched = {f for f in before if not any(p in f for p in ("p=1/", "p=3/"))}
+    assert untouched < read and all(files(tmp_path)[f] == before[f] for f in untouched)
+    assert not read & (set(before) - untouched)
+
+
+def test_only_touched_folders_are_scanned_for_rows(spark, frame, path):
+    io.write_partitions(frame([(i, str(i % 5), 1, "x") for i in range(50)], SCHEMA), path, ["p"])
+    nothing = io.apply_to_partitions(path, frame([], SCHEMA), ["k"])
+    assert nothing.count() == 50
+    pruned = io.read_dataset(spark, path).where("p = '2'")
+    assert "PartitionFilters: [isnotnull(p" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_failed_load_changes_nothing(spark, frame, path, tmp_path):
+    first = frame([(i, str(i % 3), 1, "x") for i in range(9)], SCHEMA)
+    io.write_partitions(first, path, ["p"])
+    before = sorted(str(p) for p in tmp_path.rglob("*"))
+    bad = frame([(1, "1", 1, "x")], SCHEMA).withColumn("v", F.when(F.col("k") == 1, F.raise_error(F.lit("broken")).cast("string")))
+    for attempt in (
+        lambda: io.apply_to_partitions(path, bad, ["k"]),
+        lambda: io.write_partitions(broken(first), path, ["p"]),
+        lambda: io.apply_to_partitions(path, frame([(77, "", 1, "x")], SCHEMA), ["k"]),
+        lambda: io.apply_to_partitions(path, frame([(77,)], "k int"), ["k"]),
+    ):
+        with pytest.raises(Exception, match="broken|an empty p|the delta has columns"):
+            attempt()
+        assert sorted(str(p) for p in tmp_path.rglob("*")) == before
+    assert bag(io.read_dataset(spark, path)) == bag(first)
+
+
+def test_readers_and_pins_outlive_loads(spark, frame, path):
+    first = [(i, str(i % 3), 1, "x") for i in range(9)]
+    io.write_partitions(frame(first, SCHEMA), path, ["p"])
+    io.pin_version(spark, path, "start")
+    reader = io.read_dataset(spark, path)
+    for v in "abc":
+        io.apply_to_partitions(path, frame([(1, "1", 1, v)], SCHEMA), ["k"])
+        if v == "a":
+            assert reader.count() == 9
+    assert bag(io.read_pinned(spark, path, "start")) == bag(frame(first, SCHEMA))
+    io.overwrite_dataset(frame([(1, "z", 1, "z")], SCHEMA), path)
+    assert bag(io.read_pinned(spark, path, "start")) == bag(frame(first, SCHEMA))
+    io.unpin_version(spark, path, "start")
+    for _ in range(2):
+        io.overwrite_dataset(frame([(2, "z", 1, "z")], SCHEMA), path)
+    assert bag(io.read_dataset(spark, path)) == {(2, "z", 1, "z"): 1}
+
+
+def test_a_pin_copies_nothing_and_counts_its_names(spark, frame, path, tmp_path):
+    io.overwrite_dataset(frame([(1, "a")], "k int, v string"), path)
+    before = files(tmp_path)
+    spark.sparkContext.setJobGroup("pin", "")
+    for name in ("one", "two"):
+        io.pin_version(spark, path, name)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("pin")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 2 and files(tmp_path) == before  # at most a look at the files' schema
+    [(version, names)] = io.pinned_versions(spark, path).items()
+    assert names == 2 and version.startswith("version-")
+    for v in "bcd":
+        io.overwrite_dataset(frame([(1, v)], "k int, v string"), path)
+    io.unpin_version(spark, path, "one")
+    io.overwrite_dataset(frame([(1, "e")], "k int, v string"), path)
+    assert bag(io.read_pinned(spark, path, "two")) == {(1, "a"): 1}
+    io.unpin_version(spark, path, "two")
+    io.overwrite_dataset(frame([(1, "f")], "k int, v string"), path)
+    assert not set(before) & set(files(tmp_path))
+    with pytest.raises(ValueError, match="no versions"):
+        io.pin_version(spark, str(tmp_path / "nothing"), "x")
+    with pytest.raises(ValueError, match="no name"):
+        io.pin_version(spark, path, "a/b")
+
+
+def test_adjusting_after_a_pin(spark, frame, tmp_path):
+    root = str(tmp_path)
+    io.overwrite_dataset(frame([(1, "a")], "k int, v string"), io.table_path(root, "t"))
+    source = frame([(1, "z"), (2, "b")], "k int, v string")
+    adjusted = io.adjust_after_pin(spark, root, "t", lambda before: op.gap_adjust(before, source, ["k"]))
+    assert bag(adjusted) == {(1, "a"): 1, (2, "b"): 1}
+    assert bag(io.read_pinned(spark, io.table_path(root, "t"), fixed.SNAPSHOT_DIR)) == {(1, "a"): 1}
+    with pytest.raises(Exception, match="broken"):
+        io.adjust_after_pin(spark, root, "t", broken)
+    assert bag(io.read_table(spark, root, "t")) == {(1, "a"): 1, (2, "b"): 1}
+
+
+def test_a_table_of_the_catalog_keeps_its_rows_until_the_load_is_whole(spark, frame, path):
+    try:
+        io.replace_load(frame([(1, "a")], "k int, v string"), path, "kept_load")
+        with pytest.raises(Exception, match="broken"):
+            io.replace_load(broken(spark.table("kept_load")), path, "kept_load")
+        assert bag(spark.table("kept_load")) == {(1, "a"): 1}
+        grown = spark.table("kept_load").selectExpr("k + 1 AS k", "v")  # reads what it replaces
+        assert bag(io.replace_load(grown, path, "kept_load")) == {(2, "a"): 1}
+        assert bag(io.replace_load(frame([(3.5,)], "z double"), path, "kept_load")) == {(3.5,): 1}
+        assert bag(io.read_dataset(spark, path)) == {(3.5,): 1}
+    finally:
+        spark.sql("DROP TABLE IF EXISTS kept_load")
+
+
+def test_a_load_that_loses_types_leaves_the_old_rows(spark, frame, path):
+    io.overwrite_dataset(frame([(1,)], "k long"), path, "json", compression="none")
+    with pytest.raises(TypeError, match="changed the schema"):
+        io.replace_load(frame([(date(2024, 1, 1),)], "d date"), path, fmt="json")
+    assert bag(io.read_dataset(spark, path, "json")) == {(1,): 1}
+
+
+SETTING = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
+def test_backups_leave_settings_alone_and_keep_codes(spark, frame, tmp_path):
+    root, before = str(tmp_path / "layer"), spark.conf.get(SETTING)
+    for i in range(8):
+        frame([("0123", i)], "p string, n int").write.partitionBy("p").parquet(f"{root}/t{i}")
+    for _ in range(3):
+        copies = io.backup_layer(spark, root, "full", date(2024, 1, 31), jobs=4)
+        assert all(bag(df) == {(int(name[1:]), "0123"): 1} for name, df in copies.items())
+        assert spark.conf.get(SETTING) == before
+
+
+@pytest.mark.parametrize("failing", [1, 2])
+def test_a_backup_that_cannot_take_its_place_leaves_the_old_one(spark, frame, tmp_path, monkeypatch, failing):
+    root = str(tmp_path / "layer")
+    io.overwrite_dataset(frame([(1, "a")], "k int, v string"), io.table_path(root, "t"))
+    io.backup_layer(spark, root, "full", date(2024, 1, 31))
+    io.overwrite_dataset(frame([(2, "b")], "k int, v string"), io.table_path(root, "t"))
+    rename, calls = io.Files.rename, []
+
+    def fails_once(self, old, new):
+        calls.append(new)
+        if len(calls) == failing:
+            raise OSError("no such luck")
+        rename(self, old, new)
+
+    monkeypatch.setattr(io.Files, "rename", fails_once)
+    with pytest.raises(OSError, match="luck"):
+        io.backup_layer(spark, root, "full", date(2024, 1, 31))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["layer", "layer-respaldo-full-20240131"]
+    kept = io.read_dataset(spark, f"{root}-respaldo-full-20240131/t/data")
+    assert bag(kept) == {(1, "a"): 1}
+
+
+def test_a_hot_party_is_dealt_out_in_the_joins(spark, settings):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+              "spark.sql.shuffle.partitions": "16"})
+    rows = 30_000
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    left = spark.range(0, rows, 1, 8).select(F.col("id").alias("num_poliza"), F.lit(1).alias("num_version"), key.alias("k"))
+    right = left.select(F.col("k").alias("key")).distinct().withColumn("w", F.lit(1))
+    for spread, expected in ((None, False), (op.Spread(by=["num_poliza", "num_version"], rows_per_task=500), True)):
+        joined = op.left_join_one(left, right, ["k"], ["key"], spread)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("w").alias("n")).collect()]
+        assert sum(sizes) == rows and (max(sizes) < rows / 6) == expected

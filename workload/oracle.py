@@ -193,6 +193,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS day,
                CASE WHEN event_type <> 'error' THEN ts END AS seen
         FROM events""",
+    "catalog_load": "SELECT *, CAST(o_totalprice AS DECIMAL(12,2)) AS priced FROM orders",
     "dataset_copy": "SELECT * FROM supplier",
     "snapshot_before_adjust": f"""
         SELECT o.*, 'data_bk' AS folder FROM orders o WHERE {_WITH_LINES}
@@ -246,6 +247,14 @@ ORACLES: dict[str, str] = {
             SELECT * FROM changes WHERE o_orderdate >= TIMESTAMP '2001-07-01')
         SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM recent)
         UNION ALL SELECT * FROM recent""",
+    "partition_upsert": """
+        SELECT * FROM customer
+        WHERE c_nationkey NOT IN (3, 4) AND NOT (c_nationkey = 8 AND c_custkey % 3 = 0)
+        UNION ALL
+        SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN 5 ELSE c_nationkey END,
+               -c_acctbal, c_mktsegment FROM customer WHERE c_nationkey IN (3, 4)
+        UNION ALL
+        SELECT -c_custkey, c_name, 99, c_acctbal, c_mktsegment FROM customer WHERE c_nationkey = 7""",
     "snapshot_diff": f"""WITH {_CUSTOMERS_LATER}
         SELECT n.*, CASE WHEN o.c_custkey IS NULL THEN 'insert' ELSE 'update' END AS change
         FROM later n LEFT JOIN customer o ON n.c_custkey = o.c_custkey
@@ -266,3 +275,4 @@ ORACLES: dict[str, str] = {
     "gap_rows": f"SELECT o.* FROM orders o WHERE NOT {_WITH_LINES}",
     "gap_adjust": "SELECT * FROM orders",
 }
+ORACLES["pinned_snapshot"] = ORACLES["snapshot_before_adjust"]

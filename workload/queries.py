@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -124,6 +125,9 @@ def filter_nonblank_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Joins
 
+# One party holds a third of the policy rows; its versions are dealt out.
+_VERSIONS = op.Spread(by=["num_poliza", "num_version"])
+
 
 def _usable_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_nonblank_key(spark, sf_dir)
@@ -132,7 +136,7 @@ def _usable_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_left_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     master = op.first_per_key(view(spark, sf_dir, "party_master"), [fixed.MASTER_KEY])
     policies = _usable_policies(spark, sf_dir)
-    return op.left_join_one(policies, master, ["cve_filiacion"], [fixed.MASTER_KEY]).select(
+    return op.left_join_one(policies, master, ["cve_filiacion"], [fixed.MASTER_KEY], _VERSIONS).select(
         *fixed.POLICY_COLUMNS, *fixed.MASTER_COLUMNS
     )
 
@@ -143,7 +147,7 @@ def join_left_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     contacts = op.first_per_key(contacts, ["contact_key"])
     policies = _usable_policies(spark, sf_dir)
-    return op.left_join_one(policies, contacts, ["cve_filiacion"], ["contact_key"]).select(
+    return op.left_join_one(policies, contacts, ["cve_filiacion"], ["contact_key"], _VERSIONS).select(
         *fixed.POLICY_COLUMNS, *fixed.CONTACT_COLUMNS
     )
 
@@ -166,7 +170,7 @@ def reduced_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixed.CONTACT_KEY, "contact_key"
     )
     contacts = op.first_per_key(contacts, ["contact_key"])
-    return op.left_join_one(policies, contacts, ["cve_filiacion"], ["contact_key"])
+    return op.left_join_one(policies, contacts, ["cve_filiacion"], ["contact_key"], _VERSIONS)
 
 
 # Aggregations
@@ -247,6 +251,16 @@ def replace_load_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.replace_load(typed, path)
 
 
+def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the catalog, loaded twice; the second load has a column more."""
+    name = f"catalog_load_{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders")
+    path = io.table_path(scratch_dir(spark), "orders")
+    io.replace_load(orders, path, name)
+    io.replace_load(orders.withColumn("priced", F.col("o_totalprice").cast("decimal(12,2)")), path, name)
+    return spark.table(name)
+
+
 def dataset_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = io.table_path(scratch_dir(spark), "supplier_copy")
     io.copy_dataset(spark, f"{sf_dir}/nation.parquet", copy)
@@ -274,6 +288,19 @@ def snapshot_before_adjust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.union_all({fixed.SNAPSHOT_DIR: before, fixed.DATA_DIR: adjusted}, tag="folder")
 
 
+def pinned_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a pinned version for a snapshot, read after two more replacements."""
+    root, name = scratch_dir(spark), "orders"
+    path = io.table_path(root, name)
+    orders = table(spark, sf_dir, "orders")
+    io.overwrite_dataset(_orders_with_lines(spark, sf_dir), path)
+    io.adjust_after_pin(spark, root, name, lambda before: op.gap_adjust(before, orders, ["o_orderkey"]))
+    for _ in range(2):
+        io.overwrite_dataset(io.read_dataset(spark, path), path)
+    before = io.read_pinned(spark, path, fixed.SNAPSHOT_DIR)
+    return op.union_all({fixed.SNAPSHOT_DIR: before, fixed.DATA_DIR: io.read_dataset(spark, path)}, tag="folder")
+
+
 def product_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts in one directory per brand, copied as they are."""
     path = io.table_path(scratch_dir(spark), "parts_by_brand")
@@ -465,6 +492,20 @@ def delta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in folders by nation; those of some nations change, move to another, come or go."""
+    customers = table(spark, sf_dir, "customer")
+    path = io.table_path(scratch_dir(spark), "customer")
+    io.write_partitions(customers, path, ["c_nationkey"])
+    moved = customers.where("c_nationkey IN (3, 4)").withColumn(
+        "c_nationkey", F.when(F.col("c_custkey") % 2 == 0, 5).otherwise(F.col("c_nationkey"))
+    )
+    came = customers.where("c_nationkey = 7").withColumns({"c_custkey": -F.col("c_custkey"), "c_nationkey": F.lit(99)})
+    gone = customers.where("c_nationkey = 8 AND c_custkey % 3 = 0")
+    delta = moved.withColumn("c_acctbal", -F.col("c_acctbal")).unionByName(came)
+    return io.apply_to_partitions(path, delta, ["c_custkey"], deleted=gone)
+
+
 def _customers_later(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers some days later: some went, some came, some have another balance or none."""
     customers = table(spark, sf_dir, "customer")
@@ -543,8 +584,10 @@ QUERIES: dict[str, Query] = {
         person_type,
         full_name,
         replace_load_types,
+        catalog_load,
         dataset_copy,
         snapshot_before_adjust,
+        pinned_snapshot,
         product_copy,
         dated_backup,
         load_manifest,
@@ -562,6 +605,7 @@ QUERIES: dict[str, Query] = {
         delta_keys_text,
         delta_restrict,
         delta_upsert,
+        partition_upsert,
         snapshot_diff,
         snapshot_replay,
         control_figures,
