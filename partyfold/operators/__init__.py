@@ -12,6 +12,7 @@ from partyfold.operators.joins import (
     unmatched_rows,
 )
 from partyfold.operators.products import keep_products
+from partyfold.operators.ranges import missing_ranges
 from partyfold.operators.snapshots import apply_diff, changed_keys, snapshot_diff
 from partyfold.operators.union import union_all
 
@@ -32,6 +33,7 @@ __all__ = [
     "keep_products",
     "left_join_one",
     "matched_rows",
+    "missing_ranges",
     "row_count",
     "snapshot_diff",
     "union_all",

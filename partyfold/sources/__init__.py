@@ -3,6 +3,8 @@
 from partyfold.sources.files import Files, scratch, scratch_dir
 from partyfold.sources.manifest import (
     append_manifest,
+    committed_batches,
+    compact_manifest,
     decode_messages,
     load_events,
     read_manifest,
@@ -42,6 +44,8 @@ __all__ = [
     "append_manifest",
     "apply_to_partitions",
     "backup_layer",
+    "committed_batches",
+    "compact_manifest",
     "copy_dataset",
     "decode_messages",
     "layer_datasets",

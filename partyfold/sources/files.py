@@ -45,6 +45,9 @@ class Files:
         if not self._of(old).rename(self._path(old), self._path(new)):
             raise OSError(f"could not rename {old} to {new}")
 
+    def make_folder(self, path: str) -> None:
+        self._of(path).mkdirs(self._path(path))
+
     def remove(self, path: str) -> None:
         self._of(path).delete(self._path(path), True)
 
@@ -59,7 +62,7 @@ class Files:
     def replace_text(self, path: str, text: str) -> None:
         """Replace a small file in one step: readers find the old text or the new one."""
         fresh = f"{path}.{uuid.uuid4().hex}"
-        stream = self._of(fresh).create(self._path(fresh), True)
+        stream = self._of(fresh).create(self._path(fresh), True)  # makes the folders above as well
         stream.write(text.encode())
         stream.close()
         options = self._jvm.org.apache.hadoop.fs.Options.Rename

@@ -1,0 +1,123 @@
+"""Many writers of one manifest, and runs of missing numbers."""
+
+import random
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from rows import bag, planned
+
+from partyfold import operators as op
+from partyfold import sources as io
+
+
+def events(frame, names, stamp="20240101"):
+    return io.load_events(frame([(n,) for n in names], "name string"), F.col("name"), F.lit("delta"), F.lit(stamp))
+
+
+def names(spark, path):
+    return sorted(r["table"] for r in io.read_manifest(spark, path).collect())
+
+
+def test_branches_that_append_the_same_events_at_once_leave_each_once(spark, frame, tmp_path):
+    path = str(tmp_path / "manifest")
+    branches = [["a", "b"], ["a", "b"], ["b", "c"], [], ["a"]]
+    with ThreadPoolExecutor(max_workers=5) as pool:
+        list(pool.map(lambda own: io.append_manifest(events(frame, own), path), branches))
+    assert names(spark, path) == ["a", "b", "c"]
+    assert len(io.committed_batches(spark, path)) == 5
+    reader = io.read_manifest(spark, path)
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        tasks = [pool.submit(io.compact_manifest, spark, path)]
+        tasks += [pool.submit(io.append_manifest, events(frame, own), path) for own in (["c", "d"], ["d"])]
+        [t.result() for t in tasks]
+    assert names(spark, path) == ["a", "b", "c", "d"]
+    assert reader.count() == 3  # what it reads is still there
+    for _ in range(2):
+        io.compact_manifest(spark, path)
+        assert names(spark, path) == ["a", "b", "c", "d"]
+    assert len(io.committed_batches(spark, path)) == 1
+    left = [p for p in (tmp_path / "manifest").rglob("__batch=*")]
+    assert len({p.name for p in left}) == 1 and not list((tmp_path / "manifest").glob("_staging*"))
+
+
+def test_two_compactions_at_once_lose_nothing(spark, frame, tmp_path):
+    path = str(tmp_path / "manifest")
+    for own in (["a", "b"], ["c"], ["d"]):
+        io.append_manifest(events(frame, own), path)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        list(pool.map(lambda _: io.compact_manifest(spark, path), range(2)))
+    assert names(spark, path) == ["a", "b", "c", "d"]
+
+
+def test_a_batch_that_fails_is_not_seen(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "manifest")
+    io.append_manifest(events(frame, ["a"]), path)
+    bad = events(frame, ["b"]).withColumn("message", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        io.append_manifest(bad, path)
+    write = io.Files.replace_text
+    monkeypatch.setattr(io.Files, "replace_text", lambda *_: (_ for _ in ()).throw(OSError("no luck")))
+    with pytest.raises(OSError, match="luck"):
+        io.append_manifest(events(frame, ["c"]), path)
+    monkeypatch.setattr(io.Files, "replace_text", write)
+    assert names(spark, path) == ["a"]
+    assert len(list((tmp_path / "manifest").rglob("__batch=*"))) == 1
+
+
+def test_an_empty_manifest(spark, frame, tmp_path):
+    path = str(tmp_path / "manifest")
+    io.append_manifest(events(frame, []), path)
+    io.append_manifest(events(frame, []), path)
+    io.compact_manifest(spark, path)
+    assert names(spark, path) == []
+    io.append_manifest(events(frame, ["a"], None), path)
+    io.append_manifest(events(frame, ["a"], None), path)
+    assert names(spark, path) == ["a"]
+
+
+# Runs of missing numbers
+
+LONGEST = 2**63 - 1
+NUMBERS = st.one_of(st.none(), st.integers(-5, 9), st.sampled_from([300, -LONGEST - 1, LONGEST, 2**40]))
+few = settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow]
+)
+
+
+def plain(rows, first):
+    found = set()
+    for key in {k for k, _ in rows}:
+        own = sorted({n for k, n in rows if k == key and n is not None})
+        if own and first is not None and first < own[0]:
+            found.add((key, first, own[0] - 1, own[0] - first))
+        found |= {(key, a + 1, b - 1, b - a - 1) for a, b in zip(own, own[1:]) if b - a > 1}
+    return found
+
+
+@pytest.mark.parametrize("bits", [3, 16, 40])
+@few
+@given(rows=st.lists(st.tuples(st.sampled_from(["p", "q", None]), NUMBERS), max_size=15), first=st.sampled_from([None, 0, -3]))
+def test_runs_are_those_between_neighbours(frame, bits, rows, first):
+    found = op.missing_ranges(frame(rows, "k string, n bigint"), ["k"], "n", first, bits).collect()
+    assert len(found) == len({tuple(r) for r in found})
+    assert {(k, a, b, int(m)) for k, a, b, m in found} == plain(rows, first)
+
+
+def test_a_hot_key_with_many_numbers(spark):
+    rng = random.Random(1)
+    gone = sorted(rng.sample(range(1, 199_999), 50))
+    df = spark.range(200_000).where(~F.col("id").isin(gone)).select(F.lit("hot").alias("k"), "id")
+    found = op.missing_ranges(df.unionAll(df), ["k"], "id", bits=10)
+    assert sum(int(r["missing"]) for r in found.collect()) == 50
+
+
+def test_runs_read_and_shuffle_the_rows_once(spark, frame, settings):
+    settings({"spark.sql.adaptive.enabled": "false"})
+    plan = planned(op.missing_ranges(frame([("p", 1)], "k string, n bigint"), ["k"], "n", first=0))
+    assert "Window" not in plan and plan.count("ReusedExchange") >= 3
+    assert plan.count(" Exchange") <= 4 + plan.count("ReusedExchange")
+    with pytest.raises(ValueError, match="not a whole number"):
+        op.missing_ranges(frame([("p", 1.0)], "k string, n double"), ["k"], "n")

@@ -130,6 +130,16 @@ _RIGHT_FIGURES = _FIGURES.format(
     name="b", date="l_shipdate", status="l_linestatus", amount="l_extendedprice", table="lineitem"
 )
 
+def _runs(source: str, key: str, number: str, first: int, condition: str) -> str:
+    return f"""WITH there AS (
+            SELECT DISTINCT {key}, CAST({number} AS BIGINT) AS n FROM {source} WHERE {condition}
+        ), neighbours AS (
+            SELECT {key}, n, coalesce(lag(n) OVER (PARTITION BY {key} ORDER BY n), {first} - 1) AS before FROM there
+        )
+        SELECT {key}, before + 1 AS first_missing, n - 1 AS last_missing, n - before - 1 AS missing
+        FROM neighbours WHERE n > before + 1"""
+
+
 ORACLES: dict[str, str] = {
     "insured_flat": _insured(),
     "insured_job": _insured(),
@@ -211,6 +221,12 @@ ORACLES: dict[str, str] = {
                base64(encode('{"table":"' || event_type || '","tipo_carga":"full","date":"'
                    || strftime(ts, '%Y%m%d') || '"}')) AS message
         FROM events""",
+    "manifest_branches": """
+        SELECT DISTINCT event_type AS "table", 'delta' AS tipo_carga,
+               strftime(ts, '%Y%m%d') AS "date",
+               base64(encode('{"table":"' || event_type || '","tipo_carga":"delta","date":"'
+                   || strftime(ts, '%Y%m%d') || '"}')) AS message
+        FROM events""",
     "load_full": f"WITH {_CHANGES} SELECT * FROM changes",
     "load_delta": f"""WITH {_CHANGES}, delta AS (
             SELECT * FROM changes WHERE o_orderkey IN (
@@ -274,5 +290,8 @@ ORACLES: dict[str, str] = {
           ON a.year IS NOT DISTINCT FROM b.year AND a.status IS NOT DISTINCT FROM b.status""",
     "gap_rows": f"SELECT o.* FROM orders o WHERE NOT {_WITH_LINES}",
     "gap_adjust": "SELECT * FROM orders",
+    "version_gaps": _runs(f"({later_sql('policy_object')})", "num_poliza", "num_version", 1,
+                          "cve_filiacion IS NOT NULL AND trim(cve_filiacion) <> ''"),
+    "order_gaps": _runs("orders o", "o_orderstatus", "o_orderkey", -5, _WITH_LINES),
 }
 ORACLES["pinned_snapshot"] = ORACLES["snapshot_before_adjust"]

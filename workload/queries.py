@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -338,6 +339,22 @@ def load_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_manifest(spark, path)
 
 
+def manifest_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events appended by four branches at once, two of them the same ones, and merged."""
+    events = io.load_events(
+        table(spark, sf_dir, "events"),
+        table=F.col("event_type"),
+        mode=F.lit(fixed.DELTA),
+        stamp=fn.date_stamp(F.col("ts")),
+    )
+    path = io.table_path(scratch_dir(spark), "load_manifest")
+    branches = [events, events, events.where("date < '20240110'"), events.where("date >= '20240120'")]
+    with ThreadPoolExecutor(max_workers=len(branches)) as pool:
+        list(pool.map(lambda branch: io.append_manifest(branch, path), branches))
+    io.compact_manifest(spark, path)
+    return io.read_manifest(spark, path)
+
+
 def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders with a new status; the urgent ones come as new orders."""
     orders = table(spark, sf_dir, "orders")
@@ -553,6 +570,19 @@ def gap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def version_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of versions without a usable policy row, from version 1 on; negative policies are kept too."""
+    usable = later(spark, sf_dir, "policy_object").where(fn.usable_key(F.col("cve_filiacion")))
+    gaps = op.missing_ranges(usable, ["num_poliza"], "num_version", first=1)
+    return gaps.withColumn("missing", F.col("missing").cast("bigint"))
+
+
+def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of order keys without lines, by status: a few keys with very many numbers."""
+    gaps = op.missing_ranges(_orders_with_lines(spark, sf_dir), ["o_orderstatus"], "o_orderkey", first=-5)
+    return gaps.withColumn("missing", F.col("missing").cast("bigint"))
+
+
 def gap_adjust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.gap_adjust(
         _orders_with_lines(spark, sf_dir), table(spark, sf_dir, "orders"), ["o_orderkey"]
@@ -591,6 +621,7 @@ QUERIES: dict[str, Query] = {
         product_copy,
         dated_backup,
         load_manifest,
+        manifest_branches,
         load_full,
         load_delta,
         product_partition,
@@ -610,6 +641,8 @@ QUERIES: dict[str, Query] = {
         snapshot_replay,
         control_figures,
         gap_rows,
+        version_gaps,
+        order_gaps,
         gap_adjust,
     )
 }
