@@ -2,7 +2,8 @@
 
 A batch of texts is one byte array with offsets. Words are found and hashed for all texts
 of a batch at once; nothing runs once per word in Python. Hashes are 64-bit: two different
-words or shingles share one with a probability of about 2**-64 for each pair.
+words or shingles share one with a probability of about 2**-64 for each pair. They are not keyed: whoever
+sets out to find two texts with one hash can.
 """
 
 from __future__ import annotations
@@ -61,17 +62,38 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class SpanHash:
-    """Hashes of any spans of one array of symbols, from one running sum."""
+    """Hashes of any spans of one array of symbols, from one running sum.
+
+    A polynomial modulo 2**64 tells long spans badly apart (words of two letters that follow the parity of
+    the bits of the places have one hash, whatever the base), so it only ever covers a block of
+    64 symbols. The blocks of a longer span are mixed, each with its place, and added up.
+    """
+
+    BLOCK = 64
 
     def __init__(self, values: np.ndarray):
         forward, self._back = powers(len(values) + 1)
         self._sums = np.zeros(len(values) + 1, U64)
         np.cumsum(values * forward[: len(values)], out=self._sums[1:])
 
-    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _block(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         raw = (self._sums[ends] - self._sums[starts]) * self._back[starts]
         return mix(raw + (ends - starts).astype(U64) * U64(_BASE))
 
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        found = self._block(starts, ends)
+        long = np.flatnonzero(ends - starts > self.BLOCK)
+        if len(long):
+            first, last = starts[long], ends[long]
+            blocks = -(-(last - first) // self.BLOCK)
+            begins = np.cumsum(blocks) - blocks
+            place = np.arange(int(blocks.sum())) - np.repeat(begins, blocks)
+            start = np.repeat(first, blocks) + place * self.BLOCK
+            own = self._block(start, np.minimum(start + self.BLOCK, np.repeat(last, blocks)))
+            total = np.add.reduceat(mix(own ^ mix(place.astype(U64) + U64(1))), begins)
+            found[long] = mix(total + (last - first).astype(U64) * U64(_BASE))
+        return found
+
 
 def lookup(separators: str, lower: bool = True, inverse: bool = False) -> np.ndarray:
     """A table from byte to symbol: 0 for what separates words, else the (lowered) byte.
