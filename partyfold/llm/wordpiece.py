@@ -37,6 +37,7 @@ WHITE_SPACE = b" \t\n\v\f\r"
 PUNCTUATION = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 _NONE = -1
+LONG = 256  # bytes
 
 
 class Automaton:
@@ -79,6 +80,7 @@ class Automaton:
         self.keys = np.array([k for k, _ in keys] or [-1], np.int64)
         self.to = np.array([t for _, t in keys] or [_NONE], np.int64)
         self.link, self.popped = np.array(link), np.array(popped)
+        self.edges, self.links, self.pops = dict(keys), link, popped
 
     def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
         key = nodes << 8 | letters
@@ -86,14 +88,48 @@ class Automaton:
         return np.where(self.keys[at] == key, self.to[at], _NONE)
 
     def count(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of each word, and whether it is unknown; an unknown word counts one."""
-        order = np.argsort(starts - ends, kind="stable")
-        first, size = starts[order], (ends - starts)[order]
+        """Pieces of each word, and whether it is unknown; an unknown word counts one.
+
+        Words up to `LONG` bytes are read side by side, the few longer ones one after another.
+        """
+        counts, unknown = np.empty(len(starts), np.int64), np.empty(len(starts), bool)
+        length = ends - starts
+        for i in np.flatnonzero(length > LONG).tolist():
+            counts[i], unknown[i] = self._walk(data[starts[i] : ends[i]].tobytes())
+        short = np.flatnonzero(length <= LONG)
+        counts[short], unknown[short] = self._count_short(data, starts[short], length[short])
+        return counts, unknown
+
+    def _walk(self, word: bytes) -> tuple[int, bool]:
+        """The same for one word."""
+        node, count, edges, link, popped = self.FIRST, 0, self.edges, self.links, self.pops
+        for letter in word:
+            to = edges.get(node << 8 | letter)
+            while to is None:
+                back = link[node]
+                if back == _NONE:
+                    return 1, True
+                count += popped[node]
+                node = back
+                to = edges.get(node << 8 | letter)
+            node = to
+        while node != self.NEXT:
+            back = link[node]
+            if back == _NONE:
+                return 1, True
+            count += popped[node]
+            node = back
+        return count, False
+
+    def _count_short(self, data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(-length, kind="stable")
+        first, size = starts[order], length[order]
+        falling = -size
         node = np.full(len(order), self.FIRST)
         pieces_in = np.zeros(len(order), np.int64)
         lost = np.zeros(len(order), bool)
         for k in range(int(size[0]) if len(size) else 0):
-            reading = np.flatnonzero(~lost[: np.searchsorted(-size, -k, side="left")])
+            reading = np.flatnonzero(~lost[: np.searchsorted(falling, -k, side="left")])
             if not len(reading):
                 break
             self._read(reading, data[first[reading] + k].astype(np.int64), node, pieces_in, lost)
