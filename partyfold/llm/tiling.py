@@ -268,8 +268,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """`doc_id, n_items, item_id, coverage, contaminated` for every row of `docs`.
 
     `item_id` is the item with the highest coverage, the smallest of equal ones. Rows with
-    one doc_id count as one document: what is found in any of them holds for all.
+    one doc_id count as one document: what is found in any of them holds for all. Rows without a
+    doc_id are judged each by its own text.
     """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    unnamed = rows.where("doc_id IS NULL").withColumn("doc_id", F.xxhash64("text"))
+    found = _contamination(unnamed, benchmark, **options).withColumn("doc_id", F.lit(None).cast("bigint"))
+    return _contamination(rows.where("doc_id IS NOT NULL"), benchmark, **options).unionAll(found)
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     per_doc = (
         benchmark_hits(docs, benchmark, **options)
         .groupBy(F.col("doc_id").alias("hit"))
@@ -280,7 +288,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
         )
     )
     ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    return ids.join(per_doc, F.col("doc_id").eqNullSafe(F.col("hit")), "left").select(
+    return ids.join(per_doc, F.col("doc_id") == F.col("hit"), "left").select(
         "doc_id",
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         "item_id",
