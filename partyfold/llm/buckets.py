@@ -6,34 +6,18 @@ import numpy as np
 
 from partyfold.llm.words import U64
 
-_SMALL = 1 << 16
-
 
 class Buckets:
     """Hash buckets and the form in which hashes of a bucket are stored."""
 
     def __init__(self, count: int):
         self.count = count
-        self.width = 6 if count <= _SMALL else 8
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         return (((hashes >> U64(32)) * U64(self.count)) >> U64(32)).astype(np.int64)
 
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
-        """What tells n-grams apart: bucket and six bytes, or the whole hash."""
-        if self.width == 8:
-            return hashes
-        return (self.of(hashes).astype(U64) << U64(48)) | (hashes & U64((1 << 48) - 1))
-
-    def place(self, keys: np.ndarray) -> np.ndarray:
-        """The buckets of keys; it never falls from one key to the next larger one."""
-        return (keys >> U64(48)).astype(np.int64) if self.width == 6 else self.of(keys)
-
-    def pack(self, keys: np.ndarray) -> bytes:
-        return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, : self.width].tobytes()
+    def pack(self, hashes: np.ndarray) -> bytes:
+        return hashes.astype("<u8").tobytes()
 
-    def unpack(self, raw: bytes, bucket: int) -> np.ndarray:
-        held = np.zeros((len(raw) // self.width, 8), np.uint8)
-        held[:, : self.width] = np.frombuffer(raw, np.uint8).reshape(-1, self.width)
-        keys = held.view(U64).ravel()
-        return keys if self.width == 8 else keys | (U64(bucket) << U64(48))
+    def unpack(self, raw: bytes) -> np.ndarray:
+        return np.frombuffer(raw, "<u8").astype(U64)

@@ -258,7 +258,7 @@ def _signer(size: int, num: int, den: int, buckets: Buckets, common: np.ndarray)
                 place = buckets.of(values)
                 order = np.lexsort((label, docs, place))
                 docs, label, need, place = docs[order], label[order], need[order], place[order]
-                values = buckets.keys(values[order])
+                values = values[order]
                 rows = []
                 for own in np.split(np.arange(len(docs)), np.flatnonzero(np.diff(place)) + 1):
                     if len(own):
@@ -370,7 +370,7 @@ def _tier(buckets: Buckets, small: int, at_once: int = 500_000):
                     yield from counted(own)
                     now, own = bucket, _Bucket(small)
                 head = np.frombuffer(raw_entries, _ENTRY)
-                keys.append(buckets.unpack(raw, bucket))
+                keys.append(buckets.unpack(raw))
                 entries.append(np.repeat(head, head["count"]))
                 held += len(keys[-1])
         if keys:
