@@ -332,7 +332,8 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
 def fit(
     docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_chars: int = 20_000, folds: int = 5
 ) -> Model:
-    """A model from labelled documents that are not held out."""
+    """A model from labelled documents that are not held out: at most `per_class` of each label, of
+    texts with at most `max_chars` characters; of rows that share a sampled doc_id one counts."""
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("toxic in (0, 1) and doc_id is not null")
@@ -342,10 +343,14 @@ def fit(
     )
     by_class = [known.where(F.col("toxic") == c).orderBy("place", "doc_id").limit(per_class) for c in (0, 1)]
     chosen = by_class[0].unionAll(by_class[1])  # at most 2 * per_class rows of three numbers
+    one = F.struct(F.xxhash64("text").alias("order"), "text")
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).where(F.length(F.coalesce("text", F.lit(""))) <= max_chars)
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("place", "doc_id", "toxic", "text")
+    # One text for each sampled id, so that the fitting task gets no more than was sampled.
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("place", "doc_id", "toxic").agg(
+        F.min(one)["text"].alias("text")
+    )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = {}
@@ -356,7 +361,7 @@ def fit(
         model = fit_sample([k[2] for k, _ in ordered], [v for _, v in ordered])
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
-    row = sample.coalesce(1).mapInArrow(train, "model binary").first()
+    row = sample.repartition(1).mapInArrow(train, "model binary").first()
     return pickle.loads(row["model"]) if row else Model()
 
 
