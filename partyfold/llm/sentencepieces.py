@@ -78,7 +78,7 @@ class Pieces:
         flat = np.frombuffer(b"".join(self.bytes[i] for i in ordinary), np.uint8)
         ends = np.cumsum([len(self.bytes[i]) for i in ordinary])
         starts = ends - [len(self.bytes[i]) for i in ordinary]
-        hashes = SpanHash(_byte_values()[flat]).of(starts, ends)
+        hashes = SpanHash(_byte_values(), flat).of(starts, ends)
         order = np.argsort(hashes)
         self.keys = hashes[order]
         self.ids = np.array(ordinary, np.int32)[order]
@@ -147,7 +147,7 @@ def segment(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, p: Pieces):
     place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     at = starts[word] + place
     room = count[word] - place
-    spans = SpanHash(_byte_values()[data])
+    spans = SpanHash(_byte_values(), data)
     width = _char_bytes(data[at])
     single = np.zeros(len(at), bool)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
@@ -228,7 +228,7 @@ def encode_portion(texts: Texts, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int32), np.zeros(texts.count + 1, np.int64)
     starts = _word_starts(data, offsets)
     ends = np.append(starts[1:], len(data))
-    hashes = SpanHash(_byte_values()[data]).of(starts, ends)
+    hashes = SpanHash(_byte_values(), data).of(starts, ends)
     distinct, first, word = np.unique(hashes, return_index=True, return_inverse=True)
     new = p.seen.missing(distinct)
     if new.any():

@@ -47,7 +47,7 @@ _KINDS = ("word", "first3", "first4", "first5", "last3", "last4")
 
 def feature_hashes(found: Words) -> np.ndarray:
     """One row per feature kind, one column per word; 64-bit hashes."""
-    spans = SpanHash(_words._byte_values()[found.symbols])
+    spans = SpanHash(_words._byte_values(), found.symbols)
     starts, ends = found.starts, found.ends
     rows = [spans.of(starts, ends)]
     rows += [spans.of(starts, np.minimum(starts + k, ends)) for k in (3, 4, 5)]

@@ -199,7 +199,7 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for texts in pieces(batch["text"]):
                 starts, ends, of_text = split(texts)
-                hashes = SpanHash(_byte_values()[texts.data]).of(starts, ends)
+                hashes = SpanHash(_byte_values(), texts.data).of(starts, ends)
                 _, first, word = np.unique(hashes, return_index=True, return_inverse=True)
                 tokens, unknown = automaton.count(texts.data, starts[first], ends[first])
 

@@ -44,23 +44,20 @@ def _byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U64) * U64(_BASE))
 
 
+_PERIOD = 1 << 18
+
+
 @cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64, `2**bits` of each."""
-    size = 1 << bits
-    inverse = pow(_POWER, -1, 1 << 64)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64."""
     both = []
-    for base in (_POWER, inverse):
-        p = np.full(size, base, U64)
+    for base in (_POWER, pow(_POWER, -1, 1 << 64)):
+        p = np.full(_PERIOD, base, U64)
         p[0] = 1
         both.append(np.cumprod(p, dtype=U64))
     return both[0], both[1]
 
 
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(max(20, int(size).bit_length()))
-
-
 class SpanHash:
     """Hashes of any spans of one array of symbols, from one running sum.
 
@@ -71,18 +68,35 @@ class SpanHash:
 
     BLOCK = 64
 
-    def __init__(self, values: np.ndarray):
-        forward, self._back = powers(len(values) + 1)
-        self._sums = np.zeros(len(values) + 1, U64)
-        np.cumsum(values * forward[: len(values)], out=self._sums[1:])
+    def __init__(self, values: np.ndarray, symbols: np.ndarray | None = None):
+        """`values` of the symbols one by one, or a table of values by symbol.
+
+        The powers start anew after every `_PERIOD` symbols, so that their table is small.
+        """
+        self._forward, self._back = _powers()
+        size = len(values) if symbols is None else len(symbols)
+        self._sums = np.zeros(size + 1, U64)
+        for start in range(0, size, _PERIOD):
+            end = min(start + _PERIOD, size)
+            own = values[start:end] if symbols is None else values[symbols[start:end]]
+            out = self._sums[start + 1 : end + 1]
+            np.cumsum(own * self._forward[: end - start], out=out)
+            out += self._sums[start]
 
     def _block(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        raw = (self._sums[ends] - self._sums[starts]) * self._back[starts]
+        place = starts & (_PERIOD - 1)
+        raw = (self._sums[ends] - self._sums[starts]) * self._back[place]
+        over = np.flatnonzero(place + (ends - starts) > _PERIOD)
+        if len(over):  # the powers start anew inside these
+            first, last = starts[over], ends[over]
+            cut = (first | (_PERIOD - 1)) + 1
+            before = (self._sums[cut] - self._sums[first]) * self._back[place[over]]
+            raw[over] = before + (self._sums[last] - self._sums[cut]) * self._forward[cut - first]
         return mix(raw + (ends - starts).astype(U64) * U64(_BASE))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        found = self._block(starts, ends)
         long = np.flatnonzero(ends - starts > self.BLOCK)
+        found = self._block(starts, np.minimum(ends, starts + self.BLOCK) if len(long) else ends)
         if len(long):
             first, last = starts[long], ends[long]
             blocks = -(-(last - first) // self.BLOCK)
@@ -161,7 +175,7 @@ class Words:
     symbols: np.ndarray
 
     def hashes(self) -> np.ndarray:
-        return SpanHash(_byte_values()[self.symbols]).of(self.starts, self.ends)
+        return SpanHash(_byte_values(), self.symbols).of(self.starts, self.ends)
 
 
 def words(texts: Texts, table: np.ndarray) -> Words:
