@@ -3,6 +3,7 @@
 from partyfold.operators.control import FigureSource, control_figures
 from partyfold.operators.dedup import distinct_rows, first_per_key, row_count
 from partyfold.operators.delta import delta_keys, delta_restrict, delta_upsert
+from partyfold.operators.differences import differing_keys
 from partyfold.operators.gaps import gap_adjust, gap_rows
 from partyfold.operators.joins import (
     Spread,
@@ -26,6 +27,7 @@ __all__ = [
     "delta_keys",
     "delta_restrict",
     "delta_upsert",
+    "differing_keys",
     "distinct_rows",
     "first_per_key",
     "gap_adjust",

@@ -1,5 +1,7 @@
 """Datasets on shared storage: scans, replacement, copies, snapshots, backups, manifest."""
 
+from partyfold.sources.bucketed import bucket_spec, co_located, write_bucketed
+from partyfold.sources.checked_load import CheckedLoad, checked_load, read_accepted, read_rejected
 from partyfold.sources.files import Files, scratch, scratch_dir
 from partyfold.sources.manifest import (
     append_manifest,
@@ -38,12 +40,16 @@ from partyfold.sources.tables import (
 )
 
 __all__ = [
+    "CheckedLoad",
     "Files",
     "adjust_after_pin",
     "adjust_after_snapshot",
     "append_manifest",
     "apply_to_partitions",
     "backup_layer",
+    "bucket_spec",
+    "checked_load",
+    "co_located",
     "committed_batches",
     "compact_manifest",
     "copy_dataset",
@@ -54,11 +60,13 @@ __all__ = [
     "partition_columns",
     "pin_version",
     "pinned_versions",
+    "read_accepted",
     "read_by_product",
     "read_dataset",
     "read_manifest",
     "read_pinned",
     "read_product_list",
+    "read_rejected",
     "read_table",
     "read_whole",
     "replace_load",
@@ -70,6 +78,7 @@ __all__ = [
     "table_path",
     "touched_folders",
     "unpin_version",
+    "write_bucketed",
     "write_by_product",
     "write_partitions",
 ]

@@ -1,0 +1,149 @@
+"""Keys behind a difference, and control figures kept by day."""
+
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+from importlib import import_module
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from rows import bag, planned
+
+from partyfold import operators as op
+from partyfold import plans
+
+SCHEMA = "k string, v string, n int"
+
+
+def some(rng, n, keys=40):
+    return [(rng.choice([None, "", *map(str, range(keys))]), rng.choice(["x", "y", None]), rng.choice([1, 2, None])) for _ in range(n)]
+
+
+def plain(left, right):
+    sides = [{}, {}]
+    for side, rows in zip(sides, (left, right)):
+        for row in rows:
+            side.setdefault(row[0], Counter())[row[1:]] += 1
+    keys = {k for k in sides[0].keys() | sides[1].keys() if sides[0].get(k) != sides[1].get(k)}
+    return {(k, *[sum(s.get(k, Counter()).values()) for s in sides]): 1 for k in keys}
+
+
+@pytest.mark.parametrize("shape", [{}, {"levels": 0}, {"levels": 3, "bits": 2}, {"levels": 2, "bits": 4, "most": 3}, {"levels": 1, "bits": 1}])
+@pytest.mark.parametrize("seed", range(3))
+def test_exactly_the_differing_keys_come_out(frame, shape, seed):
+    rng = random.Random(seed)
+    left = some(rng, 200)
+    right = [r for r in left if rng.random() > 0.02] + some(rng, seed * 3)
+    rng.shuffle(right)
+    found = op.differing_keys(frame(left, SCHEMA), frame(right, SCHEMA).repartition(3), ["k"], **shape)
+    assert bag(found) == plain(left, right)
+
+
+def test_equal_and_empty_tables(frame):
+    rows = some(random.Random(1), 50)
+    assert bag(op.differing_keys(frame(rows, SCHEMA), frame(rows[::-1], SCHEMA), ["k"])) == {}
+    assert bag(op.differing_keys(frame([], SCHEMA), frame([], SCHEMA), ["k"])) == {}
+    assert bag(op.differing_keys(frame(rows, SCHEMA), frame([], SCHEMA), ["k"])) == plain(rows, [])
+    with pytest.raises(ValueError, match="differ in columns"):
+        op.differing_keys(frame(rows, SCHEMA), frame([(1,)], "k int"), ["k"])
+    with pytest.raises(ValueError, match="62 bits"):
+        op.differing_keys(frame(rows, SCHEMA), frame(rows, SCHEMA), ["k"], levels=9, bits=9)
+
+
+def test_only_rows_of_differing_ranges_are_shuffled_by_key(spark):
+    left = spark.range(100_000).select("id", (F.col("id") * 3).alias("v"))
+    right = left.withColumn("v", F.when(F.col("id").isin(5, 77_777), 0).otherwise(F.col("v")))
+    differences = import_module("partyfold.operators.differences")
+    rows = differences.sided(left, right, ["id"]).withColumn("__hash", F.xxhash64("id", F.lit(False)))
+    ranges, level = differences.differing_ranges(rows, 2, 8, 4096)
+    assert level == 2 and len(ranges) == 2
+    kept = rows.where(differences._in_ranges(ranges, 16)).count()
+    assert kept <= 20  # of 200,000
+    found = op.differing_keys(left, right, ["id"], bits=8)
+    plan = planned(found)
+    assert bag(found) == {(5, 1, 1): 1, (77_777, 1, 1): 1}
+    below = plan[plan.index("Exchange") :]
+    assert plan.count("Exchange") == 1 and "Filter" in below and "partial_sum" in below
+
+
+# Figures kept by day
+
+KIND = T.DecimalType(20, 4)
+EVENTS = "at timestamp_ntz, grp string, amount decimal(12,4)"
+FIRST = date(2024, 1, 29)
+
+
+def event_rows(rng, n):
+    day = lambda: rng.choice([None, *[datetime.combine(FIRST + timedelta(days=d), datetime.min.time()) + timedelta(hours=rng.randrange(24)) for d in range(6)]])
+    return [(day(), rng.choice(["a", "b", None]), rng.choice([None, Decimal("1.5"), Decimal("-2.25")])) for _ in range(n)]
+
+
+def source(df):
+    return op.FigureSource(df, "at", F.col("amount"), {"grp": F.col("grp")})
+
+
+def ranges():
+    return [(FIRST + timedelta(days=a), FIRST + timedelta(days=b)) for a in range(-1, 7) for b in range(a, 7)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_every_range_is_answered_as_by_control_figures(spark, frame, tmp_path, seed):
+    rng = random.Random(seed)
+    left, right = event_rows(rng, 60), event_rows(rng, 60)
+    paths = [str(tmp_path / side) for side in ("left", "right")]
+    for path, rows in zip(paths, (left, right)):
+        plans.store_figures(source(frame(rows, EVENTS)), path, KIND)
+    tried = rng.sample(ranges(), 5)
+
+    def check():
+        for first, last in tried:
+            kept = plans.kept_figures(spark, *paths, first, last)
+            anew = op.control_figures(source(frame(left, EVENTS)), source(frame(right, EVENTS)), first, last, KIND)
+            assert kept.columns == anew.columns
+            assert bag(kept) == bag(anew)
+
+    check()
+    days = [FIRST, FIRST + timedelta(days=4)]
+    left = [r for r in left if r[0] is None or r[0].date() != days[0]]  # one day goes
+    left += [(datetime(2024, 2, 2, 12), "new", Decimal("7"))] * 3  # the other gets rows
+    plans.refresh_figures(source(frame(left, EVENTS)), paths[0], days)
+    check()
+
+
+def test_only_months_of_changed_days_are_written(spark, frame, tmp_path):
+    rows = [(datetime(2024, m, 5), "a", Decimal("1")) for m in (1, 2, 3)]
+    path = str(tmp_path / "figures")
+    plans.store_figures(source(frame(rows, EVENTS)), path, KIND)
+    before = {str(f): f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+    plans.refresh_figures(source(frame([*rows, rows[1]], EVENTS)), path, [date(2024, 2, 5)])
+    after = {str(f): f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+    same = {f for f in before if after.get(f) == before[f]}
+    assert {f for f in before if "2024-02" not in f} <= same
+    assert {f.split("month=")[1][:7] for f in set(after) - set(before)} == {"2024-02"}
+    [row] = plans.kept_figures(spark, path, path, date(2024, 2, 5), date(2024, 2, 5)).collect()
+    assert row["left_rows"] == 2 and row["left_amount"] == 2
+
+
+def test_a_refresh_reads_the_changed_days_only_and_ranges_read_their_months(spark, frame, tmp_path):
+    frame([(datetime(2024, 1, 5), "a", Decimal("1"))], EVENTS).write.parquet(str(tmp_path / "t"))
+    table = source(spark.read.parquet(str(tmp_path / "t")))
+    path = str(tmp_path / "figures")
+    plans.store_figures(table, path, KIND)
+    seen = planned(plans.kept_figures(spark, path, path, date(2024, 1, 1), date(2024, 1, 9)))
+    assert "PartitionFilters: [isnotnull(month" in seen
+    with pytest.raises(ValueError, match="of the store's own"):
+        plans.daily_figures(op.FigureSource(table.df, "at", F.col("amount"), {"day": F.col("grp")}), KIND)
+    assert plans.refresh_figures(table, path, []).count() == 1
+
+
+def test_amounts_and_sums_that_do_not_fit_are_errors(spark, frame, tmp_path):
+    narrow = T.DecimalType(4, 1)
+    path = str(tmp_path / "figures")
+    with pytest.raises(Exception, match="does not fit"):
+        plans.store_figures(source(frame([(datetime(2024, 1, 5), "a", Decimal("5000"))], EVENTS)), path, narrow)
+    rows = [(datetime(2024, 1, d), "a", Decimal("600")) for d in (1, 2)]
+    plans.store_figures(source(frame(rows, EVENTS)), path, narrow)
+    with pytest.raises(Exception, match="does not fit"):
+        plans.kept_figures(spark, path, path, date(2024, 1, 1), date(2024, 1, 2)).collect()

@@ -130,6 +130,21 @@ _RIGHT_FIGURES = _FIGURES.format(
     name="b", date="l_shipdate", status="l_linestatus", amount="l_extendedprice", table="lineitem"
 )
 
+_BESIDE = """
+        SELECT coalesce(a.year, b.year) AS year, coalesce(a.status, b.status) AS status,
+               coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows,
+               coalesce(a.n, 0) - coalesce(b.n, 0) AS rows_difference,
+               CAST(coalesce(a.s, 0) AS DOUBLE) AS left_amount,
+               CAST(coalesce(b.s, 0) AS DOUBLE) AS right_amount,
+               CAST(coalesce(a.s, 0) - coalesce(b.s, 0) AS DOUBLE) AS amount_difference
+        FROM a FULL OUTER JOIN b
+          ON a.year IS NOT DISTINCT FROM b.year AND a.status IS NOT DISTINCT FROM b.status"""
+_CHANGED_FIGURES = _FIGURES.format(
+    name="a", date="o_orderdate", amount="o_totalprice", table="orders",
+    status="CASE WHEN CAST(o_orderdate AS DATE) IN (DATE '1997-03-01', DATE '1998-07-04') THEN 'X' ELSE o_orderstatus END",
+)
+
+
 def _runs(source: str, key: str, number: str, first: int, condition: str) -> str:
     return f"""WITH there AS (
             SELECT DISTINCT {key}, CAST({number} AS BIGINT) AS n FROM {source} WHERE {condition}
@@ -203,6 +218,26 @@ ORACLES: dict[str, str] = {
                CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS day,
                CASE WHEN event_type <> 'error' THEN ts END AS seen
         FROM events""",
+    "accepted_rows": """
+        SELECT event_id, CAST(ts AS DATE) AS day, CAST(user_id AS DOUBLE) AS user_id FROM events
+        WHERE event_id % 50 <> 0 AND event_id % 7 <> 0 AND event_id % 9 <> 0""",
+    "rejected_rows": """
+        WITH marked AS (
+            SELECT *, event_id % 50 = 0 OR event_id % 7 = 0 OR event_id % 9 = 0 AS refused FROM events)
+        SELECT CASE WHEN event_id % 50 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_id,
+               CASE WHEN event_id % 7 = 0 THEN 'soon' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS day,
+               CAST(user_id AS VARCHAR) || CASE WHEN event_id % 9 = 0 THEN 'x' ELSE '' END AS user_id, event_type,
+               concat_ws('; ', CASE WHEN event_id % 50 = 0 THEN 'event_id: missing' END,
+                         CASE WHEN event_id % 7 = 0 THEN 'day: does not fit date' END,
+                         CASE WHEN event_id % 9 = 0 THEN 'user_id: does not fit decimal(12,2)' END) AS problems,
+               (SELECT count(*) FROM marked WHERE NOT refused) AS accepted_rows,
+               (SELECT count(*) FROM marked WHERE refused) AS rejected_rows
+        FROM marked WHERE refused""",
+    "bucketed_versions": f"""{_WITH}
+        SELECT num_poliza, num_version, cve_filiacion FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY num_poliza, num_version ORDER BY cve_filiacion NULLS FIRST) AS rank
+            FROM policy_object) WHERE rank = 1""",
     "catalog_load": "SELECT *, CAST(o_totalprice AS DECIMAL(12,2)) AS priced FROM orders",
     "dataset_copy": "SELECT * FROM supplier",
     "snapshot_before_adjust": f"""
@@ -279,15 +314,18 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey, NULL, NULL, NULL, NULL, 'delete' FROM customer o
         WHERE NOT EXISTS (SELECT 1 FROM later n WHERE n.c_custkey = o.c_custkey)""",
     "snapshot_replay": f"SELECT * FROM ({later_sql('policy_object')})",
-    "control_figures": f"""WITH {_LEFT_FIGURES}, {_RIGHT_FIGURES}
-        SELECT coalesce(a.year, b.year) AS year, coalesce(a.status, b.status) AS status,
-               coalesce(a.n, 0) AS left_rows, coalesce(b.n, 0) AS right_rows,
-               coalesce(a.n, 0) - coalesce(b.n, 0) AS rows_difference,
-               CAST(coalesce(a.s, 0) AS DOUBLE) AS left_amount,
-               CAST(coalesce(b.s, 0) AS DOUBLE) AS right_amount,
-               CAST(coalesce(a.s, 0) - coalesce(b.s, 0) AS DOUBLE) AS amount_difference
-        FROM a FULL OUTER JOIN b
-          ON a.year IS NOT DISTINCT FROM b.year AND a.status IS NOT DISTINCT FROM b.status""",
+    "control_figures": f"WITH {_LEFT_FIGURES}, {_RIGHT_FIGURES} {_BESIDE}",
+    "kept_figures": f"WITH {_CHANGED_FIGURES}, {_RIGHT_FIGURES} {_BESIDE}",
+    "differing_keys": f"""WITH {_CUSTOMERS_LATER}
+        SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey,
+               CAST(count(o.c_custkey) AS BIGINT) AS left_rows, CAST(count(n.c_custkey) AS BIGINT) AS right_rows
+        FROM customer o FULL OUTER JOIN later n ON o.c_custkey = n.c_custkey
+        WHERE o.c_custkey IS NULL OR n.c_custkey IS NULL OR o.c_acctbal IS DISTINCT FROM n.c_acctbal
+        GROUP BY 1""",
+    "differing_orders": """
+        SELECT o_orderkey, CAST(1 AS BIGINT) AS left_rows,
+               CAST(CASE o_orderkey % 5000 WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE 2 END AS BIGINT) AS right_rows
+        FROM orders WHERE o_orderkey % 5000 IN (1, 2, 3)""",
     "gap_rows": f"SELECT o.* FROM orders o WHERE NOT {_WITH_LINES}",
     "gap_adjust": "SELECT * FROM orders",
     "version_gaps": _runs(f"({later_sql('policy_object')})", "num_poliza", "num_version", 1,

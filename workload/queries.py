@@ -262,6 +262,47 @@ def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _text_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
+    """Events as text, some of them with faults, and what they should be."""
+    events = table(spark, sf_dir, "events")
+    text = events.select(
+        F.when(F.col("event_id") % 50 != 0, F.col("event_id").cast("string")).alias("event_id"),
+        F.when(F.col("event_id") % 7 == 0, "soon").otherwise(F.col("ts").cast("date").cast("string")).alias("day"),
+        F.concat(F.col("user_id").cast("string"), F.when(F.col("event_id") % 9 == 0, "x").otherwise("")).alias("user_id"),
+        "event_type",
+    )
+    wanted = T.StructType([
+        T.StructField("event_id", T.LongType(), False), T.StructField("day", T.DateType()),
+        T.StructField("user_id", T.DecimalType(12, 2)),
+    ])
+    return text, wanted
+
+
+def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text, wanted = _text_events(spark, sf_dir)
+    load = io.checked_load(text, io.table_path(scratch_dir(spark), "events"), wanted)
+    return load.accepted.withColumn("user_id", F.col("user_id").cast("double"))
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows with their problems, and how many rows of both kinds the load counted."""
+    text, wanted = _text_events(spark, sf_dir)
+    load = io.checked_load(text, io.table_path(scratch_dir(spark), "events"), wanted)
+    listed = F.array_join(F.transform("problems", lambda p: F.concat(p["column"], F.lit(": "), p["reason"])), "; ")
+    return load.rejected.withColumn("problems", listed).withColumns(
+        {"accepted_rows": F.lit(load.accepted_rows).cast("bigint"), "rejected_rows": F.lit(load.rejected_rows).cast("bigint")}
+    )
+
+
+def bucketed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policy rows in buckets by policy and version, reduced without a shuffle."""
+    name = f"policy_rows_{uuid.uuid4().hex}"
+    rows = view(spark, sf_dir, "policy_object")
+    io.write_bucketed(rows, name, f"{scratch_dir(spark)}/policy", ["num_poliza", "num_version"], 8)
+    [stored] = io.co_located(spark, [name], ["num_poliza", "num_version"])
+    return op.first_per_key(stored, ["num_poliza", "num_version"])
+
+
 def dataset_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = io.table_path(scratch_dir(spark), "supplier_copy")
     io.copy_dataset(spark, f"{sf_dir}/nation.parquet", copy)
@@ -564,6 +605,41 @@ def control_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return figures.withColumns({c: F.col(c).cast("double") for c in amounts})
 
 
+def differing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers behind the difference of two snapshots, found by descending into hash ranges."""
+    return op.differing_keys(
+        table(spark, sf_dir, "customer"), _customers_later(spark, sf_dir), ["c_custkey"], bits=4
+    )
+
+
+def differing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few orders among all: one status changed, one order gone, one there twice."""
+    orders = table(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderkey") % 5000 == 1, "?").otherwise(F.col("o_orderstatus"))
+    other = orders.where("o_orderkey % 5000 <> 2").withColumn("o_orderstatus", status)
+    return op.differing_keys(orders, other.unionByName(orders.where("o_orderkey % 5000 = 3")), ["o_orderkey"])
+
+
+def _figure_source(df: DataFrame, prefix: str, day: str, amount: str, status: str) -> op.FigureSource:
+    groups = {"year": F.year(f"{prefix}_{day}"), "status": F.col(f"{prefix}_{status}")}
+    return op.FigureSource(df, f"{prefix}_{day}", F.col(f"{prefix}_{amount}"), groups)
+
+
+def kept_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures kept by day, after two days of the orders have changed and were counted again."""
+    kind, root = T.DecimalType(20, 4), scratch_dir(spark)
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    plans.store_figures(_figure_source(orders, "o", "orderdate", "totalprice", "orderstatus"), f"{root}/orders", kind)
+    plans.store_figures(_figure_source(lines, "l", "shipdate", "extendedprice", "linestatus"), f"{root}/lines", kind)
+    days = [date(1997, 3, 1), date(1998, 7, 4)]
+    on_days = F.col("o_orderdate").cast("date").isin(days)
+    changed = orders.withColumn("o_orderstatus", F.when(on_days, "X").otherwise(F.col("o_orderstatus")))
+    plans.refresh_figures(_figure_source(changed, "o", "orderdate", "totalprice", "orderstatus"), f"{root}/orders", days)
+    figures = plans.kept_figures(spark, f"{root}/orders", f"{root}/lines", FIRST_DAY, LAST_DAY)
+    amounts = ("left_amount", "right_amount", "amount_difference")
+    return figures.withColumns({c: F.col(c).cast("double") for c in amounts})
+
+
 def gap_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.gap_rows(
         table(spark, sf_dir, "orders"), _orders_with_lines(spark, sf_dir), ["o_orderkey"]
@@ -615,6 +691,9 @@ QUERIES: dict[str, Query] = {
         full_name,
         replace_load_types,
         catalog_load,
+        accepted_rows,
+        rejected_rows,
+        bucketed_versions,
         dataset_copy,
         snapshot_before_adjust,
         pinned_snapshot,
@@ -640,6 +719,9 @@ QUERIES: dict[str, Query] = {
         snapshot_diff,
         snapshot_replay,
         control_figures,
+        differing_keys,
+        differing_orders,
+        kept_figures,
         gap_rows,
         version_gaps,
         order_gaps,
