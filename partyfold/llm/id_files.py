@@ -28,6 +28,7 @@ import io
 import struct
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,6 +92,16 @@ class EliasFano:
             raise IndexError(i)
         return (self.select(i) - i) << self.low_bits | int(self._low(i, i + 1)[0])
 
+    def slice(self, first: int, end: int) -> np.ndarray:
+        """The values of some places; only the bits between the first and the last of them are unpacked."""
+        if end <= first:
+            return np.zeros(0, np.int64)
+        a, b = self.select(first), self.select(end - 1)
+        start = a // 8 * 8
+        ones = np.flatnonzero(np.unpackbits(self.high[a // 8 : b // 8 + 1], bitorder="little")) + start
+        ones = ones[(ones >= a) & (ones <= b)]
+        return ((ones - np.arange(first, end)) << self.low_bits) | self._low(first, end)
+
     def values(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little")[: self.high_bits])
         return ((ones - np.arange(self.count)) << self.low_bits) | self._low(0, self.count)
@@ -223,23 +234,23 @@ def read_ids(manifest: DataFrame, path: str, batch_ids: int = 1 << 22) -> DataFr
             for name, first_id in zip(batch["file"].to_pylist(), batch["first_id"].to_pylist()):
                 with store.open_input_file(f"{folder}/{name}") as source:
                     own = IdFile(source)
-                    ends = own.ends.values()
-                    starts = np.concatenate([[0], ends[:-1]])
                     lo = 0
-                    while lo < len(ends):
-                        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + batch_ids, side="right")))
-                        ids = own.ids(int(starts[lo]), int(ends[hi - 1])).astype("<u4")
+                    while lo < own.ends.count:
+                        base, _ = own.bounds(lo)
+                        hi = max(lo + 1, bisect_right(own.ends, base + batch_ids, lo, own.ends.count))
+                        ends = own.ends.slice(lo, hi)
+                        starts = np.concatenate([[base], ends[:-1]])
+                        ids = own.ids(base, int(ends[-1])).astype("<u4")
                         view = memoryview(ids).cast("B")
-                        base = int(starts[lo])
                         crc = [
                             zlib.crc32(view[4 * (a - base) : 4 * (b - base)])
-                            for a, b in zip(starts[lo:hi].tolist(), ends[lo:hi].tolist())
+                            for a, b in zip(starts.tolist(), ends.tolist())
                         ]
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array(own.doc_ids[lo:hi], pa.int64(), mask=own.missing[lo:hi]),
-                                pa.array(starts[lo:hi] + first_id),
-                                pa.array(ends[lo:hi] - starts[lo:hi]),
+                                pa.array(starts + first_id),
+                                pa.array(ends - starts),
                                 pa.array(crc, pa.int64()),
                             ],
                             ["doc_id", "start", "n_tokens", "ids_crc32"],

@@ -84,3 +84,19 @@ def test_documents_come_back_in_order(spark, library, file_ids):
 
 def test_empty_table(spark):
     assert id_files.round_trip(docs(spark, []), PATH, 2).count() == 0
+
+
+def test_slices_of_boundaries_are_those_of_the_whole():
+    rng = np.random.default_rng(7)
+    values = np.cumsum(rng.choice([0, 1, 5, 3000], 2000))
+    code = id_files.EliasFano.of(values)
+    for first, end in [(0, 0), (0, 1), (0, 2000), (1999, 2000), (255, 257), (700, 701), (300, 1800)]:
+        assert code.slice(first, end).tolist() == values[first:end].tolist()
+
+
+def test_files_are_read_in_portions_found_by_select(spark, tmp_path):
+    rows = [(i, "word " * (i % 50)) for i in range(300)]
+    whole = id_files.write_ids(docs(spark, rows), str(tmp_path / "ids"), PATH, 2).cache()
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    some = key(id_files.read_ids(whole, str(tmp_path / "ids"), batch_ids=64))
+    assert some == key(id_files.read_ids(whole, str(tmp_path / "ids"))) and len(some) == 300
