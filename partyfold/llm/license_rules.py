@@ -2,7 +2,7 @@
 
 A rule is a regular expression over a text's words, in lower case with one space between
 them, and has a label, a priority, a weight and the words that have to be there for it to be tried.
-Notices are written out one by one; references are made from the families below, one
+Notices and names in one word are written out one by one; references are made from the families below, one
 rule for each way of naming a licence.
 """
 
@@ -74,7 +74,8 @@ NOTICES = (
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", ("permission", "granted")),
     ("isc", r"permission to use copy modify and( or)? distribute this software for any purpose", ("permission", "distribute")),
     ("bsd", r"redistribution and use in source and binary forms with or without modification", ("redistribution",)),
-    ("bsd", r"neither the name of .{1,80}? nor the names of its contributors", ("neither", "contributors")),
+    # The holder's name is taken to have 400 characters at most.
+    ("bsd", r"neither the name of .{1,400}? nor the names of its contributors", ("neither", "contributors")),
     ("gpl", r"this program is free software you can redistribute it and or modify it", ("redistribute",)),
     ("lgpl", r"this library is free software you can redistribute it and or modify it", ("redistribute",)),
     ("gpl", r"you should have received a copy of the gnu general public license", ("received", "gnu")),
@@ -96,6 +97,35 @@ NOTICES = (
     ("copyright", r"copyright( c)? (19|20)\d\d", ("copyright",)),
 )
 
+#: Licences named in one word, with what may follow it.
+COMPACT = (
+    ("gpl-1", "gplv1", ""),
+    ("gpl-2", "gplv2", "( 0)?"),
+    ("gpl-3", "gplv3", "( 0)?"),
+    ("gpl-2", "gpl2", "( 0)?"),
+    ("gpl-3", "gpl3", "( 0)?"),
+    ("lgpl-2", "lgplv2", "( [01])?"),
+    ("lgpl-3", "lgplv3", "( 0)?"),
+    ("lgpl-2", "lgpl2", "( [01])?"),
+    ("lgpl-3", "lgpl3", "( 0)?"),
+    ("agpl-3", "agplv3", "( 0)?"),
+    ("agpl-3", "agpl3", "( 0)?"),
+    ("apache", "apache2", "( 0)?"),
+    ("apache", "apachev2", "( 0)?"),
+    ("apache", "asl2", "( 0)?"),
+    ("mpl", "mplv2", "( 0)?"),
+    ("mpl", "mpl2", "( 0)?"),
+    ("epl", "eplv1", "( 0)?"),
+    ("epl", "eplv2", "( 0)?"),
+    ("epl", "epl2", "( 0)?"),
+    ("bsd", "bsd2", "( clause)?"),
+    ("bsd", "bsd3", "( clause)?"),
+    ("eupl", "euplv1", "( [12])?"),
+    ("cc-by", "ccby", r"( \d \d)?"),
+    ("cc-by-sa", "ccbysa", r"( \d \d)?"),
+)
+COMPACT_PRIORITY, COMPACT_WEIGHT = 35, 0.9
+
 #: How a licence is named, with priority, weight and further words it needs.
 FORMS = (
     ("identifier", r"spdx license identifier {any}", 50, 0.99, ("spdx",)),
@@ -131,6 +161,8 @@ def rules() -> tuple[Rule, ...]:
         found.append(
             Rule(f"notice-{n}-{label}", label, _pattern(text), needs, 5 if weak else NOTICE_PRIORITY, WEAK.get(label, NOTICE_WEIGHT))
         )
+    for label, word, rest in COMPACT:
+        found.append(Rule(f"compact-{word}", label, _pattern(word + rest), (word,), COMPACT_PRIORITY, COMPACT_WEIGHT))
     for label, name, versions in FAMILIES:
         words = tuple(name.split())
         optional = f"( licen[cs]e)?( (v|version |v )?({'|'.join(versions)}))?" if versions else "( licen[cs]e)?"

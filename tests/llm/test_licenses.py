@@ -74,3 +74,16 @@ def test_empty_table(spark):
 def test_there_are_hundreds_of_rules_with_names_of_their_own():
     names = [r.name for r in license_rules.rules()]
     assert len(names) == len(set(names)) >= 300
+
+
+def test_names_in_one_word_are_found(spark):
+    rows = [
+        (1, "released under GPLv2+ or LGPLv2.1"), (2, "AGPLv3 only"), (3, "Apache2.0 or BSD3-clause"),
+        (4, "the word gplv2x is no licence"), (5, "MPL2 and EPLv2, CCBY 4.0"),
+    ]
+    found = {r["doc_id"]: r for r in licenses.license_summary(docs(spark, rows)).collect()}
+    assert found[1]["labels"] == "gpl-2,lgpl-2" and found[1]["base_labels"] == ""
+    assert found[2]["labels"] == "agpl-3"
+    assert found[3]["labels"] == "apache,bsd"
+    assert found[4]["labels"] == ""
+    assert found[5]["labels"] == "cc-by,epl,mpl"
