@@ -13,10 +13,14 @@ _SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under `spark.checkpoint.dir`, removed when this process ends.
 
-    Where the setting is missing, as in tests, the folder lies in the warehouse, which
-    executors share as well.
+    Where the setting is missing, as in tests, the folder lies in the warehouse. That is a folder of the
+    driver's machine unless it was set, so on a cluster a missing setting is an error.
     """
-    base = spark.conf.get(_SETTING, None) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
+    base = spark.conf.get(_SETTING, None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_SETTING} to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
     path = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path)
     return path

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -50,13 +50,14 @@ from pyspark.sql.datasource import (
 )
 
 from partyfold.llm.id_files import filesystem
+from partyfold.llm.prefilter import with_ids, without_ids
 from partyfold.llm.storage import shared_dir, written
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, refers_to string, "
     "payload_digest string, payload_bytes bigint, payload binary"
 )
-MANIFEST = "_warc_manifest.json"
+MANIFEST = "_warc_manifest"  # the begin of the name: every write has a list of its own
 
 #: Header names of the format, by column.
 HEADERS = {
@@ -266,10 +267,9 @@ class WarcReader(DataSourceReader):
         if info.type == pafs.FileType.File:
             found = [info]
         else:
-            manifest = f"{folder}/{MANIFEST}"
-            if store.get_file_info(manifest).type == pafs.FileType.File:
-                with store.open_input_stream(manifest) as source:
-                    names = [f"{folder}/{n}" for n in json.loads(source.read())]
+            lists = _lists(store, folder)
+            if lists:
+                names = [f"{folder}/{n}" for own in lists.values() for n in own]
                 found = store.get_file_info(names) if names else []
             else:
                 every = store.get_file_info(pafs.FileSelector(folder, recursive=True))
@@ -343,14 +343,15 @@ class WarcWriter(DataSourceWriter):
         store, folder = filesystem(self.path)
         store.create_dir(folder, recursive=True)
         names = [n for m in messages if m is not None for n in m.files]
-        old = []
-        manifest = f"{folder}/{MANIFEST}"
-        if store.get_file_info(manifest).type == pafs.FileType.File:
-            with store.open_input_stream(manifest) as source:
-                old = json.loads(source.read())
-        with store.open_output_stream(manifest) as out:
-            out.write(json.dumps(names if self.overwrite else old + names).encode())
-        for name in old if self.overwrite else []:
+        before = _lists(store, folder) if self.overwrite else {}
+        # Nothing is changed in place: the list is there as a whole or not at all, and writers at the same time each add one.
+        fresh = f"{folder}/{MANIFEST}-{uuid.uuid4().hex}"
+        with store.open_output_stream(f"{fresh}.unfinished") as out:
+            out.write(json.dumps(names).encode())
+        store.move(f"{fresh}.unfinished", f"{fresh}.json")
+        for path in before:
+            store.delete_file(path)
+        for name in [n for own in before.values() for n in own]:
             store.delete_file(f"{folder}/{name}")
 
     def abort(self, messages) -> None:
@@ -359,6 +360,16 @@ class WarcWriter(DataSourceWriter):
             store.delete_file(f"{folder}/{name}")
 
 
+def _lists(store: pafs.FileSystem, folder: str) -> dict[str, list[str]]:
+    """The lists of written files, by path."""
+    found = {}
+    for info in store.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+        if info.base_name.startswith(MANIFEST) and info.base_name.endswith(".json"):
+            with store.open_input_stream(info.path) as source:
+                found[info.path] = json.loads(source.read())
+    return found
+
+
 class WarcSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -385,8 +396,8 @@ def register(spark: SparkSession) -> None:
 def page_records(pages: DataFrame, least_bytes: int = 100, warc_date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """The records of `pages` (`page_id`, `url`, `html`), in the columns of `SCHEMA`.
 
-    Only digests that occur more than once meet the pages again, so a payload that is not a copy is
-    not joined on a hot digest.
+    Payloads are not shuffled: pages without a copy pass a bitmap of the copied digests, copies meet the
+    digests without their payloads, and of the pages that are first of their digest there is one for each.
     """
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     known = pages.select(
@@ -397,20 +408,32 @@ def page_records(pages: DataFrame, least_bytes: int = 100, warc_date: str = "197
     copies = written(
         known.where(F.col("payload_bytes") >= least_bytes).groupBy(F.col("digest").alias("copied"))
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("copied", "first_id"),
+        .where("n > 1").select(
+            "first_id", F.xxhash64("copied").alias("copied"), F.xxhash64("copied", "first_id").alias("first")
+        ),
         "copies",
     )
-    revisit = F.col("copied").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return known.join(copies, F.col("digest") == F.col("copied"), "left").select(
-        page_urn("page_id").alias("record_id"),
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        "target_uri",
-        F.lit(warc_date).alias("warc_date"),
-        F.when(revisit, page_urn("first_id")).alias("refers_to"),
-        F.concat(F.lit("sha256:"), "digest").alias("payload_digest"),
-        "payload_bytes",
-        F.when(~revisit, F.col("payload")).alias("payload"),
+    keyed = known.withColumns({"of": F.xxhash64("digest"), "own": F.xxhash64("digest", "page_id")})
+    whole = without_ids(keyed, "of", copies.select("copied"), "copied").unionAll(
+        with_ids(keyed, "own", copies.select("first"), "first")
     )
+    light = with_ids(keyed.drop("payload"), "of", copies.select("copied", "first_id"), "copied", "inner")
+    again = light.where(~F.col("page_id").eqNullSafe(F.col("first_id")))
+
+    def records(rows: DataFrame, kind: str, refers_to: Column, payload: Column) -> DataFrame:
+        return rows.select(
+            page_urn("page_id").alias("record_id"),
+            F.lit(kind).alias("record_type"),
+            "target_uri",
+            F.lit(warc_date).alias("warc_date"),
+            refers_to.alias("refers_to"),
+            F.concat(F.lit("sha256:"), "digest").alias("payload_digest"),
+            "payload_bytes",
+            payload.alias("payload"),
+        )
+
+    responses = records(whole, "response", F.lit(None).cast("string"), F.col("payload"))
+    return responses.unionAll(records(again, "revisit", page_urn("first_id"), F.lit(None).cast("binary")))
 
 
 def page_urn(column: str):

@@ -125,3 +125,30 @@ def test_the_query_agrees_with_sql(spark):
     with connect(sf_dir) as duck:
         df = queries.QUERIES["op6_warc"](spark, sf_dir)
         assert differences(df, duck, queries.ORACLES["op6_warc"]) == []
+
+
+def test_every_write_has_a_list_of_its_own(spark, tmp_path):
+    warc.register(spark)
+    path = str(tmp_path / "archive")
+    one, two = (warc.WarcWriter({"path": path}, overwrite=False) for _ in range(2))
+    (tmp_path / "archive").mkdir()
+    for name in ("a", "b", "c"):
+        (tmp_path / "archive" / f"{name}.warc").write_bytes(record(payload=name.encode()))
+    one.commit([warc._Written(["a.warc"])])
+    two.commit([warc._Written(["b.warc"]), None])
+    (tmp_path / "archive" / f"{warc.MANIFEST}-x.unfinished").write_text('["c.warc"')  # a crash in the middle
+    scan = spark.read.format("warc").load(path)
+    assert scan.count() == 2
+    warc.WarcWriter({"path": path}, overwrite=True).commit([warc._Written(["c.warc"])])
+    assert spark.read.format("warc").load(path).count() == 1
+    assert not (tmp_path / "archive" / "a.warc").exists()
+
+
+def test_copies_carry_no_payload(spark):
+    common = "an error page that many hosts have " * 10
+    rows = [(i, f"u{i}", common if i % 3 else f"page {i} " * 50) for i in range(300)]
+    found = warc.page_records(pages(spark, rows + [(4, "again", common), (None, "unnamed", common)])).collect()
+    revisits = [r for r in found if r["record_type"] == "revisit"]
+    assert len(found) == 302 and len(revisits) == 201  # page 1 is the first, the unnamed one revisits it
+    assert all(r["payload"] is None and r["refers_to"] == "<urn:page:1>" for r in revisits)
+    assert all(r["payload"] is not None for r in found if r["record_type"] == "response")
