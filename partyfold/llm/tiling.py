@@ -8,41 +8,39 @@ enough; so a passage is found in whatever order its parts stand in the document.
 Words are runs of ASCII letters and digits and of all other characters above 0x7F, A-Z in
 lower case. An item with fewer than `min_match` words takes no part.
 
-Seeds are the runs of `min_match` words of the items. Every run of every document is looked
-up among them; the words of an item that seeds cover bound what tiles can cover, and only
-pairs of document and item that can reach the threshold are tiled. The tiling finds the
+Seeds are the runs of `min_match` words of the items, a table of (run, item, places). The runs of
+every document are joined with it. Before that a bitmap of the seeds, of `filter_bits` bits whatever
+the benchmark, leaves out most runs that are none; a set bit lets a run through to the join, which decides. Runs that
+many documents share are dealt to several tasks. For each pair of document and item the words of the
+item that shared seeds cover bound what tiles can cover, and only pairs that can reach the threshold are
+tiled, from their shared seeds: a tile consists of them. The tiling finds the
 longest run by Karp-Rabin hashes of windows, halving the interval of possible lengths, since
 a shared run of some length holds shared runs of every smaller one.
 
-Items go to the tasks in portions of at most about `portion_bytes` of text, one pass over
-the documents for each portion, so what a task holds does not grow with the benchmark.
+Equal texts are looked at once, of documents as of items; texts are known by a 64-bit hash. Neither items
+nor seeds pass through the driver, only the bitmap.
 
 Null and empty texts have no words and give no rows. Repeated rows, of documents or
-items, are treated one by one. Other columns are ignored.
+items, are reported one by one. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from functools import reduce
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partyfold.llm.storage import Workspace
-from partyfold.llm.words import ALNUM, grams, pieces, run_hash, words
+from partyfold.llm.prefilter import free_name, with_ids, without_ids
+from partyfold.llm.storage import written
+from partyfold.llm.words import ALNUM, U64, grams, pieces, run_hash, signed, words
+from partyfold.operators.joins import Spread, join_one
 
 Tile = tuple[int, int, int]
 
-_SCHEMA = (
-    "doc_id bigint, item_id bigint, item_words int, covered_words int, coverage double, "
-    "tiles array<struct<item_start:int,doc_start:int,length:int>>"
-)
-
-
 def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
     """The word hashes of each text."""
     result = []
@@ -106,162 +104,238 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[Tile]:
 # Seeds
 
 
-class Seeds:
-    """The runs of some items, sorted by hash, with the places where they stand."""
-
-    def __init__(self, ids: list[int | None], texts: list[str | None], min_match: int):
-        tokens = word_hashes(texts)
-        kept = [k for k, t in enumerate(tokens) if len(t) >= min_match]
-        self.min_match = min_match
-        self.ids = [ids[k] for k in kept]
-        self.tokens = [tokens[k] for k in kept]
-        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
-        of_text = np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
-        flat = np.concatenate([*self.tokens, np.zeros(0, np.uint64)])
-        hashes, item = grams(flat, of_text, min_match)
-        place = np.arange(len(item)) - np.searchsorted(item, item)
-        order = np.argsort(hashes, kind="stable")
-        self.item, self.place = item[order], place[order]
-        self.keys, first = np.unique(hashes[order], return_index=True)
-        self.bounds = np.append(first, len(order))
-
-    def candidates(
-        self, hashes: np.ndarray, of_text: np.ndarray, threshold: float
-    ) -> Iterator[tuple[int, int]]:
-        """(text, item) where the seeds cover enough of the item."""
-        runs, text = grams(hashes, of_text, self.min_match)
-        if not len(runs) or not len(self.keys):
-            return
-        key = np.minimum(np.searchsorted(self.keys, runs), len(self.keys) - 1)
-        hit = np.flatnonzero(self.keys[key] == runs)
-        pair = np.unique(text[hit] * np.int64(len(self.keys)) + key[hit])
-        text, key = np.divmod(pair, len(self.keys))
-        count = self.bounds[key + 1] - self.bounds[key]
-        where = np.repeat(self.bounds[key] - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-        where = where + np.arange(count.sum())
-        text, item, place = np.repeat(text, count), self.item[where], self.place[where]
-        order = np.lexsort((place, item, text))
-        text, item, place = text[order], item[order], place[order]
-        first = np.ones(len(text), bool)
-        first[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
-        new = np.full(len(text), self.min_match)
-        new[1:] = np.where(first[1:], self.min_match, np.minimum(self.min_match, np.diff(place)))
-        starts = np.flatnonzero(first)
-        covered = np.add.reduceat(new, starts) if len(starts) else new
-        enough = covered >= threshold * self.lengths[item[starts]]
-        yield from zip(text[starts][enough].tolist(), item[starts][enough].tolist())
-
-
-def _found(seeds: Seeds, column: pa.Array, threshold: float) -> Iterator[tuple[int, int, list[Tile], int]]:
-    """Row, number of the item found in it, tiles and covered words."""
-    for texts in pieces(column):
-        found = words(texts, ALNUM)
+def _runs_of(texts: pa.Array, size: int) -> Iterator[tuple]:
+    """For each portion: row of each run, run, place in its text, word hashes, words of each text, first row."""
+    for portion in pieces(texts):
+        found = words(portion, ALNUM)
         hashes = found.hashes()
-        for text, k in seeds.candidates(hashes, found.of_text, threshold):
-            doc = hashes[found.of_text[text] : found.of_text[text + 1]]
-            own = tiles(seeds.tokens[k], doc, seeds.min_match)
-            covered = sum(t[2] for t in own)
-            if covered >= threshold * int(seeds.lengths[k]):
-                yield texts.first_row + text, k, own, covered
+        runs, text = grams(hashes, found.of_text, size)
+        place = np.arange(len(text)) - np.searchsorted(text, text)
+        yield text, runs, place, hashes, found.of_text, portion.first_row
 
 
-def _tiler(seeds: Seeds, threshold: float, schema: pa.Schema):
-    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gathered(text: np.ndarray, runs: np.ndarray, place: np.ndarray) -> tuple:
+    """Text and run of each pair of them, the index of its first run, and the places as lists."""
+    order = np.lexsort((place, runs, text))
+    text, runs, place = text[order], runs[order], place[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (runs[1:] != runs[:-1])
+    first = np.flatnonzero(new)
+    offsets = np.append(first, len(text)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(place.astype(np.int32)))
+    return text[first], runs[first], place[first], lists
+
+
+def _seeder(size: int):
+    """Seeds of the items: run, item, words of the item, places, and the words of the run."""
+
+    def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for row, k, own, covered in _found(seeds, batch["text"], threshold):
-                total = int(seeds.lengths[k])
-                rows.append(
-                    {
-                        "doc_id": batch["doc_id"][row].as_py(),
-                        "item_id": seeds.ids[k],
-                        "item_words": total,
-                        "covered_words": covered,
-                        "coverage": covered / total,
-                        "tiles": [dict(zip(("item_start", "doc_start", "length"), t)) for t in own],
-                    }
+            for text, runs, place, hashes, of_text, row in _runs_of(batch["text"], size):
+                text, runs, place, lists = _gathered(text, runs, place)
+                at = (of_text[text] + place)[:, None] + np.arange(size)
+                offsets = np.arange(len(text) + 1, dtype=np.int32) * size
+                own = pa.array(signed(hashes[at].reshape(-1)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(signed(runs)),
+                        batch["item_key"].take(pa.array(row + text)),
+                        pa.array(np.diff(of_text)[text].astype(np.int32)),
+                        lists,
+                        pa.ListArray.from_arrays(pa.array(offsets), own),
+                    ],
+                    ["seed", "item_key", "item_words", "item_places", "words"],
                 )
-            yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return tile
+    return seed
+
+
+def _bitmap(seeds: DataFrame, bits: int) -> bytes:
+    """One bit for each value of the first bits of a hash, packed; at most 2**bits / 8 bytes before packing."""
+    place = F.shiftrightunsigned("seed", 64 - bits) + 1  # bitmaps begin with bit 1
+    rows = seeds.groupBy(F.bitmap_bucket_number(place).alias("number")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    size = 4096  # bytes of one bitmap
+    whole = np.zeros(max(1 << (bits - 3), size), np.uint8)
+    for row in rows.collect():
+        whole[(row["number"] - 1) * size : row["number"] * size] = np.frombuffer(row["bits"], np.uint8)
+    return zlib.compress(whole.tobytes(), 1)
+
 
+def _prober(size: int, packed: bytes, bits: int):
+    """Runs of the texts that may be seeds: text, run and places."""
 
-def _cleaner(seeds: Seeds, threshold: float):
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        is_set = np.frombuffer(zlib.decompress(packed), np.uint8)
         for batch in batches:
-            kept = np.ones(batch.num_rows, bool)
-            for row, *_ in _found(seeds, batch["text"], threshold):
-                kept[row] = False
-            yield batch.filter(pa.array(kept))
+            for text, runs, place, _, _, row in _runs_of(batch["text"], size):
+                at = (runs >> U64(64 - bits)).astype(np.int64)
+                maybe = (is_set[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                text, runs, _, lists = _gathered(text[maybe], runs[maybe], place[maybe])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["text_key"].take(pa.array(row + text)), pa.array(signed(runs)), lists],
+                    ["text_key", "seed", "doc_places"],
+                )
 
-    return clean
+    return probe
 
 
-# Over tables
+# Pairs
 
 
-def benchmark_hits(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    min_match: int = 4,
-    threshold: float = 0.7,
-    portion_bytes: int = 16 << 20,
-) -> DataFrame:
-    """One row per document and item found in it, with the tiles.
+def _covered(places: Column, size: int) -> Column:
+    """Words that runs of `size` words at these places cover."""
+    start = F.struct(F.lit(0).alias("total"), F.lit(-size).alias("last"))
 
-    `docs` has `doc_id` and `text`, `benchmark` has `item_id` and `text`.
+    def step(state: Column, place: Column) -> Column:
+        new = F.least(F.lit(size), place - state["last"])
+        return F.struct((state["total"] + new).alias("total"), place.alias("last"))
+
+    return F.aggregate(F.array_sort(places), start, step, lambda state: state["total"])
+
+
+def _spans(places: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every word place that the runs cover, run by run, and the run's number."""
+    counts = [len(p) for p in places]
+    at = np.concatenate(places)[:, None] + np.arange(size)
+    return at, np.repeat(np.arange(len(places)), counts)
+
+
+def pair_tiles(shared: list[dict], item_words: int, size: int) -> list[Tile]:
+    """Tiles of a document and an item from the runs that they share.
+
+    Words outside shared runs are in no tile: they are 0 in the item, and one 1 for each gap in the document.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    _, numbers = np.unique(np.array([s["words"] for s in shared], np.int64), return_inverse=True)
+    numbers = numbers.reshape(len(shared), size).astype(np.uint64) + U64(2)
+    item = np.zeros(item_words, np.uint64)
+    at, run = _spans([np.array(s["item_places"], np.int64) for s in shared], size)
+    item[at] = numbers[run]
+    at, run = _spans([np.array(s["doc_places"], np.int64) for s in shared], size)
+    places = np.unique(at)
+    gap = np.zeros(len(places), np.int64)
+    gap[1:] = np.diff(places) > 1
+    index = np.arange(len(places)) + np.cumsum(gap)
+    doc, back = np.ones(index[-1] + 1, np.uint64), np.zeros(index[-1] + 1, np.int64)
+    doc[index[np.searchsorted(places, at)]] = numbers[run]
+    back[index] = places
+    return [(start, int(back[there]), length) for start, there, length in tiles(item, doc, size)]
+
+
+_FOUND = (
+    "text_key bigint, item_key bigint, item_words int, covered_words int, coverage double, "
+    "tiles array<struct<item_start:int,doc_start:int,length:int>>"
+)
+
+
+def _tiler(size: int, threshold: float):
     tile_type = pa.struct([(n, pa.int32()) for n in ("item_start", "doc_start", "length")])
     schema = pa.schema(
         [
-            ("doc_id", pa.int64()), ("item_id", pa.int64()), ("item_words", pa.int32()),
+            ("text_key", pa.int64()), ("item_key", pa.int64()), ("item_words", pa.int32()),
             ("covered_words", pa.int32()), ("coverage", pa.float64()), ("tiles", pa.list_(tile_type)),
         ]
     )
-    found = [
-        texts.mapInArrow(_tiler(seeds, threshold, schema), _SCHEMA)
-        for seeds in _portions(benchmark, min_match, threshold, portion_bytes)
-    ]
-    return reduce(DataFrame.unionAll, found)
+
+    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in range(batch.num_rows):
+                total = batch["item_words"][row].as_py()
+                own = pair_tiles(batch["shared"][row].as_py(), total, size)
+                covered = sum(t[2] for t in own)
+                if covered >= threshold * total:
+                    rows.append(
+                        {
+                            "text_key": batch["text_key"][row].as_py(),
+                            "item_key": batch["item_key"][row].as_py(),
+                            "item_words": total,
+                            "covered_words": covered,
+                            "coverage": covered / total,
+                            "tiles": [dict(zip(("item_start", "doc_start", "length"), t)) for t in own],
+                        }
+                    )
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return tile
+
+
+# Over tables
+
+
+def _text() -> Column:
+    return F.col("text").cast("string")
+
+
+def text_key() -> Column:
+    """What a text is known by."""
+    return F.xxhash64(_text())
 
 
-def without_contaminated(
+def text_hits(
     docs: DataFrame,
     benchmark: DataFrame,
     min_match: int = 4,
     threshold: float = 0.7,
-    portion_bytes: int = 16 << 20,
+    filter_bits: int = 26,
+    rows_per_task: int = 200_000,
 ) -> DataFrame:
-    """The rows of `docs` in whose own text no item is found, whatever their doc_id; all columns kept.
+    """One row per different text of `docs` and different text of `benchmark` found in it, written.
 
-    What one portion of the benchmark leaves is written before the next one is looked up.
+    `filter_bits` is the binary logarithm of the bits of the bitmap; each Python worker holds it. `rows_per_task` is
+    how many documents with a common run meet it in one task.
     """
-    before, space = None, None
-    for seeds in _portions(benchmark, min_match, threshold, portion_bytes):
-        if before is not None:
-            last, space = space, Workspace(docs.sparkSession)
-            docs = space.written(before, "clean")
-            if last is not None:
-                last.remove()
-        before = docs.mapInArrow(_cleaner(seeds, threshold), docs.schema)
-    return before
-
-
-def _portions(
-    benchmark: DataFrame, min_match: int, threshold: float, portion_bytes: int
-) -> Iterator[Seeds]:
-    if min_match < 1 or not 0 < threshold <= 1:
-        raise ValueError("min_match is at least 1, threshold above 0 and at most 1")
-    items = benchmark.select(
-        F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")
+    if min_match < 1 or not 0 < threshold <= 1 or not 15 <= filter_bits <= 32:
+        raise ValueError("min_match is at least 1, threshold above 0 and at most 1, filter_bits 15 to 32")
+    items = benchmark.select(text_key().alias("item_key"), _text().alias("text")).dropDuplicates(["item_key"])
+    seeds = written(
+        items.mapInArrow(
+            _seeder(min_match),
+            "seed bigint, item_key bigint, item_words int, item_places array<int>, words array<bigint>",
+        ),
+        "seeds",
     )
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    portions = max(1, ceil(size / portion_bytes))
-    for portion in range(portions):
-        own = F.pmod(F.xxhash64("item_id", "text"), F.lit(portions)) == portion
-        rows = items.where(own).collect()  # at most about portion_bytes
-        yield Seeds([r["item_id"] for r in rows], [r["text"] for r in rows], min_match)
+    probe = _prober(min_match, _bitmap(seeds, filter_bits), filter_bits)
+    texts = docs.select(text_key().alias("text_key"), _text().alias("text"))
+    runs = written(
+        texts.mapInArrow(probe, "text_key bigint, seed bigint, doc_places array<int>")
+        .groupBy("text_key", "seed").agg(F.first("doc_places").alias("doc_places")),  # once for equal texts
+        "runs",
+    )
+    spread = Spread(by=["text_key"], rows_per_task=rows_per_task)
+    shared = join_one(runs, seeds, ["seed"], ["seed"], "inner", spread=spread)
+    pairs = shared.groupBy("text_key", "item_key", "item_words").agg(
+        F.collect_list(F.struct("item_places", "doc_places", "words")).alias("shared")
+    )
+    places = F.flatten(F.transform("shared", lambda s: s["item_places"]))
+    enough = pairs.where(_covered(places, min_match) >= F.lit(threshold) * F.col("item_words"))
+    return written(enough.mapInArrow(_tiler(min_match, threshold), _FOUND), "hits")
+
+
+def _named(hits: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The hits once for every row of the benchmark with the item's text."""
+    names = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text_key().alias("name_key"))
+    return hits.join(names, F.col("item_key") == F.col("name_key")).drop("item_key", "name_key")
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """One row per document and item found in it, with the tiles.
+
+    `docs` has `doc_id` and `text`, `benchmark` has `item_id` and `text`. The options are those of `text_hits`.
+    """
+    hits = _named(text_hits(docs, benchmark, **options), benchmark)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("key"))
+    return with_ids(rows, "key", hits, "text_key", "inner").select(
+        "doc_id", "item_id", "item_words", "covered_words", "coverage", "tiles"
+    )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` in whose own text no item is found, whatever their doc_id; all columns kept."""
+    hits = text_hits(docs, benchmark, **options).select("text_key").distinct()
+    key = free_name(docs, "__text_key")
+    return without_ids(docs.withColumn(key, text_key()), key, hits, "text_key").select(*docs.columns)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -271,24 +345,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     one doc_id count as one document: what is found in any of them holds for all. Rows without a
     doc_id are judged each by its own text.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    unnamed = rows.where("doc_id IS NULL").withColumn("doc_id", F.xxhash64("text"))
-    found = _contamination(unnamed, benchmark, **options).withColumn("doc_id", F.lit(None).cast("bigint"))
-    return _contamination(rows.where("doc_id IS NOT NULL"), benchmark, **options).unionAll(found)
-
-
-def _contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    hits = _named(text_hits(docs, benchmark, **options), benchmark).select("text_key", "item_id", "coverage")
+    doc_id = F.col("doc_id").cast("bigint")
+    rows = docs.select(
+        doc_id.alias("doc_id"), F.when(doc_id.isNull(), text_key()).alias("unnamed"), text_key().alias("key")
+    )
     per_doc = (
-        benchmark_hits(docs, benchmark, **options)
-        .groupBy(F.col("doc_id").alias("hit"))
+        with_ids(rows, "key", hits, "text_key", "inner")
+        .groupBy(F.col("doc_id").alias("hit"), F.col("unnamed").alias("hit_text"))
         .agg(
             F.count_distinct("item_id").alias("n_items"),
             F.max("coverage").alias("coverage"),
             F.min(F.struct(-F.col("coverage"), "item_id"))["item_id"].alias("item_id"),
         )
     )
-    ids = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    return ids.join(per_doc, F.col("doc_id") == F.col("hit"), "left").select(
+    same = F.col("doc_id").eqNullSafe(F.col("hit")) & F.col("unnamed").eqNullSafe(F.col("hit_text"))
+    return rows.join(per_doc, same, "left").select(
         "doc_id",
         F.coalesce("n_items", F.lit(0)).alias("n_items"),
         "item_id",

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -35,7 +36,7 @@ def brute(rows, items, least, threshold):
     return found
 
 
-def test_hits_are_those_of_plain_tiling_also_in_portions(spark):
+def test_hits_are_those_of_plain_tiling_whatever_the_bitmap_lets_through(spark):
     rng = random.Random(1)
     words = [f"w{k}" for k in range(25)]
     items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 20)))) for i in range(12)]
@@ -47,11 +48,50 @@ def test_hits_are_those_of_plain_tiling_also_in_portions(spark):
             cut = rng.randrange(len(own) + 1)
             parts += [" ".join(own[cut:]), rng.choice(words), " ".join(own[:cut])]
         rows.append((d, ". ".join(parts)))
-    for portion in (16 << 20, 200):
-        hits = tiling.benchmark_hits(docs(spark, rows), benchmark(spark, items), 3, 0.7, portion).collect()
+    for bits in (26, 15):
+        hits = tiling.benchmark_hits(
+            docs(spark, rows), benchmark(spark, items), min_match=3, threshold=0.7, filter_bits=bits, rows_per_task=5
+        ).collect()
         found = {(r["doc_id"], r["item_id"], r["covered_words"], r["item_words"]) for r in hits}
         assert found == brute(rows, items, 3, 0.7) and len(found) == len(hits)
-        assert all(sum(t["length"] for t in r["tiles"]) == r["covered_words"] for r in hits)
+        for r in hits:
+            item = ALNUM_WORDS.findall(lower(dict(items)[r["item_id"]]))
+            doc = ALNUM_WORDS.findall(lower(dict(rows)[r["doc_id"]]))
+            assert [tuple(t) for t in r["tiles"]] == string_tiles(item, doc, 3)
+
+
+def test_the_shared_runs_alone_give_the_tiles():
+    rng = random.Random(5)
+    for size in (1, 2, 3):
+        for _ in range(100):
+            item, doc = ([rng.choice("abcdef") for _ in range(rng.randrange(3, 16))] for _ in range(2))
+            places = {}
+            for side, tokens in (("item_places", item), ("doc_places", doc)):
+                for k in range(len(tokens) - size + 1):
+                    places.setdefault(tuple(tokens[k : k + size]), {}).setdefault(side, []).append(k)
+            shared = [{"words": codes(run).astype(np.int64), **at} for run, at in places.items() if len(at) == 2]
+            if shared:
+                assert tiling.pair_tiles(shared, len(item), size) == string_tiles(item, doc, size)
+
+
+def test_repeated_documents_and_items_are_reported_one_by_one(spark):
+    item = "one two three four five six seven"
+    rows = [(1, item), (1, item), (None, f"so {item}"), (2, "one two three")]
+    items = [(7, item), (8, item), (7, item), (None, item)]
+    hits = tiling.benchmark_hits(docs(spark, rows), benchmark(spark, items)).collect()
+    assert Counter((r["doc_id"], r["item_id"]) for r in hits) == {
+        (1, 7): 4, (1, 8): 2, (1, None): 2, (None, 7): 2, (None, 8): 1, (None, None): 1
+    }
+    table = tiling.contamination(docs(spark, rows), benchmark(spark, items)).collect()
+    assert Counter((r["doc_id"], r["n_items"]) for r in table) == {(1, 2): 2, (None, 2): 1, (2, 0): 1}
+
+
+def test_a_run_that_all_documents_share_is_found_in_each_when_dealt_out(spark, settings):
+    settings({"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"})
+    item = "one two three four"
+    rows = [(i, f"x{i} {item}") for i in range(400)]
+    seen = tiling.text_hits(docs(spark, rows), benchmark(spark, [(1, item)]), rows_per_task=20)
+    assert seen.count() == 400
 
 
 def test_a_reordered_passage_is_found_and_a_partial_one_is_not(spark):
