@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from partyfold.llm.prefilter import free_name, with_ids, without_ids
 from partyfold.llm.storage import written
-from partyfold.llm.words import ALNUM, U64, grams, pieces, run_hash, signed, words
+from partyfold.llm.words import ALNUM, U64, SpanHash, grams, mix, pieces, signed, words
 from partyfold.operators.joins import Spread, join_one
 
 Tile = tuple[int, int, int]
@@ -54,13 +54,13 @@ def word_hashes(texts: list[str | None]) -> list[np.ndarray]:
 # Tiling
 
 
-def _windows(tokens: np.ndarray, marked: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _windows(hashes: SpanHash, marked: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the windows without a marked word."""
-    if length > len(tokens):
+    if length > len(marked):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     before = np.concatenate([[0], np.cumsum(marked)])
     at = np.flatnonzero(before[length:] == before[:-length])
-    return at, run_hash(tokens, at, length)
+    return at, hashes.of(at, at + length)
 
 
 def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[Tile]:
@@ -70,22 +70,24 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[Tile]:
     begins first in the document.
     """
     in_item, in_doc = np.zeros(len(item), bool), ~np.isin(doc, item)
+    of_item, of_doc = SpanHash(mix(item)), SpanHash(mix(doc))
     result: list[Tile] = []
     longest = min(len(item), len(doc))
     while longest >= min_match:
         low, high, best = min_match, longest, 0
         while low <= high:
             middle = (low + high + 1) // 2
-            _, a = _windows(item, in_item, middle)
-            _, b = _windows(doc, in_doc, middle)
+            _, a = _windows(of_item, in_item, middle)
+            _, b = _windows(of_doc, in_doc, middle)
             if np.isin(a, b).any():
                 best, low = middle, middle + 1
             else:
                 high = middle - 1
         if not best:
             break
-        at_item, a = _windows(item, in_item, best)
-        at_doc, b = _windows(doc, in_doc, best)
+        at_item, a = _windows(of_item, in_item, best)
+        at_doc, b = _windows(of_doc, in_doc, best)
+        longest, before = best - 1, len(result)
         for i in np.flatnonzero(np.isin(a, b)):
             start = at_item[i]
             if in_item[start : start + best].any():
@@ -97,7 +99,8 @@ def tiles(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[Tile]:
                     in_item[start : start + best] = in_doc[there : there + best] = True
                     result.append((int(start), int(there), best))
                     break
-        longest = best
+        if len(result) > before:
+            longest = best  # else equal hashes were no equal words
     return result
 
 
@@ -310,6 +313,9 @@ def text_hits(
     )
     places = F.flatten(F.transform("shared", lambda s: s["item_places"]))
     enough = pairs.where(_covered(places, min_match) >= F.lit(threshold) * F.col("item_words"))
+    # Pairs are small and take long: tasks of a size in bytes would be few and slow.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    enough = enough.repartition(tasks, "text_key", "item_key")
     return written(enough.mapInArrow(_tiler(min_match, threshold), _FOUND), "hits")
 
 
