@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partyfold import fixed
@@ -33,41 +33,50 @@ def _check(old: DataFrame, new: DataFrame, change: str) -> None:
         raise ValueError(f"column {change!r} exists already")
 
 
-def sided(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys and fingerprints of both tables; `__side` is -1 for the old rows and 1 for the new ones."""
+def sided(old: DataFrame, new: DataFrame, keys: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
+    """Keys, carried columns and fingerprints of both tables; `__side` is -1 for the old rows and 1 for the new ones."""
     keys = actual_names(old, keys)
     others = sorted((c for c in old.columns if c not in keys), key=str.lower)
 
     def rows(df: DataFrame, side: int) -> DataFrame:
-        own = [F.col(f"`{name}`").alias(key) for name, key in zip(actual_names(df, keys), keys)]
+        taken = [*keys, *carried]
+        own = [F.col(f"`{name}`").alias(key) for name, key in zip(actual_names(df, taken), taken)]
         return df.select(*own, F.lit(side).alias(_SIDE), *row_fingerprint(df, others))
 
     return rows(old, -1).unionAll(rows(new, 1))
 
 
-def differing_groups(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Of `sided` rows the groups whose two sides differ, with `old_rows` and `new_rows`."""
+def differing_groups(rows: DataFrame, keys: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
+    """Of `sided` rows the groups whose two sides differ, with `old_rows`, `new_rows` and more aggregates."""
     sums = [F.sum(F.col(p) * F.col(_SIDE)).alias(p) for p in PIECES]
     groups = rows.groupBy(*keys).agg(
-        F.count_if(F.col(_SIDE) < 0).alias("old_rows"), F.count_if(F.col(_SIDE) > 0).alias("new_rows"), *sums
+        F.count_if(F.col(_SIDE) < 0).alias("old_rows"), F.count_if(F.col(_SIDE) > 0).alias("new_rows"), *sums, *more
     )
     differ = reduce(or_, [F.col(p) != 0 for p in PIECES], F.col("old_rows") != F.col("new_rows"))
     return groups.where(differ).drop(*PIECES)
 
 
 def changed_keys(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], change: str = fixed.CHANGE_COLUMN
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    change: str = fixed.CHANGE_COLUMN,
+    smallest: Sequence[str] = (),
 ) -> DataFrame:
-    """Keys whose rows differ, with the kind of change: insert, update or delete."""
+    """Keys whose rows differ, with the kind of change: insert, update or delete.
+
+    Of the columns `smallest`, each one's smallest value in the key's new rows comes along; null is no value.
+    """
     _check(old, new, change)
-    keys = actual_names(old, keys)
+    keys, smallest = actual_names(old, keys), actual_names(old, smallest)
     kind = (
         F.when(F.col("__old") == 0, fixed.INSERT).when(F.col("__new") == 0, fixed.DELETE).otherwise(fixed.UPDATE)
     )
-    groups = differing_groups(sided(old, new, keys), keys)
-    return groups.select(*keys, F.col("old_rows").alias("__old"), F.col("new_rows").alias("__new")).select(
-        *keys, kind.alias(change)
-    )
+    least = [F.min(F.when(F.col(_SIDE) > 0, F.col(f"`{c}`"))).alias(c) for c in smallest]
+    groups = differing_groups(sided(old, new, keys, smallest), keys, least)
+    counts = [F.col("old_rows").alias("__old"), F.col("new_rows").alias("__new")]
+    values = [F.col(f"`{c}`") for c in smallest]
+    return groups.select(*keys, *counts, *values).select(*keys, kind.alias(change), *values)
 
 
 def snapshot_diff(

@@ -32,6 +32,7 @@ from partyfold.sources import (
     table_path,
 )
 
+VERSION = ["num_poliza", "num_version"]
 _MASTER, _CONTACT = "__master", "__contact"
 _PARTY = "__party"
 
@@ -113,9 +114,15 @@ def insured_flat(
     null, the label is the one of a legal person and the full name is empty.
     """
     usable = policies_with_party(policies)
-    versions = first_per_key(usable, ["num_poliza", "num_version"])
+    versions = first_per_key(usable, VERSION)
+    return insured_versions(versions, master, contacts, Spread(by=VERSION, counted=usable) if spread else None)
+
+
+def insured_versions(
+    versions: DataFrame, master: DataFrame, contacts: DataFrame, how: Spread | None = None
+) -> DataFrame:
+    """The same from the one policy row that each version has left."""
     profiles = party_profiles(master, contacts)
-    how = Spread(by=["num_poliza", "num_version"], counted=usable) if spread else None
     joined = left_join_one(versions, profiles, ["cve_filiacion"], [_PARTY], how)
     unknown_label = F.lit(fixed.LEGAL_PERSON_LABEL)
     return joined.withColumns(

@@ -111,3 +111,12 @@ def test_a_hot_key_sends_a_row_for_each_partition(spark):
     )
     changed = hot.where("v <> 9")
     assert bag(op.changed_keys(hot, changed, ["k"])) == {(-1, "update"): 1}
+
+
+def test_changed_keys_come_with_their_smallest_new_values(frame):
+    schema = "k int, a string, b int"
+    old = frame([(1, "x", 5), (2, "x", 5), (3, "x", 5), (None, "x", 5)], schema)
+    new = frame([(1, "z", 5), (1, "y", 7), (1, None, 6), (3, "x", 5), (None, None, 4)], schema)
+    found = op.changed_keys(old, new, ["k"], smallest=["b", "a"])
+    assert found.columns == ["k", "change", "b", "a"]
+    assert bag(found) == {(1, "update", 5, "y"): 1, (2, "delete", None, None): 1, (None, "update", 4, None): 1}

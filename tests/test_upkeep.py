@@ -103,3 +103,31 @@ def test_inputs_are_cut_to_what_is_needed_before_anything_is_joined(spark, frame
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     outer = plan.index("LeftOuter", plan.index("LeftAnti"))
     assert "LeftSemi" in plan[outer:]
+
+
+def test_changed_versions_come_with_the_smallest_party_they_have_now(frame):
+    from partyfold.plans import upkeep
+
+    old = inputs(frame, [[("P", 1, "A", 0), ("P", 1, "B", 0), ("Q", None, "C", 0), ("R", 1, "D", 0), ("S", 1, " ", 0)], [], []])
+    later = [("P", 1, "B", 0), ("P", 1, "C", 0), ("Q", None, " ", 0), ("R", 1, "D", 9), ("S", 1, "Z", 0)]
+    found = upkeep.changed_versions(old, inputs(frame, [later, [], []]))
+    assert bag(found) == {("P", 1, "B"): 1, ("Q", None, None): 1, ("S", 1, "Z"): 1}
+
+
+def test_policies_are_read_for_the_comparison_only(spark, frame, tmp_path, monkeypatch):
+    from partyfold.plans import upkeep
+
+    def stored(name, tables):
+        for part, df in zip(("policies", "master", "contacts"), vars(inputs(frame, tables)).values()):
+            df.write.parquet(str(tmp_path / name / part))
+        return plans.InsuredInputs(*[spark.read.parquet(str(tmp_path / name / p)) for p in ("policies", "master", "contacts")])
+
+    rng = random.Random(3)
+    now = some(rng, 30)
+    old, new = stored("old", now), stored("new", changed(rng, now))
+    path, kept_plans, write = str(tmp_path / "insured"), [], upkeep.overwrite_dataset
+    io.overwrite_dataset(built(old), path)
+    monkeypatch.setattr(upkeep, "overwrite_dataset", lambda df, *a: (kept_plans.append(set(df.inputFiles())), write(df, *a)))
+    assert bag(plans.refresh_insured(path, old, new)) == bag(built(new))
+    [read] = kept_plans
+    assert any("/new/master/" in f for f in read) and not any("/policies/" in f and str(tmp_path / "new") in f for f in read)
