@@ -5,6 +5,11 @@ occurs at least `min_count` times in all documents; else it is `alpha` times the
 first word. Without a history it is count(word) / words; a word below `min_count` counts
 once. With 1, the default, every n-gram that occurs counts; more is a cutoff, which scores rare n-grams as unseen ones. A document's score is the sum of the logarithms over its words.
 
+Where every n-gram counts, each one of a document is found at least in the document itself, and its score `log_score` never backs off.
+`others_log_score` is the score by the counts of all other documents: what the document adds to a count, and
+its words, are taken off first. N-grams that no other document has (`min_count` times) back off there, and a word that no other
+document has counts once, of one word at least.
+
 Exploded n-grams meet the count tables by hash, in packed form: documents are
 portioned into chunks, each a row of its own, and for each chunk and hash bucket one row carries the chunk's
 distinct n-grams of that bucket with their counts, eight bytes of hash each. A
@@ -144,11 +149,11 @@ def _adder(min_count: int, buckets: Buckets):
 
 
 def backoff_scores(
-    counts: list[np.ndarray], firsts: np.ndarray, total: int, min_count: int, alpha: float
+    counts: list[np.ndarray], firsts: np.ndarray, total: int | np.ndarray, min_count: int, alpha: float
 ) -> np.ndarray:
     """The logarithm for each word. `counts[n]` has for each word the count of the n + 1 words that end with
-    it, 0 where it is rare; `firsts` has each word's place in its document."""
-    score = np.log(np.maximum(counts[0], 1) / max(total, 1))
+    it, 0 where it is rare; `firsts` has each word's place in its document. `total` is one number or one for each word."""
+    score = np.log(np.maximum(counts[0], 1) / np.maximum(total, 1))
     for n in range(1, len(counts)):
         history = np.empty_like(counts[n - 1])
         history[1:] = counts[n - 1][:-1]
@@ -177,20 +182,29 @@ def _scorer(order: int, buckets: Buckets, path: str, total: int, min_count: int,
         for task, chunk, doc_ids, found, hashes in _chunk_rows(batches):
             sizes = np.diff(found.of_text)
             firsts = np.arange(len(hashes)) - np.repeat(found.of_text[:-1], sizes)
-            counts = []
+            document = np.repeat(np.arange(len(sizes)), sizes)
+            counts, others = [], []
             for n, sums in enumerate(answers(store, folder, task, chunk) if len(hashes) else []):
                 every, _ = grams(hashes, found.of_text, n + 1)
                 distinct, inverse = np.unique(every, return_inverse=True)
                 if len(distinct) != len(sums):
                     raise ValueError(f"chunk {chunk} of task {task} has no full answer")
-                own = np.zeros(len(hashes), np.int64)
-                own[firsts >= n] = sums[inverse]
-                counts.append(own)
-            each = backoff_scores(counts, firsts, total, min_count, alpha) if counts else np.zeros(0)
-            log_score = [float(each[a:b].sum()) for a, b in zip(found.of_text[:-1], found.of_text[1:])]
+                every_word, elsewhere = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+                every_word[firsts >= n] = sums[inverse]
+                # One number for each pair of a document and an n-gram: how often the document itself has it.
+                pairs = document[firsts >= n] * len(distinct) + inverse
+                _, pair, in_document = np.unique(pairs, return_inverse=True, return_counts=True)
+                left = sums[inverse] - in_document[pair]
+                elsewhere[firsts >= n] = np.where(left >= min_count, left, 0)
+                counts.append(every_word)
+                others.append(elsewhere)
+            scores = []
+            for known, words_there in ((counts, total), (others, total - np.repeat(sizes, sizes))):
+                each = backoff_scores(known, firsts, words_there, min_count, alpha) if known else np.zeros(0)
+                scores.append([float(each[a:b].sum()) for a, b in zip(found.of_text[:-1], found.of_text[1:])])
             yield pa.RecordBatch.from_arrays(
-                [doc_ids, pa.array(sizes, pa.int64()), pa.array(log_score, pa.float64())],
-                ["doc_id", "n_words", "log_score"],
+                [doc_ids, pa.array(sizes, pa.int64()), *[pa.array(s, pa.float64()) for s in scores]],
+                ["doc_id", "n_words", "log_score", "others_log_score"],
             )
 
     return score
@@ -200,7 +214,7 @@ def stupid_backoff(
     docs: DataFrame, order: int = 2, min_count: int = 1, alpha: float = 0.4,
     chunk_bytes: int = 3_900_000, bucket_bytes: int = 8 << 20,
 ) -> DataFrame:
-    """`doc_id, n_words, log_score` for every row of `docs` (`doc_id`, `text`).
+    """`doc_id, n_words, log_score, others_log_score` for every row of `docs` (`doc_id`, `text`).
 
     `chunk_bytes` of text are one chunk, and there is one bucket for each `bucket_bytes` of text. Chunks are
     stored in row groups of a few each, so that a reader never holds many of them.
@@ -228,5 +242,5 @@ def stupid_backoff(
     total = stored.where("task = -1").agg(F.sum("words")).first()[0] or 0
     return chunks.mapInArrow(
         _scorer(order, buckets, f"{path}/answers", total, min_count, alpha),
-        "doc_id bigint, n_words bigint, log_score double",
+        "doc_id bigint, n_words bigint, log_score double, others_log_score double",
     )

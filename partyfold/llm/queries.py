@@ -98,7 +98,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of words, counted over all documents, those that occur once too."""
+    """Pairs of words, counted over all documents, those that occur once too; and over all but the scored one, where pairs back off."""
     return backoff.stupid_backoff(table(spark, sf_dir, "documents"), order=2, min_count=1)
 
 
