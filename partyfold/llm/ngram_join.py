@@ -14,10 +14,10 @@ sample of the texts count only with the last seed, or texts with a line in commo
 can be missed, and documents without a near copy share no signature.
 
 The same count tells how many signatures two linked sets share at least, often dozens. Signatures
-travel in packed form, once for each set of a portion, to the task of a hash bucket. Of a
-signature with few sets it makes the pairs, and pairs that share fewer signatures than linked sets do are
-no candidates; of one with many sets it ties every set to the first, so that it never makes more
-ties than there are sets.
+travel in packed form, once for each set of a portion, to the task of a hash bucket. A
+signature with few sets makes a list of them, one with many sets ties every set to the first, so that neither takes
+more room than the sets do. Lists go on to the task of their first set, where those that share enough with it are tied
+to it. Pairs are made of the rest only, and pairs that share fewer signatures than linked sets do are no candidates.
 
 **Search.** Documents that share signatures, directly or through others, form a candidate
 component, which is gathered once, in blocks of a bounded number of shingles. Within a block,
@@ -258,21 +258,19 @@ def _signer(size: int, num: int, den: int, buckets: Buckets, common: np.ndarray)
                 place = buckets.of(values)
                 order = np.lexsort((label, docs, place))
                 docs, label, need, place = docs[order], label[order], need[order], place[order]
-                values = values[order]
-                rows = []
-                for own in np.split(np.arange(len(docs)), np.flatnonzero(np.diff(place)) + 1):
-                    if len(own):
-                        fresh = (np.diff(docs[own], prepend=-1) != 0) | (np.diff(label[own], prepend=-1) != 0)
-                        begin = np.flatnonzero(fresh)
-                        head = np.empty(len(begin), _ENTRY)
-                        head["node"] = nodes[docs[own[begin]]]
-                        head["label"], head["need"] = label[own[begin]], np.maximum(need[own[begin]], 0)
-                        head["count"] = np.diff(np.append(begin, len(own)))
-                        rows.append((int(place[own[0]]), head.tobytes(), buckets.pack(values[own])))
+                begin = np.flatnonzero(_changes(place, docs, label))
+                count = np.diff(np.append(begin, len(docs)))
+                columns = [_narrow(x) for x in (label[begin], np.maximum(need[begin], 0), count)]
+                columns, widths = [nodes[docs[begin]].astype("<u8"), *columns], bytes(c.itemsize for c in columns)
+                short = _shortened(values[order])
+                edge = np.flatnonzero(_changes(place[begin]))
+                bounds = list(zip(edge.tolist(), [*edge[1:].tolist(), len(begin)]))
+                ends = np.append(begin, len(docs)).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)),
+                        pa.array(place[begin[edge]], pa.int64()),
+                        pa.array([widths + b"".join(c[i:j].tobytes() for c in columns) for i, j in bounds], pa.binary()),
+                        pa.array([short[ends[i] : ends[j]].tobytes() for i, j in bounds], pa.binary()),
                     ],
                     ["bucket", "entries", "signatures"],
                 )
@@ -281,7 +279,44 @@ def _signer(size: int, num: int, den: int, buckets: Buckets, common: np.ndarray)
 
 
 _ENTRY = np.dtype([("node", "<u8"), ("label", "<u4"), ("need", "<u4"), ("count", "<u4")])
+_MEMBER = np.dtype([("node", "<u8"), ("need", "<u4")])
+_LISTS = "deal bigint, label int, shared int, members binary"
 _PAIRS = "a bigint, b bigint, label int, need int, shared int"
+_TIED = -1  # the label of lists whose first member is tied to each of the others
+_SHORT = 5
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Which of some rows differ from the one before."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = False
+    for x in columns:
+        fresh[1:] |= x[1:] != x[:-1]
+    return fresh
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    most = int(x.max(initial=0))
+    return x.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4")
+
+
+def _shortened(values: np.ndarray) -> np.ndarray:
+    """The low 40 bits of signatures, which bucket and label add to. Two that are alike by chance make a pair to look at."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SHORT])
+
+
+def _unpacked(raw_entries: bytes, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures under their labels, and the entry of each."""
+    widths = raw_entries[:3]
+    n, at = (len(raw_entries) - 3) // (8 + sum(widths)), 3
+    head = np.empty(n, _ENTRY)
+    for name, width in zip(_ENTRY.names, (8, *widths)):
+        head[name] = np.frombuffer(raw_entries, f"<u{width}", n, at)
+        at += n * width
+    entry = np.repeat(head, head["count"])
+    values = np.zeros((len(entry), 8), np.uint8)
+    values[:, :_SHORT] = np.frombuffer(raw, np.uint8).reshape(-1, _SHORT)
+    return values.view("<u8").ravel().astype(U64) | (entry["label"].astype(U64) << U64(8 * _SHORT)), entry
 
 
 class _Bucket:
@@ -303,10 +338,9 @@ class _Bucket:
         key, entry = np.concatenate([self.key, key]), np.concatenate([self.entry, entry])
         order = np.lexsort((entry["node"], key))
         key, entry = key[order], entry[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (entry["node"][1:] != entry["node"][:-1])
+        fresh = _changes(key, entry["node"])
         key, entry = key[fresh], entry[fresh]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+        first = np.flatnonzero(_changes(key))
         size = np.diff(np.append(first, len(key)))
         many = np.repeat(size > self.small, size)
         ties.append(np.stack([np.repeat(entry["node"][first], size)[many], entry["node"][many]], axis=1))
@@ -317,46 +351,59 @@ class _Bucket:
         found = np.concatenate(ties)
         return np.unique(found[found[:, 0] != found[:, 1]], axis=0)
 
-    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Entries of the two nodes of every pair that shares a signature, once for each signature."""
+    def lists(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The nodes that share a signature, by number of nodes: labels, signatures with these nodes, entries."""
         key, entry = self.key, self.entry
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+        first = np.flatnonzero(_changes(key))
         size = np.diff(np.append(first, len(key)))
         for n in range(2, self.small + 1):
             own = first[size == n]
-            for i in range(n if len(own) else 0):
-                for j in range(i):
-                    yield entry[own + j], entry[own + i]
+            if not len(own):
+                continue
+            rows = entry[own[:, None] + np.arange(n)]
+            rows = rows[rows["need"].max(axis=1) > 0]  # else all have signed again with another seed
+            whole = mix(rows["label"][:, 0])
+            for k in range(n):
+                whole = mix(whole + rows["node"][:, k])
+            _, at, times = np.unique(whole, return_index=True, return_counts=True)
+            if len(at):
+                yield rows["label"][at, 0], times, rows[at]
 
 
 def _tier(buckets: Buckets, small: int, at_once: int = 500_000):
-    """Pairs of nodes with the signatures they share in a bucket, and ties where many nodes share one."""
+    """Lists of nodes that share signatures of a bucket, with their number, and ties where many nodes share one.
 
-    def table(a, b, label, need, shared) -> pa.RecordBatch:
-        columns = [pa.array(signed(np.ascontiguousarray(x, U64))) for x in (a, b)]
-        columns += [pa.array(np.ascontiguousarray(x, np.int32)) for x in (label, need, shared)]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b", "label", "need", "shared"])
+    A list is dealt by its first node, ties by their center and a hash of the other node.
+    """
+
+    def table(deal, label, shared, members: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        ends = np.concatenate([[0], np.cumsum(count * _MEMBER.itemsize)]).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(ends), pa.py_buffer(members.tobytes())])
+        columns = [pa.array(signed(np.ascontiguousarray(deal, U64)))]
+        columns += [pa.array(np.ascontiguousarray(x, np.int32)) for x in (label, shared)]
+        return pa.RecordBatch.from_arrays([*columns, packed], ["deal", "label", "shared", "members"])
 
     def tied(pair: np.ndarray) -> pa.RecordBatch:
-        n = len(pair)
-        return table(pair[:, 0], pair[:, 1], np.full(n, -1), np.zeros(n), np.ones(n))
-
-    def counted(own: _Bucket) -> Iterator[pa.RecordBatch]:
-        both = list(own.pairs())
-        if not both:
-            return
-        one, two = (np.concatenate([p[k] for p in both]) for k in (0, 1))
-        need = np.maximum(one["need"], two["need"])
-        keep = need > 0  # else both have signed again with another seed
-        one, two, need = one[keep], two[keep], need[keep]
-        if not len(one):
-            return
-        order = np.lexsort((one["label"], two["node"], one["node"]))
-        one, two, need = one[order], two[order], need[order]
-        same = (one["node"][1:] == one["node"][:-1]) & (two["node"][1:] == two["node"][:-1]) & (one["label"][1:] == one["label"][:-1])
-        first = np.flatnonzero(np.concatenate([[True], ~same]))
-        shared = np.diff(np.append(first, len(one)))
-        yield table(one["node"][first], two["node"][first], one["label"][first], need[first], shared)
+        center, node = pair[:, 0], pair[:, 1]
+        part = mix(node) >> U64(58)
+        order = np.lexsort((node, part, center))
+        center, node, part = center[order], node[order], part[order]
+        first = np.flatnonzero(_changes(center, part))
+        count = np.diff(np.append(first, len(node)))
+        members = np.zeros(len(node) + len(first), _MEMBER)
+        heads = first + np.arange(len(first))
+        others = np.ones(len(members), bool)
+        others[heads] = False
+        members["node"][heads], members["node"][others] = center[first], node
+        return table(
+            mix(center[first] + mix(part[first])), np.full(len(first), _TIED), np.ones(len(first)), members, count + 1
+        )
+
+    def listed(own: _Bucket) -> Iterator[pa.RecordBatch]:
+        for label, times, rows in own.lists():
+            members = np.empty(rows.shape, _MEMBER)
+            members["node"], members["need"] = rows["node"], rows["need"]
+            yield table(rows["node"][:, 0], label, times, members, np.full(len(rows), rows.shape[1]))
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, own = None, _Bucket(small)
@@ -367,19 +414,102 @@ def _tier(buckets: Buckets, small: int, at_once: int = 500_000):
                     yield tied(own.settle(np.concatenate(keys), np.concatenate(entries)))
                     keys, entries, held = [], [], 0
                 if bucket != now:
-                    yield from counted(own)
+                    yield from listed(own)
                     now, own = bucket, _Bucket(small)
-                head = np.frombuffer(raw_entries, _ENTRY)
-                keys.append(buckets.unpack(raw))
-                entries.append(np.repeat(head, head["count"]))
-                held += len(keys[-1])
+                key, entry = _unpacked(raw_entries, raw)
+                keys.append(key)
+                entries.append(entry)
+                held += len(key)
         if keys:
             yield tied(own.settle(np.concatenate(keys), np.concatenate(entries)))
-        yield from counted(own)
+        yield from listed(own)
 
     return tie
 
 
+def _weighed(label: np.ndarray, shared: np.ndarray, count: np.ndarray, members: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Ties and pairs of some lists, as columns of `_PAIRS`.
+
+    Where the lists alone show that a node shares enough with the first of its list, the two are tied. Pairs of
+    nodes that are both tied to the first of their list need not be counted in it; of the others
+    each pair is there with the signatures it shares in all these lists.
+    """
+    head = np.cumsum(count) - count
+    row = np.repeat(np.arange(len(count)), count)
+    other = np.ones(len(members), bool)
+    other[head] = False
+    node, need, center = members["node"], members["need"].astype(np.int64), members["node"][head][row]
+
+    def ties(which: np.ndarray) -> tuple[np.ndarray, ...]:
+        n = len(which)
+        return center[which], node[which], np.full(n, _TIED), np.zeros(n, int), np.ones(n, int)
+
+    simple = label[row] == _TIED
+    found = [ties(np.flatnonzero(simple & other))]
+    at = np.flatnonzero(~simple & other)
+    at = at[np.lexsort((label[row[at]], node[at], center[at]))]
+    together = ~other | simple
+    if len(at):
+        pair = np.flatnonzero(_changes(center[at], node[at]))
+        own = np.flatnonzero(_changes(center[at], node[at], label[row[at]]))
+        needed = np.maximum(need[at[own]], need[head[row[at[own]]]])
+        enough = (needed > 0) & (np.add.reduceat(shared[row[at]], own) >= needed)
+        strong = np.logical_or.reduceat(enough, np.searchsorted(own, pair))
+        found.append(ties(at[pair[strong]]))
+        together[at] = np.repeat(strong, np.diff(np.append(pair, len(at))))
+    loose = np.unique(row[~together])
+    both = []
+    for n in np.unique(count[loose]).tolist():
+        rows = loose[count[loose] == n]
+        for i in range(n):
+            for j in range(i):
+                one, two = head[rows] + j, head[rows] + i
+                most = np.maximum(need[one], need[two])
+                keep = (most > 0) & ~(together[one] & together[two])
+                both.append((node[one[keep]], node[two[keep]], label[rows[keep]], most[keep], shared[rows[keep]]))
+    if both:
+        a, b, kind, most, times = (np.concatenate(x) for x in zip(*both))
+        order = np.lexsort((kind, b, a))
+        a, b, kind, most, times = a[order], b[order], kind[order], most[order], times[order]
+        own = np.flatnonzero(_changes(a, b, kind))
+        if len(own):
+            found.append((a[own], b[own], kind[own], most[own], np.add.reduceat(times, own)))
+    return found
+
+
+def _weigher(at_once: int = 500_000):
+    """Ties and pairs of lists that are sorted by `deal`, some at a time and those of one first node together."""
+
+    def table(columns: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        a, b, *rest = (np.concatenate(x) for x in zip(*columns))
+        arrays = [pa.array(signed(np.ascontiguousarray(x, U64))) for x in (a, b)]
+        arrays += [pa.array(x.astype(np.int32)) for x in rest]
+        return pa.RecordBatch.from_arrays(arrays, ["a", "b", "label", "need", "shared"])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw = batch["members"].to_pylist()
+            count = np.array([len(x) for x in raw]) // _MEMBER.itemsize
+            plain = [batch[c].to_numpy() for c in ("deal", "label", "shared")]
+            held.append((*plain, count, np.frombuffer(b"".join(raw), _MEMBER)))
+            size += len(held[-1][-1])
+            if size > at_once:
+                deal, label, shared, count, members = (np.concatenate(x) for x in zip(*held))
+                edge = np.flatnonzero(_changes(deal))[-1] or len(deal)
+                place = int(count[:edge].sum())
+                yield table(_weighed(label[:edge], shared[:edge], count[:edge], members[:place]))
+                held = [(deal[edge:], label[edge:], shared[edge:], count[edge:], members[place:])]
+                size = len(members) - place
+        if size:
+            yield table(_weighed(*(np.concatenate(x) for x in list(zip(*held))[1:])))
+
+    return weigh
+
+
 # Search
 
 
@@ -614,9 +744,10 @@ def _grouped(
             _signer(words, num, den, buckets, common),
             "bucket bigint, entries binary, signatures binary",
         )
-        shared = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _tier(buckets, small), _PAIRS
+        lists = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _tier(buckets, small), _LISTS
         )
+        shared = lists.repartition("deal").sortWithinPartitions("deal").mapInArrow(_weigher(), _PAIRS)
         ties = (
             shared.groupBy("a", "b", "label")
             .agg(F.max("need").alias("need"), F.sum("shared").alias("shared"))

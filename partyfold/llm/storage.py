@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,8 +38,25 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for a write within goes with it, instead of when the driver collects its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 class Workspace:
-    """Intermediate tables of one computation. They go when it is done; its result is written elsewhere."""
+    """Intermediate tables of one computation. They go when it is done; its result is written elsewhere.
+
+    The shuffle files of a table go as soon as it is written, so that those of several tables never add up.
+    """
 
     def __init__(self, spark: SparkSession):
         self._spark, self._path, self._count = spark, shared_dir(spark), 0
@@ -44,7 +64,8 @@ class Workspace:
     def written(self, df: DataFrame, name: str = "table") -> DataFrame:
         self._count += 1
         path = f"{self._path}/{self._count}-{name}"
-        df.write.parquet(path)
+        with _shuffles_removed(self._spark):
+            df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Workspace:

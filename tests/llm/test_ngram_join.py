@@ -1,10 +1,13 @@
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from plain import ODD_ROWS, docs, groups
 
 from partyfold.llm import ngram_join
+from partyfold.llm.buckets import Buckets
 from partyfold.llm.components import components
 from partyfold.llm.storage import Workspace
 from rows import bag
@@ -98,3 +101,61 @@ def test_components_of_paths_and_stars(spark):
     assert len({label[k] for k in range(21)}) == len({label[k] for k in range(100, 140)}) == 1
     assert len(set(label.values())) == 3
     assert components(spark.createDataFrame([], "a bigint, b bigint"), Workspace(spark)).count() == 0
+
+
+def test_copies_of_a_text_take_no_more_room_than_their_signatures():
+    words = [f"w{k}" for k in range(400)]
+    copies = pa.record_batch({"text": [" ".join([f"copy{i}", *words]) for i in range(20)]})
+    buckets, none = Buckets(200), np.zeros(0, np.uint64)
+    sign = ngram_join._signer(5, 80, 100, buckets, none)
+    signed = [row for k in range(20) for row in sign(iter([copies.slice(k, 1)]))]
+    table = pa.Table.from_batches(signed).sort_by("bucket")
+    sent = sum(len(x) for c in ("entries", "signatures") for x in table[c].to_pylist())
+    dealt = list(ngram_join._tier(buckets, 24)(iter(table.to_batches())))
+    assert sum(b.nbytes for b in dealt) <= 1.5 * sent
+    pairs = list(ngram_join._weigher()(iter(pa.Table.from_batches(dealt).sort_by("deal").to_batches())))
+    assert 19 <= sum(b.num_rows for b in pairs) < 20 * 20
+
+
+@pytest.mark.parametrize("at_once", [1, 40, 100_000])
+def test_pairs_that_share_enough_are_tied_or_counted_in_full(at_once):
+    rng = random.Random(at_once)
+    for _ in range(30):
+        need = {(node, label): rng.randrange(6) for node in range(1, 9) for label in range(2)}
+        rows, shared = [], {}
+        for _ in range(rng.randrange(1, 60)):
+            label, times = rng.randrange(2), rng.randrange(1, 3)
+            nodes = sorted(rng.sample(range(1, 9), rng.randrange(2, 6)))
+            members = np.array([(x, need[x, label]) for x in nodes], ngram_join._MEMBER)
+            rows.append({"deal": nodes[0], "label": label, "shared": times, "members": members.tobytes()})
+            for b in nodes:
+                for a in nodes:
+                    if a < b:
+                        shared[a, b, label] = shared.get((a, b, label), 0) + times
+        table = pa.Table.from_pylist(sorted(rows, key=lambda r: r["deal"]))
+        counted, up = {}, list(range(9))
+        for batch in ngram_join._weigher(at_once)(iter(table.to_batches(max_chunksize=7))):
+            for r in batch.to_pylist():
+                key = r["a"], r["b"], r["label"]
+                counted[key] = counted.get(key, 0) + r["shared"]
+        wanted = {k: max(need[k[0], k[2]], need[k[1], k[2]]) for k in shared}
+        assert all(counted[k] <= shared[k] for k in counted if k[2] >= 0)
+        ties = {k[:2] for k in counted if k[2] < 0 or counted[k] >= wanted[k]}
+        assert ties <= {k[:2] for k in shared if shared[k] >= wanted[k] > 0}
+        for a, b in ties:
+            up = [up[a] if x == up[b] else x for x in up]
+        assert all(up[k[0]] == up[k[1]] for k in shared if shared[k] >= wanted[k] > 0)
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {blocks.apply(k).name() for k in range(blocks.size()) if blocks.apply(k).isShuffle()}
+
+    before = files()
+    with Workspace(spark) as space:
+        table = space.written(spark.range(1000).repartition("id"))
+        until = time.time() + 20
+        while files() - before and time.time() < until:
+            time.sleep(0.1)
+        assert files() <= before and table.count() == 1000
